@@ -60,18 +60,65 @@ PARTS = {
               " WHERE rn = 1"),
     "batch2": (["again"], "SELECT * REPLACE (" + ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in _CASTS.items())
                + "), substr(forecast_date, 1, 7) || '-01' AS period FROM again"),
-    "history": (["batch1", "batch2"],
-                f"SELECT a.*, DATE '{FIRST_DAY}' AS effective_from, CAST(NULL AS DATE) AS effective_to,"
-                f" true AS is_active FROM batch1 a LEFT JOIN batch2 b ON {matches('a', 'b')}"
-                f" WHERE b.product_id IS NULL OR NOT {differs('a', 'b')}"
-                f" UNION ALL SELECT a.*, DATE '{FIRST_DAY}', DATE '{SECOND_DAY}', false"
-                f" FROM batch1 a JOIN batch2 b ON {matches('a', 'b')} WHERE {differs('a', 'b')}"
-                f" UNION ALL SELECT b.*, DATE '{SECOND_DAY}', CAST(NULL AS DATE), true"
-                f" FROM batch2 b LEFT JOIN batch1 a ON {matches('a', 'b')}"
-                f" WHERE a.product_id IS NULL OR {differs('a', 'b')}"),
 }
 
 
+def _history(one: str, two: str) -> tuple[list[str], str]:
+    return ([one, two],
+            f"SELECT a.*, DATE '{FIRST_DAY}' AS effective_from, CAST(NULL AS DATE) AS effective_to,"
+            f" true AS is_active FROM {one} a LEFT JOIN {two} b ON {matches('a', 'b')}"
+            f" WHERE b.product_id IS NULL OR NOT {differs('a', 'b')}"
+            f" UNION ALL SELECT a.*, DATE '{FIRST_DAY}', DATE '{SECOND_DAY}', false"
+            f" FROM {one} a JOIN {two} b ON {matches('a', 'b')} WHERE {differs('a', 'b')}"
+            f" UNION ALL SELECT b.*, DATE '{SECOND_DAY}', CAST(NULL AS DATE), true"
+            f" FROM {two} b LEFT JOIN {one} a ON {matches('a', 'b')}"
+            f" WHERE a.product_id IS NULL OR {differs('a', 'b')}")
+
+
+PARTS["history"] = _history("batch1", "batch2")
+
+# The layer jobs on landing files that carry ``changed_on``: all columns are text in Bronze, so ties are
+# broken as text, newest change first and then column by column.
+_TEXT_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in ["changed_on", *schema.SOURCE_COLUMNS])
+
+
+def _landed(where: str) -> tuple[list[str], str]:
+    columns = ", ".join(f"{_standard(c)} AS {c}" for c in _STRINGS)
+    return (["src"], f"SELECT {columns}, _frequency, CAST(_ingestion_ts AS VARCHAR) AS changed_on FROM src"
+            f" WHERE {where}")
+
+
+def _bronze(source: str) -> tuple[list[str], str]:
+    return ([source], "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "
+            f"{KEY} ORDER BY {_TEXT_ORDER}) AS rn FROM {source} WHERE {KEYS_PRESENT}) WHERE rn = 1")
+
+
+def _silver(source: str) -> tuple[list[str], str]:
+    blank = ", ".join(f"NULLIF({c}, '') AS {c}" for c in _STRINGS)
+    casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in _CASTS.items())
+    return ([source], f"SELECT * REPLACE ({casts}), substr(forecast_date, 1, 7) || '-01' AS period"
+            f" FROM (SELECT * REPLACE ({blank}) FROM {source}) WHERE {CASTABLE}")
+
+
+PARTS["landed1"] = _landed("_batch_id = 'b1'")
+PARTS["landed2"] = _landed(f"_ingestion_ts > TIMESTAMP '{STALE_MARK}'")
+PARTS["bronze1"], PARTS["bronze2"] = _bronze("landed1"), _bronze("landed2")
+PARTS["silver1"], PARTS["silver2"] = _silver("bronze1"), _silver("bronze2")
+PARTS["run_history"] = _history("silver1", "silver2")
+PARTS["opened2"] = (
+    ["silver1", "silver2"],
+    f"SELECT b.*, a.product_id IS NULL AS is_new FROM silver2 b LEFT JOIN silver1 a ON {matches('a', 'b')}"
+    f" WHERE a.product_id IS NULL OR {differs('a', 'b')}")
+PARTS["fact2"] = (
+    ["opened2", "silver1"],
+    f"SELECT b.* EXCLUDE (is_new) FROM opened2 b WHERE NOT EXISTS (SELECT 1 FROM silver1 a"
+    f" WHERE {matches('a', 'b')} AND a.channel IS NOT DISTINCT FROM b.channel)")
+PARTS["run_fact"] = (
+    ["silver1", "fact2"],
+    "SELECT *, 'run-1' AS _batch_id, '199807010600' AS stamp FROM silver1"
+    " UNION ALL SELECT *, 'run-2', '199812010600' FROM fact2")
+
+
 def _dim(prefix: str, batch: str, key: str, attributes: list[str]) -> tuple[list[str], str]:
     ranking = ", ".join(f"{c} DESC NULLS LAST" for c in ["_ingestion_ts", *attributes])
     cols = ", ".join([key, *attributes])

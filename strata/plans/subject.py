@@ -85,9 +85,10 @@ def run_subject(spark: SparkSession, database: str, data_subject: str, run: Run
         ("GOLD", lambda: load_gold(spark, job, fiscal_start_month)),
         ("AGGR_AUDIT", lambda: load_kpi(spark, job)),
     ]
+    loaded = logs.loaded_layers(spark, job.table("job_log"), run.batch_id, job.name)
     done = []
     for layer, step in steps:
-        if logs.already_loaded(spark, job.table("job_log"), run.batch_id, job.name, layer):
+        if layer in loaded:
             done.append(LayerResult(layer, "SKIPPED"))
             continue
         started = datetime.now(timezone.utc)

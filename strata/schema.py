@@ -90,7 +90,7 @@ FACT_ARCHIVE = _fields(
 SILVER_ARCHIVE = _fields(
     f"{_TYPED}, _file_name string, _ingestion_ts timestamp, _update_ts timestamp, _ingestion_date date, "
     "_silver_load_ts timestamp, _dq_flags array<string>, effective_from date, is_active boolean, "
-    "effective_to date, _frequency string, _archived_ts timestamp, period string, _batch_id string"
+    "effective_to date, period string, _archived_ts timestamp, _frequency string, _batch_id string"
 )
 
 DIM_PRODUCT = _fields(
@@ -162,7 +162,7 @@ TABLES: dict[str, Table] = {
     "bronze_stream": Table(BRONZE, ("_frequency", "_batch_id")),
     "quarantine": Table(QUARANTINE, ("_frequency", "_batch_id", "_dq_fail_reason")),
     "silver": Table(SILVER, ("_frequency", "period", "effective_to")),
-    "silver_archive": Table(SILVER_ARCHIVE, ("period", "_frequency", "_batch_id")),
+    "silver_archive": Table(SILVER_ARCHIVE, ("_frequency", "_batch_id")),
     "period_agg": Table(PERIOD_AGG, ("_frequency", "_batch_id")),
     "fact": Table(FACT, ("period", "_frequency")),
     "fact_archive": Table(FACT_ARCHIVE, ("period", "_frequency")),

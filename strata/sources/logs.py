@@ -105,9 +105,8 @@ def log_dq_counts(counts: DataFrame, sink: Sink, *, batch_id: str, table_name: s
     append_to(quality.dq_log_rows(counts, batch_id=batch_id, table_name=table_name, created_ts=created_ts), sink)
 
 
-def already_loaded(spark: SparkSession, table: str, batch_id: str, data_subject: str, layer: str) -> bool:
-    """Has this batch a successful entry for the layer? The job log is the commit marker."""
+def loaded_layers(spark: SparkSession, table: str, batch_id: str, data_subject: str) -> set[str]:
+    """The layers this batch has a successful entry for. The job log is the commit marker."""
     done = spark.table(table).filter(
-        (F.col("batch_id") == batch_id) & (F.col("data_subject") == data_subject)
-        & (F.col("layer") == layer) & (F.col("status") == "SUCCESS"))
-    return not done.isEmpty()
+        (F.col("batch_id") == batch_id) & (F.col("data_subject") == data_subject) & (F.col("status") == "SUCCESS"))
+    return {row.layer for row in done.select("layer").distinct().collect()}

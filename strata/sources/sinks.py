@@ -6,6 +6,7 @@ Every write is safe to repeat: it replaces the slices it owns, or inserts only w
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from strata import schema
 from strata.operators.clean import conform
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 def balanced(df: DataFrame, columns: Sequence[str] = (), num_files: int | None = None) -> DataFrame:
     """Lay rows out for writing.
@@ -27,15 +29,25 @@ def balanced(df: DataFrame, columns: Sequence[str] = (), num_files: int | None =
     return df.hint("rebalance", *columns) if columns else df.hint("rebalance")
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """``insertInto`` takes the overwrite mode from the session only, so set it for one write."""
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def _insert(df: DataFrame, table: str, columns: Sequence[str], overwrite: bool, layout: bool = True) -> None:
     """Insert by position into a table whose last columns are its partition columns."""
     spark = df.sparkSession
-    target = spark.table(table).schema
-    rows = conform(df, target)
+    rows = conform(df, spark.table(table).schema)
     if layout:
         rows = balanced(rows, columns)
-    writer = rows.write.option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite" if overwrite else "append").insertInto(table)
+    with _dynamic_overwrite(spark):
+        rows.write.mode("overwrite" if overwrite else "append").insertInto(table)
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:

@@ -19,7 +19,7 @@ from strata.plans.bronze import bronze_rows, split_bronze
 from strata.plans.run import Job, Run
 from strata.plans.silver import merge_silver, silver_rows
 from strata.sources.files import with_file_name
-from strata.sources.sinks import write_quarantine, write_slice
+from strata.sources.sinks import add_missing_columns, write_quarantine, write_slice
 
 
 def read_landing_stream(spark: SparkSession, path: str, file_format: str = "parquet", sep: str = "|",
@@ -27,8 +27,10 @@ def read_landing_stream(spark: SparkSession, path: str, file_format: str = "parq
     """New files of a landing folder, every column as STRING."""
     reader = spark.readStream.schema(columns)
     if file_format.lower() == "parquet":
-        return with_file_name(reader.parquet(path))
-    return with_file_name(reader.options(sep=sep, header=header, quote='"', escape='"').csv(path))
+        files = with_file_name(reader.parquet(path))
+    else:
+        files = with_file_name(reader.options(sep=sep, header=header, quote='"', escape='"').csv(path))
+    return files.select([F.col(c).cast("string").alias(c) for c in files.columns])
 
 
 def stream_layers(stream: DataFrame, database: str, subject: Mapping[str, Any], checkpoint: str, *,
@@ -45,6 +47,7 @@ def stream_layers(stream: DataFrame, database: str, subject: Mapping[str, Any],
         job = Job(database, dict(subject), run)
         key = parse_list(subject["null_check_columns"])
         kept, rejected = split_bronze(bronze_rows(rows, job, {}), key, newest_by)
+        add_missing_columns(kept, job.table("bronze_stream"))
         write_quarantine(rejected, job.table("quarantine"))
         write_slice(kept, job.table("bronze_stream"))
         if to_silver:
