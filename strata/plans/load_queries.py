@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,27 +63,40 @@ def land(rows: DataFrame, frequency: str, folder: str, run: str) -> str:
     return path
 
 
-_LOADED: dict[tuple[str, str], tuple[str, str]] = {}
+def load_subject(spark: SparkSession, frequency: str, landed: dict[str, DataFrame], root: str) -> str:
+    """Both runs of one subject in a database of its own; returns the database."""
+    database = new_database(spark)
+    for run in landed:
+        path = f"{root}/{frequency}/fc_{frequency}_{RUNS[run]:%Y%m%d%H%M}.parquet"
+        run_subject(spark, database, f"fc_{frequency}", Run(run, RUNS[run], run), path, newest_by=["changed_on"],
+                    archive_root=f"{root}/archive")
+    return database
+
+
+_LOADED: dict[tuple[str, str], tuple[list[str], str]] = {}
+
 
+def loaded(spark: SparkSession, sf: str) -> tuple[list[str], str]:
+    """(databases, archive folder) after both runs of the four subjects; loaded once per session.
 
-def loaded(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """(database, archive folder) after both runs of all four subjects; loaded once per session."""
+    The subjects have sessions and databases of their own and run side by side.
+    """
     key = (spark.sparkContext.applicationId, sf)
     if key not in _LOADED:
-        database, root = new_database(spark), work_path(spark, "landing")
-        archive = f"{root}/archive"
-        for run, rows in landing_rows(spark, sf).items():
+        root = work_path(spark, "landing")
+        landed = landing_rows(spark, sf)
+        for run, rows in landed.items():
             for frequency in FREQUENCIES:
-                path = land(rows, frequency, f"{root}/{frequency}", run)
-                run_subject(
-                    spark, database, f"fc_{frequency}", Run(run, RUNS[run], run), path,
-                    newest_by=["changed_on"], archive_root=archive)
-        _LOADED[key] = (database, archive)
+                land(rows, frequency, f"{root}/{frequency}", run)
+        with ThreadPoolExecutor(len(FREQUENCIES)) as pool:
+            jobs = [pool.submit(load_subject, spark.newSession(), f, landed, root) for f in FREQUENCIES]
+            _LOADED[key] = ([job.result() for job in jobs], f"{root}/archive")
     return _LOADED[key]
 
 
 def layer(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.table(f"{loaded(spark, sf)[0]}.{name}")
+    tables = [spark.table(f"{database}.{name}") for database in loaded(spark, sf)[0]]
+    return reduce(DataFrame.unionByName, tables)
 
 
 # ---------------------------------------------------------------- layer jobs
@@ -151,17 +166,18 @@ def run_fact(spark, sf):
 
 
 @query(with_parts(
-    "SELECT CAST(forecast_date AS VARCHAR) AS date_key, count(DISTINCT forecast_date) AS n FROM run_fact"
+    "SELECT CAST(forecast_date AS VARCHAR) AS date_key, count(DISTINCT _frequency) AS n FROM run_fact"
     " GROUP BY forecast_date", "run_fact"))
 def run_dim_time(spark, sf):
     return layer(spark, sf, "dim_time").groupBy("date_key").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(with_parts(
-    "SELECT 'dim_product' AS dimension, product_id AS member, CAST(1 AS BIGINT) AS open_versions FROM run_fact"
-    " GROUP BY product_id UNION ALL SELECT 'dim_location', location_id, 1 FROM run_fact GROUP BY location_id",
-    "run_fact"))
+    "SELECT 'dim_product' AS dimension, product_id AS member, count(DISTINCT _frequency) AS open_versions"
+    " FROM run_fact GROUP BY product_id UNION ALL"
+    " SELECT 'dim_location', location_id, count(DISTINCT _frequency) FROM run_fact GROUP BY location_id", "run_fact"))
 def run_dimensions(spark, sf):
+    """Open versions per member: one in each subject's dimension that has it."""
     def members(name: str, key: str) -> DataFrame:
         counts = layer(spark, sf, name).groupBy(F.col(key).alias("member")).agg(
             F.count_if("is_active").alias("open_versions"))
@@ -175,12 +191,13 @@ def run_dimensions(spark, sf):
     " UNION ALL SELECT 'dim_location', 0")
 def run_invariants(spark, sf):
     keys = {"silver": schema.MATCH_KEY, "dim_product": ["product_id"], "dim_location": ["location_id"]}
-    counts = [
-        scd2_violations(layer(spark, sf, name), key).agg(F.count(F.lit(1)).alias("violations"))
-        .withColumn("table_name", F.lit(name))
-        for name, key in keys.items()
+    found = [
+        scd2_violations(spark.table(f"{database}.{name}"), key).select(F.lit(name).alias("table_name"))
+        for name, key in keys.items() for database in loaded(spark, sf)[0]
     ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    names = spark.createDataFrame([(name,) for name in keys], "table_name string")
+    marked = reduce(DataFrame.unionByName, found).withColumn("one", F.lit(1))
+    return names.join(marked, "table_name", "left").groupBy("table_name").agg(F.count("one").alias("violations"))
 
 
 def _key_figures(metric: str) -> str:
