@@ -56,9 +56,12 @@ def bag_difference(whole: DataFrame, part: DataFrame) -> DataFrame:
     left = signed.groupBy(*names).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 0)
     chunks = left.withColumn("_chunk", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {COPIES_PER_CHUNK}"))))
+    # A fixed number of partitions: adaptive execution would join the chunks again, as they are still short.
+    partitions = int(whole.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = F.least(F.lit(COPIES_PER_CHUNK), F.col("_n") - F.col("_chunk") * COPIES_PER_CHUNK)
-    spread = chunks.filter("_n > 1").repartition(*names, "_chunk").unionByName(chunks.filter("_n = 1"))
-    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1), size.cast("int")))).select(*names)
+    copies = chunks.repartition(partitions, *names, "_chunk").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), size.cast("int"))))
+    return copies.select(*names)
 
 
 def validate_duplicates(df: DataFrame, key_columns: Iterable[str], order_by: Iterable[str] = (),

@@ -17,7 +17,9 @@ Sink = str | tuple[Database, str]
 
 
 def _frame(spark: SparkSession, struct: T.StructType, **values) -> DataFrame:
-    return spark.createDataFrame([tuple(values.get(f.name) for f in struct.fields)], struct)
+    """One row made of literals."""
+    columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in struct.fields]
+    return spark.range(1, numPartitions=1).select(columns)
 
 
 def append_to(df: DataFrame, sink: Sink) -> None:
