@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import work_path
+
 AS_OF = "1998-12-01 00:00:00"
 
 FORECAST = {
@@ -92,8 +94,8 @@ def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select([F.expr(e).alias(n) for n, e in columns.items()])
 
 
-def forecast_src(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-shaped rows, dirty classes included."""
+def derive_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze-shaped rows, dirty classes included, from the driver's tables."""
     def t(name: str) -> DataFrame:
         return table(spark, sf_dir, name)
 
@@ -108,6 +110,22 @@ def forecast_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(joined, FORECAST)
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def forecast_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast rows as a stored extract, which is what every operator starts from.
+
+    Derived in full and written to the shared folder once per session and input folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = work_path(spark, "forecast-src")
+        derive_forecast(spark, sf_dir).hint("rebalance").write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(table(spark, sf_dir, "orders"), AUDIT_LOG)
 
