@@ -80,8 +80,8 @@ def open_all(incoming: DataFrame, as_of: date) -> DataFrame:
     })
 
 
-def scd2_violations(history: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Broken invariants, one row per (key, problem).
+def scd2_key_report(history: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Per key: the number of versions and the list of broken invariants.
 
     Versions are first counted per key and start day, so the ordered comparison sees a key at most
     once per day, however many rows the key has.
@@ -101,6 +101,7 @@ def scd2_violations(history: DataFrame, keys: Iterable[str]) -> DataFrame:
     per_key = per_start.withColumn("overlap", overlap).groupBy(*keys).agg(
         F.sum("active").alias("active"),
         F.max("n").alias("n"),
+        F.sum("n").alias("versions"),
         F.sum("mislabelled").alias("mislabelled"),
         F.sum("empty_span").alias("empty_span"),
         F.bool_or("overlap").alias("overlap"),
@@ -112,7 +113,13 @@ def scd2_violations(history: DataFrame, keys: Iterable[str]) -> DataFrame:
         F.when(F.col("empty_span") > 0, "EMPTY_SPAN"),
         F.when(F.col("overlap"), "OVERLAP"),
     ))
-    return per_key.select(*keys, F.explode(problems).alias("problem"))
+    return per_key.select(*keys, "versions", problems.alias("problems"))
+
+
+def scd2_violations(history: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Broken invariants, one row per (key, problem)."""
+    keys = list(keys)
+    return scd2_key_report(history, keys).select(*keys, F.explode("problems").alias("problem"))
 
 
 def lookup_as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: Iterable[str],

@@ -11,15 +11,20 @@ from strata.operators.star import (
     build_dim_time, build_fact, merge_dim_location, merge_dim_product, missing_dates, new_fact_rows,
 )
 from strata.plans.run import Job, LayerResult
-from strata.sources.sinks import (
-    append_rows, archive_partitions, insert_rows, partition_values, write_slice,
-)
+from strata.plans.silver import batch_periods
+from strata.sources.sinks import append_rows, archive_partitions, insert_rows, write_slice
 from strata.sources.staging import stage_once, staging_path
 
 
-def silver_batch(spark: SparkSession, job: Job) -> DataFrame:
-    """Versions this run opened, read from the open partitions of its frequency."""
-    rows = spark.table(job.table("silver")).filter(F.col("_frequency") == job.frequency)
+def in_slices(spark: SparkSession, job: Job, name: str, periods: list[str]) -> DataFrame:
+    """The partitions of a table that hold the given periods of the job's frequency."""
+    return spark.table(job.table(name)).filter(
+        (F.col("_frequency") == job.frequency) & F.col("period").isin(periods))
+
+
+def silver_batch(spark: SparkSession, job: Job, periods: list[str]) -> DataFrame:
+    """Versions this run opened, read from the open partitions it touched."""
+    rows = in_slices(spark, job, "silver", periods)
     return current_batch(active_versions(rows), job.run.batch_id)
 
 
@@ -46,13 +51,6 @@ def fact_candidates(spark: SparkSession, job: Job, batch: DataFrame) -> DataFram
     return enrich_gold(facts, batch_id=run.batch_id, run_ts=run.run_ts)
 
 
-def fact_slices(spark: SparkSession, job: Job, batch: DataFrame) -> DataFrame:
-    """Fact partitions that hold any of the batch's periods."""
-    periods = [v["period"] for v in partition_values(batch, ["period"])]
-    return spark.table(job.table("fact")).filter(
-        (F.col("_frequency") == job.frequency) & F.col("period").isin(periods))
-
-
 def archive_silver(batch: DataFrame, job: Job) -> None:
     """Copy the processed rows; Silver itself keeps them, since its history needs them."""
     write_slice(batch.withColumn("_archived_ts", F.lit(job.run.run_ts)), job.table("silver_archive"))
@@ -65,11 +63,12 @@ def archive_facts_before(spark: SparkSession, job: Job, period: str) -> int:
 
 
 def load_gold(spark: SparkSession, job: Job, fiscal_start_month: int = 1) -> LayerResult:
-    batch = silver_batch(spark, job)
+    periods = batch_periods(spark, job)
+    batch = silver_batch(spark, job, periods)
     load_dimensions(spark, job, batch, fiscal_start_month)
-    held = fact_slices(spark, job, batch)
+    held = in_slices(spark, job, "fact", periods)
     insert_rows(new_fact_rows(fact_candidates(spark, job, batch), held, schema.FACT_KEY), job.table("fact"))
     archive_silver(batch, job)
 
-    written = fact_slices(spark, job, batch).filter(F.col("_batch_id") == job.run.batch_id)
+    written = in_slices(spark, job, "fact", periods).filter(F.col("_batch_id") == job.run.batch_id)
     return LayerResult("GOLD", "SUCCESS", batch.count(), written.count(), 0, 0)

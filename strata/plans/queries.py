@@ -564,15 +564,11 @@ def scd2_actions(spark, sf):
     "SELECT 'versions' AS measure, count(*) AS n FROM history UNION ALL SELECT 'keys', count(*) FROM"
     f" (SELECT DISTINCT {KEY} FROM history) UNION ALL SELECT 'violations', 0", "history"))
 def scd2_invariants(spark, sf):
-    history = silver_history(spark, sf)
-    n = F.count(F.lit(1)).alias("n")
-    measures = {
-        "versions": history.agg(n),
-        "keys": history.select(*schema.MATCH_KEY).distinct().agg(n),
-        "violations": scd2.scd2_violations(history, schema.MATCH_KEY).agg(n),
-    }
-    rows = [df.withColumn("measure", F.lit(name)) for name, df in measures.items()]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    per_key = scd2.scd2_key_report(silver_history(spark, sf), schema.MATCH_KEY)
+    totals = per_key.agg(
+        F.sum("versions").alias("versions"), F.count(F.lit(1)).alias("keys"),
+        F.sum(F.size("problems")).alias("violations"))
+    return totals.unpivot([], ["versions", "keys", "violations"], "measure", "n")
 
 
 @query(with_parts(

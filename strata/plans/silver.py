@@ -46,21 +46,36 @@ def check_rows(nullified: DataFrame) -> DataFrame:
         cast_columns(marked), [Rule("FORMAT_CHECK", ",".join(types), ~F.col("_castable")), *business])
 
 
-def touched_versions(spark: SparkSession, job: Job, incoming: DataFrame) -> DataFrame:
+def batch_periods(spark: SparkSession, job: Job) -> list[str]:
+    """The months of this batch, from its aggregate: a short list that prunes later table reads."""
+    totals = spark.table(job.table("period_agg")).filter(
+        (F.col("_frequency") == job.frequency) & (F.col("_batch_id") == job.run.batch_id))
+    return [v["period"] for v in partition_values(totals, ["period"])]
+
+
+def touched_versions(spark: SparkSession, job: Job, periods: list[str]) -> DataFrame:
     """The Silver slices a merge may change: the batch's periods, open or closed on this very day."""
-    periods = [v["period"] for v in partition_values(incoming, ["period"])]
     return spark.table(job.table("silver")).filter(
         (F.col("_frequency") == job.frequency) & F.col("period").isin(periods)
         & (F.col("effective_to").isNull() | (F.col("effective_to") == F.lit(job.run.as_of))))
 
 
+def write_period_totals(job: Job, incoming: DataFrame) -> None:
+    totals = period_aggregate(incoming).withColumns({
+        "_silver_load_ts": F.lit(job.run.run_ts), "_batch_id": F.lit(job.run.batch_id)})
+    write_slice(conform(totals, schema.PERIOD_AGG), job.table("period_agg"))
+
+
 def merge_silver(spark: SparkSession, job: Job, incoming: DataFrame) -> dict[str, int]:
-    """Merge one row per key into Silver; returns the number of keys per action."""
+    """Merge one row per key into Silver; returns the number of keys per action.
+
+    The batch's period totals have been written before and tell which slices the merge touches.
+    """
     run = job.run
 
     def merged() -> DataFrame:
         return scd2_merge(
-            touched_versions(spark, job, incoming), incoming, schema.MATCH_KEY, schema.TRACKED, run.as_of,
+            touched_versions(spark, job, batch_periods(spark, job)), incoming, schema.MATCH_KEY, schema.TRACKED, run.as_of,
             on_close={"_update_ts": F.lit(run.run_ts)}, with_action=True)
 
     staged = stage_once(spark, staging_path(spark, job.table("silver"), f"{run.batch_id}-{job.frequency}"), merged)
@@ -84,12 +99,9 @@ def load_silver(spark: SparkSession, job: Job, threshold: float | None = None) -
     valid, invalid = validate_data_types(nullified, schema.TYPED_COLUMNS)
     write_quarantine(quarantine(invalid, "TYPE_ERROR"), job.table("quarantine"))
     incoming = silver_rows(valid, job)
+    write_period_totals(job, incoming)
     actions = merge_silver(spark, job, incoming)
 
-    totals = period_aggregate(incoming).withColumns({
-        "_silver_load_ts": F.lit(run.run_ts), "_batch_id": F.lit(run.batch_id)})
-    write_slice(conform(totals, schema.PERIOD_AGG), job.table("period_agg"))
-
     checked = measured.filter("check_type = 'FORMAT_CHECK'").first()
     return LayerResult("SILVER", "SUCCESS", checked.records_checked, actions.get(NEW, 0), actions.get(CHANGED, 0),
                        checked.records_failed)

@@ -17,7 +17,7 @@ from strata.operators.kpi import parse_list
 from strata.operators.quality import quarantine, validate_data_types
 from strata.plans.bronze import bronze_rows, split_bronze
 from strata.plans.run import Job, Run
-from strata.plans.silver import merge_silver, silver_rows
+from strata.plans.silver import merge_silver, silver_rows, write_period_totals
 from strata.sources.files import with_file_name
 from strata.sources.sinks import add_missing_columns, write_quarantine, write_slice
 
@@ -55,7 +55,9 @@ def stream_layers(stream: DataFrame, database: str, subject: Mapping[str, Any],
                 (F.col("_frequency") == job.frequency) & (F.col("_batch_id") == run.batch_id))
             valid, invalid = validate_data_types(nullify_empty_strings(batch), schema.TYPED_COLUMNS)
             write_quarantine(quarantine(invalid, "TYPE_ERROR"), job.table("quarantine"))
-            merge_silver(spark, job, silver_rows(valid, job))
+            incoming = silver_rows(valid, job)
+            write_period_totals(job, incoming)
+            merge_silver(spark, job, incoming)
 
     return (
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
