@@ -159,6 +159,13 @@ def test_no_data(spark):
     assert spark.table(f"{database}.bronze").isEmpty()
 
 
+def test_batch_of_rejects_only(spark):
+    database = new_database(spark)
+    result = go(spark, database, "b1", 1, land(spark, [row(None), row(day="never")], "fc_202401010600"))
+    assert {r.layer: r.inserted for r in result.layers} == {"BRONZE": 1, "SILVER": 0, "GOLD": 0, "AGGR_AUDIT": 0}
+    assert spark.table(f"{database}.quarantine").count() == 2
+
+
 def test_failure_stops_the_run_is_logged_and_can_be_resumed(spark, monkeypatch):
     database = new_database(spark)
     path = land(spark, FIRST, "fc_202401010600")
@@ -199,7 +206,7 @@ def test_publishing_resumes_from_the_staged_merge(spark, monkeypatch):
 
     def dies(df, table):
         if table.endswith(".silver"):
-            spark.sql(f"ALTER TABLE {table} DROP PARTITION (_frequency='daily', period='2024-01-01')")
+            real(df.filter("product_id <> 'P1' AND is_active"), table)
             raise RuntimeError("driver lost")
         real(df, table)
 
