@@ -12,7 +12,7 @@ from strata.operators.dedup import one_per_key
 
 RUN_COLUMNS = [
     "batch_id", "object_name", "data_layer", "job_status", "source_row_count", "target_row_count",
-    "error_record_count", "job_duration_sec", "job_start_ts", "job_end_ts", "source_system",
+    "error_record_count", "job_duration_sec", "job_start_ts", "job_end_ts", "file_name", "source_system",
 ]
 
 

@@ -19,6 +19,7 @@ from strata.sources.config import get_pipeline_metadata
 from strata.sources.files import has_source, resolve_path
 
 TARGETS = {"BRONZE": "bronze", "SILVER": "silver", "GOLD": "fact", "AGGR_AUDIT": "kpi"}
+INPUTS = {"SILVER": "bronze", "GOLD": "silver", "AGGR_AUDIT": "fact"}
 
 
 @dataclass(frozen=True)
@@ -28,15 +29,17 @@ class SubjectResult:
     layers: list[LayerResult]
 
 
-def _log(spark: SparkSession, job: Job, result: LayerResult, started: datetime) -> None:
+def _log(spark: SparkSession, job: Job, result: LayerResult, started: datetime, path: str) -> None:
     """Audit entry first; the job-log row is the layer's commit marker and comes last."""
     run, config = job.run, job.subject
+    read_from = job.table(INPUTS[result.layer]) if result.layer in INPUTS else path
     logs.write_audit_entry(
         spark, job.table("pipeline_audit"), batch_id=run.batch_id, application_id=run.application_id,
         object_name=job.table(TARGETS[result.layer]), data_layer=result.layer, job_status=result.status,
         source_row_count=result.source_rows, target_row_count=result.inserted + result.updated,
-        error_record_count=result.errors, source_system=config["source_system"],
-        load_job_number=run.load_job_nr, job_start_ts=started, job_end_ts=datetime.now(timezone.utc))
+        error_record_count=result.errors, source_system=config["source_system"], data_subject=job.name,
+        file_name=read_from, load_job_number=run.load_job_nr, job_start_ts=started,
+        job_end_ts=datetime.now(timezone.utc))
     logs.write_job_log(
         spark, job.table("job_log"), batch_id=run.batch_id, layer=result.layer, status=result.status,
         insert_time=run.run_ts, records_inserted=result.inserted, records_updated=result.updated,
@@ -48,7 +51,7 @@ def _fail(spark: SparkSession, job: Job, layer: str, started: datetime, error: E
     message = f"{type(error).__name__}: {error}"
     logs.mark_audit_failed(
         spark, job.table("pipeline_audit"), batch_id=run.batch_id, application_id=run.application_id,
-        object_name=job.table(TARGETS[layer]), data_layer=layer, source_system=config["source_system"],
+        object_name=job.table(TARGETS[layer]), data_layer=layer, source_system=config["source_system"], data_subject=job.name,
         load_job_number=run.load_job_nr, job_start_ts=started, job_end_ts=datetime.now(timezone.utc),
         error_message=message)
     logs.write_job_log(
@@ -74,8 +77,8 @@ def run_subject(spark: SparkSession, database: str, data_subject: str, run: Run
     if not has_source(spark, path, config["file_format"], config["delimiter"], config["has_header"]):
         logs.log_no_data(
             spark, job.table("pipeline_audit"), batch_id=run.batch_id, application_id=run.application_id,
-            object_name=path, source_system=config["source_system"], load_job_number=run.load_job_nr,
-            job_start_ts=run.run_ts, job_end_ts=run.run_ts)
+            object_name=path, source_system=config["source_system"], data_subject=job.name,
+            load_job_number=run.load_job_nr, job_start_ts=run.run_ts, job_end_ts=run.run_ts)
         return SubjectResult(run.batch_id, "NO_DATA", [])
 
     steps: list[tuple[str, Callable[[], LayerResult]]] = [
@@ -97,6 +100,6 @@ def run_subject(spark: SparkSession, database: str, data_subject: str, run: Run
         except Exception as error:
             _fail(spark, job, layer, started, error)
             raise
-        _log(spark, job, result, started)
+        _log(spark, job, result, started, path)
         done.append(result)
     return SubjectResult(run.batch_id, "SUCCESS", done)

@@ -124,7 +124,7 @@ PIPELINE_AUDIT = _fields(
     "batch_id string, application_id string, object_name string, data_layer string, "
     "job_start_ts timestamp, job_end_ts timestamp, job_status string, source_row_count bigint, "
     "target_row_count bigint, error_record_count bigint, job_duration_sec int, source_system string, "
-    "file_name string, load_job_number string, created_by string, error_message string, "
+    "data_subject string, file_name string, load_job_number string, created_by string, error_message string, "
     "created_ts timestamp, updated_ts timestamp"
 )
 

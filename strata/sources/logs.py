@@ -37,8 +37,8 @@ def _now() -> datetime:
 def write_audit_entry(spark: SparkSession, sink: Sink, *, batch_id: str, application_id: str | None = None,
                       object_name: str, data_layer: str, job_status: str, source_row_count: int | None = 0,
                       target_row_count: int | None = 0, error_record_count: int | None = 0,
-                      source_system: str | None = None, file_name: str | None = None,
-                      load_job_number: str | None = None, job_start_ts: datetime | None = None,
+                      source_system: str | None = None, data_subject: str | None = None,
+                      file_name: str | None = None, load_job_number: str | None = None, job_start_ts: datetime | None = None,
                       job_end_ts: datetime | None = None, error_message: str | None = None) -> None:
     """One audit row. Missing times default to now; the duration is in whole seconds."""
     now = _now()
@@ -48,8 +48,8 @@ def write_audit_entry(spark: SparkSession, sink: Sink, *, batch_id: str, applica
         data_layer=data_layer, job_start_ts=start, job_end_ts=end, job_status=job_status,
         source_row_count=source_row_count, target_row_count=target_row_count,
         error_record_count=error_record_count, job_duration_sec=int((end - start).total_seconds()),
-        source_system=source_system, file_name=file_name, load_job_number=load_job_number,
-        created_by=application_id, error_message=error_message, created_ts=now, updated_ts=now,
+        source_system=source_system, data_subject=data_subject, file_name=file_name,
+        load_job_number=load_job_number, created_by=application_id, error_message=error_message, created_ts=now, updated_ts=now,
     ), sink)
 
 

@@ -11,6 +11,7 @@ from strata.operators.quality import QualityGateError, check_schema
 from strata.operators.scd2 import scd2_violations
 from strata.plans import subject as subject_module
 from strata.plans.load_queries import new_database
+from strata.plans.reports import register_views
 from strata.plans.run import Run
 from strata.plans.subject import run_subject
 from strata.session import work_path
@@ -119,6 +120,16 @@ def test_audit_trail(spark, two_runs):
                    "CATEGORY_VALIDATION": (9, 1), "CURRENCY_VALIDATION": (9, 1), "RANGE_CHECK": (9, 1)}
 
 
+def test_views(spark, two_runs):
+    register_views(spark, two_runs[0])
+    assert spark.sql("SELECT * FROM vw_latest_pipeline_runs").count() == 8
+    assert spark.sql("SELECT sum(success_count) FROM vw_daily_load_summary").first()[0] == 8
+    rate = spark.sql("SELECT pass_rate_pct FROM vw_dq_summary WHERE check_type = 'NULL_CHECK' ORDER BY check_date")
+    assert [float(r[0]) for r in rate.collect()] == [80.0, 100.0]
+    gold = spark.sql("SELECT data_subject, keyfigures FROM vw_aggregated_audit")
+    assert rows_of(gold) == [(SUBJECT, "forecast_qty,revenue_amount")] * 2
+
+
 def test_key_figures(spark, two_runs):
     kpi = spark.table(f"{two_runs[0]}.kpi").filter("_batch_id = 'b1'")
     by_file = kpi.filter("file_name IS NOT NULL").select("keyfigure", "no_of_records", "total_qty_amount")
