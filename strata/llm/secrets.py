@@ -1,0 +1,181 @@
+"""Secret scans: base patterns, and literals found by lexing assignments and propagating constants.
+
+Source and configuration syntax is read as pairs of a name and a literal: ``name = "x"``, ``name: x``,
+``name := x``, ``"name" => x``, ``section["name"] = x``. A value that is itself a name takes the literal
+assigned to that name, through any chain of assignments in the same text. Each literal is scored by the words
+of its target names: sensitive words raise, harmless words lower the score, and placeholders and plain
+words score nothing. Literals at or above the threshold become spans of kind ``lexed`` unless a base span holds them.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections import Counter
+from typing import NamedTuple
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strata.llm.common import appended
+
+KINDS = ["assign", "access", "hex", "lexed"]
+WORDS = ["password", "passwd", "secret", "token", "api"]  # every match of the first pattern holds one of these
+ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"[0-9a-f]{32,}")
+
+OPERATOR = re.compile(r":=|=>|=|:")
+LONGEST_NAME = 256  # code points an identifier or path of identifiers may have
+NAME = re.compile(r"""(?:(["'])([\w.\- ]{1,128})\1|([A-Za-z_][\w.\-]*)((?:\[["']?[\w.\-]+["']?\])*))[ \t]*$""")
+VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|["'`]?([^\s"'`,;(){}\[\]<>]+))""")
+PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
+IDENTIFIER = re.compile(r"[A-Za-z_][\w.\-]*")
+PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|_+|change_?me.*|example.*|your[_-].*|none|null|true|false|undefined|todo.*|redacted.*|\$\{?\w+\}?|%\(?\w+\)?s?|<.*>|\{\{.*\}\})$")
+
+# Sensitivity of the words of a target name.
+SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "pass": 0.7, "passphrase": 1.0, "secret": 1.0, "token": 0.9,
+             "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "auth": 0.6, "bearer": 0.8, "privatekey": 1.0,
+             "accesskey": 1.0, "signature": 0.5, "salt": 0.6, "pin": 0.5, "webhook": 0.5, "dsn": 0.6}
+PAIRS = {("api", "key"): 1.0, ("private", "key"): 1.0, ("access", "key"): 1.0, ("secret", "key"): 1.0,
+         ("signing", "key"): 0.9, ("encryption", "key"): 1.0, ("client", "secret"): 1.0, ("connection", "string"): 0.7}
+HARMLESS = {"public": 0.3, "example": 0.3, "path": 0.4, "file": 0.4, "url": 0.5, "name": 0.4, "length": 0.2, "count": 0.2,
+            "type": 0.3, "expiry": 0.2, "hint": 0.2, "field": 0.3, "label": 0.3, "limit": 0.2, "max": 0.3, "min": 0.3}
+
+
+class Span(NamedTuple):
+    kind: str
+    start: int
+    end: int
+    value_start: int  # where the secret itself begins
+    score: float
+
+
+def base_spans(text: str) -> list[Span]:
+    found = []
+    lower = text.lower()
+    if any(w in lower for w in WORDS):
+        found += [Span("assign", m.start(), m.end(), m.start(2), 1.0) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    if "AKIA" in text:
+        found += [Span("access", m.start(), m.end(), m.start(), 1.0) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
+    found += [Span("hex", m.start(), m.end(), m.start(), 1.0) for m in HEX.finditer(text)]
+    return found
+
+
+def name_score(name: str) -> float:
+    words = [w.lower() for w in PARTS.findall(name)]
+    score = max([SENSITIVE.get(w, 0.0) for w in words] + [PAIRS.get(p, 0.0) for p in zip(words, words[1:])], default=0.0)
+    for w in words:
+        score *= HARMLESS.get(w, 1.0)
+    return score
+
+
+def literal_score(value: str) -> float:
+    """0 for placeholders and short or plain words, up to 1 for long mixed ones."""
+    if len(value) < 8 or PLACEHOLDER.match(value):
+        return 0.0
+    counts = Counter(value)
+    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
+    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w\s]"))
+    if kinds < 2 or re.search(r"\s", value):
+        return min(0.4, entropy / 8)
+    return min(1.0, entropy / 3.5)
+
+
+def assignments(text: str) -> list[tuple[str, str, int, int, bool]]:
+    """(name, value, start, end, is a bare name) of each pair, in order of the text."""
+    pairs = []
+    after = 0
+    for op in OPERATOR.finditer(text):
+        if op.start() < after:
+            continue
+        name = NAME.search(text, max(after, op.start() - LONGEST_NAME), op.start())
+        if not name:
+            continue
+        value = VALUE.match(text, op.end())
+        if not value:
+            continue
+        group = value.lastindex
+        word = name[2] or (name[3] + (name[4] or ""))
+        pairs.append((word, value[group], value.start(group), value.end(group),
+                      group == 4 and bool(IDENTIFIER.fullmatch(value[4]))))
+        after = value.end() if group < 4 else op.end()
+    return pairs
+
+
+def lexed_spans(text: str, threshold: float) -> list[Span]:
+    if "=" not in text and ":" not in text:
+        return []
+    literals: dict[str, tuple[str, int, int]] = {}
+    best: dict[tuple[int, int], float] = {}
+    for name, value, start, end, bare in assignments(text):
+        source = literals.get(value) if bare else None
+        value, start, end = source or (value, start, end)
+        literals[name] = (value, start, end)
+        weight = name_score(name)
+        if weight:
+            best[start, end] = max(best.get((start, end), 0.0), weight * literal_score(value))
+    return [Span("lexed", a, b, a, s) for (a, b), s in best.items() if s >= threshold]
+
+
+def scan(text: str | None, threshold: float = 0.6) -> list[Span]:
+    """All spans of a text by start, then kind; positions in code points."""
+    if not text:
+        return []
+    base = base_spans(text)
+    own = [s for s in lexed_spans(text, threshold) if not any(b.start <= s.start and s.end <= b.end for b in base)]
+    return sorted(base + own, key=lambda s: (s.start, KINDS.index(s.kind)))
+
+
+def redacted(text: str | None, mask: str, threshold: float) -> str | None:
+    """The text with every secret replaced; names of assignments stay."""
+    out, at = [], 0
+    for a, b in sorted((s.value_start, s.end) for s in scan(text, threshold)):
+        if b > at:
+            if a >= at:
+                out.append(text[at:a] + mask)
+            at = b
+    return "".join(out) + text[at:] if out else text
+
+
+SPANS = "array<struct<kind:string,start:bigint,end:bigint,value_start:bigint,score:double>>"
+
+
+def secret_spans(docs: DataFrame, text: str = "text", threshold: float = 0.6) -> DataFrame:
+    """``docs`` with a column ``spans``, an array of (kind, start, end, value_start, score).
+
+    Null and empty texts have no span. Rows, keys and other columns pass unchanged, repeated rows each on
+    their own; a column of the name ``spans`` is replaced. Empty tables stay empty.
+    """
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
+                               ("value_start", pa.int64()), ("score", pa.float64())]))
+
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([[s._asdict() for s in scan(t, threshold)] for t in batch.column(text).to_pylist()], kind)]
+
+    return appended(docs, f"spans {SPANS}", compute)
+
+
+def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", threshold: float = 0.6) -> DataFrame:
+    """``docs`` with secrets in ``text`` replaced by ``mask``; columns, their order and all rows stay."""
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([redacted(t, mask, threshold) for t in batch.column(text).to_pylist()], pa.string())]
+
+    return appended(docs, f"{text} string", compute).select([F.col(f"`{c}`") for c in docs.columns])
+
+
+def _joined(spans: list[Span]) -> str:
+    return ",".join(f"{s.kind}:{s.start}:{s.end}" for s in spans)
+
+
+def span_digest(docs: DataFrame, text: str = "text", threshold: float = 0.6) -> DataFrame:
+    """``docs`` without its text, with counts per base kind, a hash of the base spans and all spans as text."""
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        found = [scan(t, threshold) for t in batch.column(text).to_pylist()]
+        counts = [pa.array([sum(s.kind == k for s in f) for f in found], pa.int64()) for k in KINDS[:3]]
+        base = [hashlib.sha256(_joined([s for s in f if s.kind != "lexed"]).encode()).hexdigest() for f in found]
+        return [*counts, pa.array(base, pa.string()), pa.array([_joined(f) for f in found], pa.string())]
+
+    return appended(docs, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string", compute).drop(text)
