@@ -12,8 +12,9 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[8]", 4, **{"spark.ui.showConsoleProgress": "false"})
+def spark(tmp_path_factory):
+    session = build_session("local[8]", 4, **{
+        "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -4,9 +4,8 @@ import pytest
 
 from oracle_check import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, SQL = queries(), oracle_sql()
+from __spark_entry__ import entry
+from strata.plans.registry import ORACLE as SQL, QUERIES
 
 
 @pytest.fixture(scope="module")
