@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from strata.llm.secrets import base_spans, redact, scan, secret_spans, span_digest
+from strata.llm.secret_scan import base_spans, redact, scan, secret_spans, span_digest
 
 TEXTS = [
     None, "", "nothing here", 'token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" x', "PassWord:hunter2hunter2 passwd=short",
