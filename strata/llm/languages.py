@@ -180,11 +180,12 @@ def _remembered(model: Model, spark: SparkSession):
     return lambda: per_process(("languages", name), lambda: Words(Model(*shared.value)))
 
 
-def labelled_language(docs: DataFrame, model: Model, text: str = "text", penalty: float = 12.0) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; a text that is null or has no letter is ``und`` with score 0.
+def labelled_language(docs: DataFrame, model: Model, text: str = "text", penalty: float = 12.0,
+                      names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with a language and its score; a text that is null or has no letter is ``und`` with score 0.
 
     Rows pass one by one without a shuffle: repeated rows get equal labels, other columns stay, columns of
-    these two names are replaced, empty tables stay empty.
+    the two ``names`` are replaced, empty tables stay empty.
     """
     words = _remembered(model, docs.sparkSession)
 
@@ -192,7 +193,7 @@ def labelled_language(docs: DataFrame, model: Model, text: str = "text", penalty
         found = predict(batch.column(text).to_pylist(), words(), penalty)
         return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
 
-    return appended(docs, "lang_pred string, score double", compute)
+    return appended(docs, f"{names[0]} string, {names[1]} double", compute)
 
 
 def language_spans(docs: DataFrame, model: Model, text: str = "text", penalty: float = 12.0) -> DataFrame:

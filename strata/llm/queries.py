@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import languages, lattice, packing, quality, repeats, secret_scan, simhash, token_counts, topk
+from strata.llm import languages, lattice, packing, quality, repeats, secret_scan, segmentations, simhash, token_counts, topk
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    found = segmentations.sample_segmentations(turns, ["conv_id", "turn"], digest=True)
+    return found.select("conv_id", "turn", F.explode("samples").alias("s")).select("conv_id", "turn", "s.*")
+
+
 @query
 def op2_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")

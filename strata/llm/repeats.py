@@ -358,7 +358,7 @@ def _removed(plan: Plan, own: Batch, codes: list[dict] | None, answers: list[dic
     return own.cover(starts, ends)
 
 
-def _finish(plan: Plan, passed: list[str], digest: bool):
+def _finish(plan: Plan, passed: list[str], names: list[str], digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             table, own, texts = plan.batch(row["payload"])
@@ -376,7 +376,7 @@ def _finish(plan: Plan, passed: list[str], digest: bool):
             arrays = [table.column(c).combine_chunks() for c in passed]
             yield pa.RecordBatch.from_arrays(
                 [*arrays, pa.array(own.sizes), pa.array(counts, pa.int64()), pa.array(spans, pa.int64()), rest],
-                [*passed, "n_bytes", "n_removed", "n_spans", "kept"])
+                [*passed, *names])
 
     return run
 
@@ -393,9 +393,9 @@ def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
 
 def without_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, q: int = 20, digest: bool = False,
-    batch_bytes: int = 2 << 20, common: int = 500,
+    batch_bytes: int = 2 << 20, common: int = 500, names: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept"),
 ) -> DataFrame:
-    """``docs`` without ``text``, with n_bytes, n_removed, n_spans and ``kept``.
+    """``docs`` without ``text``, with n_bytes, n_removed, n_spans and ``kept``, or under other ``names``.
 
     A byte goes if it is covered by a string of ``length`` bytes that also starts in a document with a smaller
     key; all strings are judged on the input, and overlaps count. ``kept`` is the text that is left, where a
@@ -409,9 +409,9 @@ def without_repeats(
     spark = docs.sparkSession
     plan = Plan(key, text, length, q, int(spark.conf.get("spark.sql.shuffle.partitions")), common)
     table = stored(spark, docs.mapInArrow(_write_batches(batch_bytes), "batch long, payload binary"), "repeats-batches")
-    passed = [c for c in docs.columns if c not in (text, "n_bytes", "n_removed", "n_spans", "kept")]
+    passed = [c for c in docs.columns if c not in (text, *names)]
     schema = T.StructType([docs.schema[c] for c in passed])
-    for name in ("n_bytes", "n_removed", "n_spans"):
+    for name in names[:3]:
         schema = schema.add(name, T.LongType())
 
     def asked(sent: DataFrame) -> DataFrame:
@@ -427,4 +427,4 @@ def without_repeats(
     answers = answers.groupBy("batch").agg(F.collect_list(F.struct("range", "masks", "flags")).alias("answers"))
     both = codes.join(answers, "batch", "left")
     last = table.join(both.hint("shuffle_hash"), "batch", "left").select("batch", "payload", "codes", "answers")
-    return last.mapInArrow(_finish(plan, passed, digest), schema.add("kept", T.StringType()))
+    return last.mapInArrow(_finish(plan, passed, list(names), digest), schema.add(names[3], T.StringType()))
