@@ -89,7 +89,7 @@ class RollingHash:
 
     def _grow(self, n: int) -> None:
         if n > len(self.up):
-            n = max(n, 2 * len(self.up))
+            n = n + n // 4
             self.up = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, self.base, np.uint64)])
             self.down = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, self.inverse, np.uint64)])
 

@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 
 from strata.llm.common import RollingHash, frames, per_process, stored, texts_of
 
-U, RANGE_BITS = np.uint64, 48
+U = np.uint64
+RANGES_PER_TASK = 8  # a task answers its hash ranges one after the other, so that few are in memory
 
 
 def _squeezed(a: np.ndarray) -> bytes:
@@ -393,7 +394,7 @@ def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
 
 def without_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, q: int = 20, digest: bool = False,
-    batch_bytes: int = 2 << 20, common: int = 500, names: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept"),
+    batch_bytes: int = 1 << 20, common: int = 500, names: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept"),
 ) -> DataFrame:
     """``docs`` without ``text``, with n_bytes, n_removed, n_spans and ``kept``, or under other ``names``.
 
@@ -407,7 +408,8 @@ def without_repeats(
     if not 0 < length - q <= 31:
         raise ValueError("q must be smaller than length, by 31 at most")
     spark = docs.sparkSession
-    plan = Plan(key, text, length, q, int(spark.conf.get("spark.sql.shuffle.partitions")), common)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = Plan(key, text, length, q, RANGES_PER_TASK * partitions, common)
     table = stored(spark, docs.mapInArrow(_write_batches(batch_bytes), "batch long, payload binary"), "repeats-batches")
     passed = [c for c in docs.columns if c not in (text, *names)]
     schema = T.StructType([docs.schema[c] for c in passed])
@@ -415,7 +417,7 @@ def without_repeats(
         schema = schema.add(name, T.LongType())
 
     def asked(sent: DataFrame) -> DataFrame:
-        return sent.repartition(plan.ranges, "range").sortWithinPartitions("range", "batch")
+        return sent.repartition(partitions, "range").sortWithinPartitions("range", "batch")
 
     grams = asked(table.mapInArrow(_send_grams(plan), "range int, batch long, grams binary"))
     codes = grams.mapInArrow(_answer_grams(plan), "batch long, range int, codes binary")
