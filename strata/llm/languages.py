@@ -49,7 +49,7 @@ class Model(NamedTuple):
 class Words:
     """Scores of words, remembered per process up to ``most`` words."""
 
-    def __init__(self, model: Model, most: int = 300_000):
+    def __init__(self, model: Model, most: int = 150_000):
         self.model, self.most = model, most
         self._clear()
 
@@ -131,7 +131,7 @@ def predict(texts: list[str | None], words: Words, penalty: float) -> list[tuple
     return out
 
 
-def learn(labelled: DataFrame, per_language: int = 1500, buckets: int = 1 << 16) -> Model:
+def learn(labelled: DataFrame, per_language: int = 1000, buckets: int = 1 << 16) -> Model:
     """A model from (text, lang), the ``per_language`` texts of each language with the smallest hashes.
 
     Rows without text or language are left out. What reaches the driver is bounded by languages times buckets.

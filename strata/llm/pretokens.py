@@ -55,7 +55,7 @@ def split(name: str, text: str) -> list[str]:
 class PieceIds(dict):
     """Pre-token -> its ids as little-endian 32-bit bytes, encoded by the library when first asked for."""
 
-    def __init__(self, name: str, most: int = 400_000, longest: int = 64):
+    def __init__(self, name: str, most: int = 200_000, longest: int = 64):
         super().__init__()
         self.encoder, self.most, self.longest = tokenizer(name), most, longest
 

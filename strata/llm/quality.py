@@ -74,17 +74,20 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-          per_label: int = 1500, buckets: int = 4096, dimensions: int = 48, seed: int = 7) -> Space:
+          per_label: int = 1000, buckets: int = 4096, dimensions: int = 48, seed: int = 7) -> Space:
     """The space of the ``per_label`` labelled texts of each label with the smallest hashes.
 
     Rows without key or label are left out; a key labelled twice counts with its smaller label. What reaches
     the driver is bounded by labels times ``per_label`` times ``buckets``.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_key")).agg(F.min(label).alias("y"))
-    rows = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(known, "_key")
     share = known.agg(F.avg("y")).first()[0]
-    order = Window.partitionBy("y").orderBy(F.xxhash64("_key"), "text")
-    sample = rows.select("y", "text", F.row_number().over(order).alias("n")).where(F.col("n") <= per_label)
+    order = Window.partitionBy("y").orderBy(F.xxhash64("_key"), "_key")
+    ids = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
+    drawn = ids.join(known, "_key").select("_key", "y", F.row_number().over(order).alias("n")).where(F.col("n") <= per_label)
+    # At most two labels times per_label keys are broadcast.
+    sample = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(drawn.select("_key", "y")), "_key")
+    sample = sample.groupBy("_key", "y").agg(F.min("text").alias("text"))
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         found = [terms(t, buckets) for t in texts_of(batch.column("text"))]
@@ -92,8 +95,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return [pa.array([u.tolist() for u in used], pa.list_(pa.int32())),
                 pa.array([f[u].tolist() for f, u in zip(found, used)], pa.list_(pa.int64()))]
 
-    got = appended(sample.select("y", "text"), "term array<int>, count array<long>", compute).drop("text").toPandas()
-    got = got.sort_values("y", kind="stable")
+    got = appended(sample.select("_key", "y", "text"), "term array<int>, count array<long>", compute).drop("text").toPandas()
+    got = got.sort_values("_key", kind="stable")
     counts = np.zeros((len(got), buckets), np.float32)
     for i, (t, c) in enumerate(zip(got.term, got["count"])):
         counts[i, np.asarray(t, int)] = c

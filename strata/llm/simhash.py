@@ -43,6 +43,8 @@ def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
 
 def majority(hashes: np.ndarray) -> int:
     """The 64 bits that are set in over half of the hashes, as an unsigned number; 0 for none."""
+    if 0 < len(hashes) <= 2:
+        return int(np.bitwise_and.reduce(hashes))
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at:at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -131,11 +133,11 @@ def _words(text: bytes) -> bytes:
 def _sketches(text: bytes, shingle: int, tables: int, least: int) -> tuple[list[int], int, bytes]:
     """Fingerprints of ``tables`` samples of the shingle set, its size, and a hash of the word sequence."""
     found = np.unique(shingle_hashes(text, shingle))
-    fps = []
-    for t in range(tables):
-        order = mixed(found ^ np.uint64((t + 1) * 0x9E3779B97F4A7C15 % 2**64))
-        part = np.sort(np.partition(order, least - 1)[:least] if len(order) > least else order)
-        fps.append(majority(mixed(part + np.uint64(t + 1))))
+    salts = np.arange(1, tables + 1, dtype=np.uint64)[:, None]
+    order = mixed(found[None, :] ^ salts * np.uint64(0x9E3779B97F4A7C15))
+    if len(found) > least:
+        order = np.partition(order, least - 1, axis=1)[:, :least]
+    fps = [majority(part) for part in mixed(order + salts)]
     return fps, len(found), _words(text)
 
 
