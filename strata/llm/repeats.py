@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from strata.llm.common import RollingHash, frames, per_process, stored, texts_of
 
 U = np.uint64
-RANGES_PER_TASK = 8  # a task answers its hash ranges one after the other, so that few are in memory
+RANGES_PER_TASK = 4  # a task answers its hash ranges one after the other, so that few are in memory
 
 
 def _squeezed(a: np.ndarray) -> bytes:
@@ -394,7 +394,7 @@ def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
 
 def without_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, q: int = 20, digest: bool = False,
-    batch_bytes: int = 1 << 20, common: int = 500, names: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept"),
+    batch_bytes: int = 512 << 10, common: int = 500, names: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept"),
 ) -> DataFrame:
     """``docs`` without ``text``, with n_bytes, n_removed, n_spans and ``kept``, or under other ``names``.
 
