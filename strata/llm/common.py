@@ -150,7 +150,7 @@ def components(spark: SparkSession, links: DataFrame, name: str, rounds: int = 6
     raise RuntimeError("components did not settle; raise rounds")
 
 
-def appended(docs: DataFrame, fields: str, compute, most: int = 8 << 20) -> DataFrame:
+def appended(docs: DataFrame, fields: str, compute, most: int = 2 << 20) -> DataFrame:
     """``docs`` with new columns, or same-named ones replaced: ``compute(batch)`` gives one array per field.
 
     ``fields`` is ``name type, ...``. All columns pass through Arrow in bounded slices; no shuffle.

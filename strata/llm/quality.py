@@ -141,7 +141,7 @@ def scored(docs: DataFrame, space: Space, text: str = "text", buckets: int = 409
         score = np.concatenate(out) if out else np.zeros(0)
         return [pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))]
 
-    return appended(docs, "score double, predicted int", compute, most=4 << 20)
+    return appended(docs, "score double, predicted int", compute)
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
