@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import RollingHash, frames, per_process, stored, texts_of
+from strata.llm.common import RollingHash, frames, mixed, per_process, stored, texts_of
 
 U = np.uint64
 RANGES_PER_TASK = 4  # a task answers its hash ranges one after the other, so that few are in memory
@@ -113,7 +113,8 @@ class Batch:
         low, high = windows[np.r_[0, cut]], windows[np.r_[cut - 1, len(windows) - 1]]
         # The document that a start lies in: the last one that begins at or before it, empty ones aside.
         doc = np.searchsorted(self.starts, low, side="right") - 1
-        return Runs(low, high, doc, h[at[np.r_[0, cut]]] >> U(16))
+        # The chosen hashes are minima, so small; mixed anew they are even over the ranges.
+        return Runs(low, high, doc, mixed(h[at[np.r_[0, cut]]]) >> U(16))
 
     def buckets(self) -> np.ndarray:
         """Distinct q-gram hashes, ascending."""
