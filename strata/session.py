@@ -6,7 +6,6 @@ session it is given and reads ``spark.checkpoint.dir`` from it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,17 +34,12 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local-mode session may go without it; it then gets a temporary folder, kept for the
-    life of the session.
+    Where it is unset, a folder in the warehouse, which executors and sessions share as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="strata-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_strata"
 
 
 def work_path(spark: SparkSession, name: str) -> str:
