@@ -23,6 +23,11 @@ def source_batch_nr(file_name: Column) -> Column:
     return F.regexp_extract(file_name, BATCH_NUMBER_PATTERN, 1)
 
 
+def plain_path(uri: Column) -> Column:
+    """A file's path without the escapes of its address; a plus sign stays one."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def landing_name(file_path: Column) -> Column:
     """The last segment of a file's path, or that of its folder when an engine wrote part files."""
     name = F.substring_index(file_path, "/", -1)

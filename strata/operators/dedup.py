@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +36,19 @@ def dedup_latest(df: DataFrame, keys: Iterable[str] = schema.MATCH_KEY,
     return one_per_key(df, keys, total_order(df, order_by, latest=True))
 
 
+def dedup_newest(df: DataFrame, newest_by: Mapping[str, str] | Sequence[str] = (),
+                 keys: Iterable[str] = schema.MATCH_KEY) -> DataFrame:
+    """Keep the newest row of each key in a batch of text columns.
+
+    ``newest_by`` lists columns, or maps them to the types they are compared in, so that 10 is newer than 9;
+    values that do not parse are the oldest. Then the newer file wins, then the other columns break ties.
+    """
+    types = newest_by if isinstance(newest_by, Mapping) else dict.fromkeys(newest_by)
+    first = [F.col(c).try_cast(t) if t else F.col(c) for c, t in types.items()]
+    rest = total_order(df, [c for c in ("_source_batch_nr", "_ingestion_ts") if c in df.columns], latest=True)
+    return one_per_key(df, keys, [*[c.desc_nulls_last() for c in first], *rest])
+
+
 def dedup_first(df: DataFrame, keys: Iterable[str] = schema.MATCH_KEY,
                 order_by: Iterable[str] = ("_ingestion_ts",)) -> DataFrame:
     """Keep the oldest row of each key."""

@@ -95,6 +95,22 @@ def merge_status_updates(log: DataFrame) -> DataFrame:
         "job_duration_sec", F.timestamp_diff("SECOND", F.col("job_start_ts"), F.col("job_end_ts")))
 
 
+def with_status_updates(log: DataFrame) -> DataFrame:
+    """The run log with later status updates (rows without a start) applied to the entries of their batch,
+    object and layer that they follow. Every attempt stays a row, with all its other columns."""
+    keys, counts = ["batch_id", "object_name", "data_layer"], ["source_row_count", "target_row_count", "error_record_count"]
+    changed = ["job_status", "job_end_ts", *counts]
+    at = F.struct("updated_ts", "job_end_ts")
+    updates = log.filter(F.col("job_start_ts").isNull()).groupBy(*keys).agg(
+        F.max("updated_ts").alias("_at"),
+        *[F.max(F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c)))).getField(c).alias(f"_{c}") for c in changed])
+    entries = log.filter(F.col("job_start_ts").isNotNull()).join(updates, keys, "left")
+    follows = F.col("_at") >= F.col("updated_ts")
+    resolved = entries.withColumns({c: F.when(follows & F.col(f"_{c}").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)) for c in changed})
+    seconds = F.timestamp_diff("SECOND", F.col("job_start_ts"), F.col("job_end_ts")).cast("int")
+    return resolved.withColumn("job_duration_sec", F.when(follows, seconds).otherwise(F.col("job_duration_sec"))).select(log.columns)
+
+
 def volume_trend(log: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
     """Rows loaded per day and layer by successful runs."""
     recent = last_days(log, "job_start_ts", as_of, days).filter(F.col("job_status") == "SUCCESS")

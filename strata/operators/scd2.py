@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.checks import all_of
-from strata.functions.keys import surrogate_key
 
 ACTION = "_action"
 NEW, CHANGED, SAME, ABSENT = "NEW", "CHANGED", "SAME", "ABSENT"
@@ -31,17 +30,26 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Iterable[str], tra
                as_of: date, on_close: dict[str, Column] | None = None, with_action: bool = False) -> DataFrame:
     """The state after merging ``incoming`` (one row per key, no NULL keys) at ``as_of``.
 
-    New key: open a version. Changed: close the open version and open one. Unchanged or absent:
-    keep. A second change on the day a version was opened replaces that version. ``on_close`` sets
-    further columns of closed versions. Both sides of the join hold a key once, so no key is hot.
+    New key: open a version. Changed: end the version that is valid on that day and begin one, which lasts as
+    long as the ended one did. Unchanged or absent: keep. A change on the day a version began replaces that
+    version. Days may come in any order: a change before a key's first version lasts until that begins, and
+    later versions stay. ``on_close`` sets further columns of ended versions. Both sides of the join hold a
+    key once, so no key is hot.
     """
     keys, tracked = list(keys), list(tracked)
     names = current.columns
-    joined = _compare(current.filter("is_active"), incoming, keys, tracked)
     day = F.lit(as_of).cast("date")
+    # Per key the earliest version that ends after the day: the one valid on it, or the next one.
+    nearest = F.row_number().over(Window.partitionBy(*keys).orderBy("effective_from"))
+    lasts = F.col("is_active") | F.coalesce(F.col("effective_to") > day, F.lit(False))
+    ahead = current.filter(lasts).withColumn("_nearest", nearest)
+    joined = _compare(ahead.filter("_nearest = 1").drop("_nearest"), incoming, keys, tracked)
+    later = F.col("cur.effective_from") > day
+    joined = joined.withColumn(ACTION, F.when(later & F.col("inc").isNotNull(), NEW).otherwise(F.col(ACTION)))
     on_close = on_close or {}
 
-    opening = {"effective_from": day, "effective_to": F.lit(None).cast("date"), "is_active": F.lit(True)}
+    until = F.when(later, F.col("cur.effective_from")).otherwise(F.col("cur.effective_to"))
+    opening = {"effective_from": day, "effective_to": until, "is_active": until.isNull()}
     closing = {"effective_to": day, "is_active": F.lit(False), **on_close}
     types = {f.name: f.dataType for f in current.schema.fields}
     arriving = set(incoming.columns)
@@ -55,13 +63,15 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Iterable[str], tra
 
     action = F.col(ACTION)
     rows = F.array_compact(F.array(
-        F.when(action.isin(SAME, ABSENT), kept)
+        F.when(action.isin(SAME, ABSENT) | later, kept)
         .when((action == CHANGED) & (F.col("cur.effective_from") < day), closed),
         F.when(action.isin(NEW, CHANGED), opened),
     ))
     merged = joined.select(action, F.inline(rows))
-    history = current.filter("NOT is_active").withColumn(ACTION, F.lit(None).cast("string"))
-    result = merged.unionByName(history)
+    no_action = F.lit(None).cast("string")
+    ended = current.filter(~lasts).withColumn(ACTION, no_action)
+    further = ahead.filter("_nearest > 1").drop("_nearest").withColumn(ACTION, no_action)
+    result = merged.unionByName(ended).unionByName(further)
     return result if with_action else result.drop(ACTION)
 
 
@@ -130,7 +140,3 @@ def lookup_as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, colum
     )
     inside = (F.col("_from") <= F.col(at)) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
     return facts.join(right, (F.col(key) == F.col("_key")) & inside, how).drop("_key", "_from", "_to")
-
-
-def with_surrogate_key(df: DataFrame, columns: Iterable[str], name: str) -> DataFrame:
-    return df.withColumn(name, surrogate_key(*[F.col(c) for c in columns]))

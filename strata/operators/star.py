@@ -104,7 +104,3 @@ def star_join(fact: DataFrame, dim_product: DataFrame, dim_location: DataFrame)
     location = dim_location.select(
         "location_key", F.col("region").alias("dim_region"), F.col("country").alias("dim_country"))
     return fact.join(product, "product_key").join(location, "location_key")
-
-
-def as_archive(fact: DataFrame, archived_ts: datetime) -> DataFrame:
-    return conform(fact.withColumn("_archived_ts", F.lit(archived_ts)), schema.FACT_ARCHIVE)

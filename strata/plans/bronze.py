@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from strata import schema
 from strata.operators.clean import align_columns, enrich_bronze, standardize
-from strata.operators.dedup import dedup_latest
+from strata.operators.dedup import dedup_newest
 from strata.operators.kpi import parse_list
 from strata.operators.quality import quarantine, validate_not_null
 from strata.plans.run import Job, LayerResult
 from strata.sources import logs
 from strata.sources.files import read_landing, resolve_path
-from strata.sources.sinks import add_missing_columns, archive_batch, write_quarantine, write_slice
+from strata.sources.sinks import add_missing_columns, archive_batch, replace_owned
 
 
 def bronze_rows(landing: DataFrame, job: Job, mapping: Mapping[str, str]) -> DataFrame:
@@ -26,16 +26,20 @@ def bronze_rows(landing: DataFrame, job: Job, mapping: Mapping[str, str]) -> Dat
     return standardize(enriched)
 
 
-def split_bronze(rows: DataFrame, key: Sequence[str], newest_by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+NewestBy = Mapping[str, str] | Sequence[str]
+
+
+def split_bronze(rows: DataFrame, key: Sequence[str], newest_by: NewestBy) -> tuple[DataFrame, DataFrame]:
     """(one complete row per match key, incomplete rows)."""
     valid, invalid = validate_not_null(rows, key)
-    return dedup_latest(valid, schema.MATCH_KEY, [*newest_by, "_ingestion_ts"]), quarantine(invalid, "NULL_PK")
+    return dedup_newest(valid, newest_by), quarantine(invalid, "NULL_PK")
 
 
 def load_bronze(spark: SparkSession, job: Job, source_path: str | None = None, *,
-                mapping: Mapping[str, str] | None = None, newest_by: Sequence[str] = (),
+                mapping: Mapping[str, str] | None = None, newest_by: NewestBy = (),
                 archive_root: str | None = None) -> LayerResult:
-    """``newest_by`` names source columns that tell which duplicate is the latest.
+    """``newest_by`` names source columns (with types, if they are not to be compared as text) that tell
+    which duplicate is the latest.
 
     Row counts are taken from what was written, so a task that ran twice is not counted twice.
     """
@@ -48,15 +52,15 @@ def load_bronze(spark: SparkSession, job: Job, source_path: str | None = None, *
 
     bronze, rejects = job.table("bronze"), job.table("quarantine")
     add_missing_columns(kept, bronze)
-    write_quarantine(rejected, rejects)
-    write_slice(kept, bronze)
+    owned = {"_frequency": job.frequency, "_batch_id": run.batch_id}
+    replace_owned(rejected, rejects, {**owned, "_dq_fail_reason": "NULL_PK"})
+    replace_owned(kept, bronze, owned)
     if archive_root is not None:
         archive_batch(landing, archive_root, job.name, run.load_job_nr)
 
     source = landing.count()
     inserted = spark.table(bronze).filter(
-        (F.col("_frequency") == job.frequency) & (F.col("_load_date") == F.lit(run.as_of))
-        & (F.col("_batch_id") == run.batch_id)).count()
+        (F.col("_frequency") == job.frequency) & (F.col("_batch_id") == run.batch_id)).count()
     errors = spark.table(rejects).filter(
         (F.col("_frequency") == job.frequency) & (F.col("_batch_id") == run.batch_id)
         & (F.col("_dq_fail_reason") == "NULL_PK")).count()
@@ -65,5 +69,5 @@ def load_bronze(spark: SparkSession, job: Job, source_path: str | None = None, *
     counts = spark.createDataFrame(
         checks, "check_type string, column_name string, records_checked bigint, records_failed bigint")
     logs.log_dq_counts(counts, job.table("data_quality_log"), batch_id=run.batch_id, table_name=bronze,
-                       created_ts=run.run_ts)
+                       data_subject=job.name, created_ts=run.run_ts)
     return LayerResult("BRONZE", "SUCCESS", source, inserted, 0, source - inserted)

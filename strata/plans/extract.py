@@ -11,6 +11,7 @@ from strata import schema
 from strata.plans.run import Run
 from strata.sources.extract import advance_watermark, extracted_mark, full_extract, incremental_extract
 from strata.sources.sinks import balanced, replace_small
+from strata.sources.staging import exists
 
 
 @dataclass(frozen=True)
@@ -24,7 +25,8 @@ def extract_to_landing(spark: SparkSession, metadata_table: str, source: DataFra
                        landing_root: str, run: Run) -> ExtractResult:
     """Write the object's new rows (or all rows, for a full load) as Parquet, then move the mark.
 
-    The mark is read from the landed files and only moves after they are complete. The state table has
+    Object and batch are in the path. A complete extract is never written again: a repeat of its run only
+    moves the mark. The mark is read from the landed files and only moves after they are complete. The state table has
     one row per source object.
     """
     state = spark.table(metadata_table)
@@ -35,8 +37,10 @@ def extract_to_landing(spark: SparkSession, metadata_table: str, source: DataFra
     incremental = row.load_type == "incremental"
     rows = incremental_extract(source, row.watermark_column, row.last_watermark) if incremental else full_extract(source)
 
-    path = f"{landing_root.rstrip('/')}/{row.landing_path}/{row.data_subject}_{run.run_ts:%Y%m%d%H%M}.parquet"
-    balanced(rows).write.mode("overwrite").parquet(path)
+    folder = f"{landing_root.rstrip('/')}/{row.landing_path}/{system}.{name}/{run.batch_id}"
+    path = f"{folder}/{row.data_subject}_{run.run_ts:%Y%m%d%H%M}.parquet"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        balanced(rows).write.mode("overwrite").parquet(path)
     landed = spark.read.parquet(path)
     mark = extracted_mark(landed, row.watermark_column).first().new_watermark if incremental else None
     moved = advance_watermark(state, system, name, mark)

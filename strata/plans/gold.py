@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,9 @@ from strata.operators.star import (
     build_dim_time, build_fact, merge_dim_location, merge_dim_product, missing_dates, new_fact_rows,
 )
 from strata.plans.run import Job, LayerResult
-from strata.plans.silver import batch_periods
-from strata.sources.sinks import append_rows, archive_partitions, insert_rows, write_slice
-from strata.sources.staging import stage_once, staging_path
+from strata.plans.silver import batch_periods, staged_path
+from strata.sources.sinks import append_rows, archive_partitions, insert_rows, replace_owned, write_slice
+from strata.sources.staging import fingerprint, stage_once, stage_rows
 
 
 def in_slices(spark: SparkSession, job: Job, name: str, periods: list[str]) -> DataFrame:
@@ -31,13 +33,14 @@ def silver_batch(spark: SparkSession, job: Job, periods: list[str]) -> DataFrame
 def open_dimension(spark: SparkSession, job: Job, name: str) -> DataFrame:
     """The slices of a dimension that a merge on this day may change."""
     return spark.table(job.table(name)).filter(
-        F.col("effective_to").isNull() | (F.col("effective_to") == F.lit(job.run.as_of)))
+        F.col("effective_to").isNull() | (F.col("effective_to") >= F.lit(job.run.as_of)))
 
 
 def load_dimensions(spark: SparkSession, job: Job, batch: DataFrame, fiscal_start_month: int = 1) -> None:
     run = job.run
+    mark = fingerprint(batch, [*schema.SOURCE_COLUMNS, "_frequency"])
     for name, merge in (("dim_product", merge_dim_product), ("dim_location", merge_dim_location)):
-        path = staging_path(spark, job.table(name), f"{run.batch_id}-{job.frequency}")
+        path = staged_path(spark, job, f"{name}-{mark}")
         staged = stage_once(
             spark, path, lambda m=merge, n=name: m(open_dimension(spark, job, n), batch, run.as_of, run.run_ts))
         write_slice(staged, job.table(name))
@@ -53,7 +56,8 @@ def fact_candidates(spark: SparkSession, job: Job, batch: DataFrame) -> DataFram
 
 def archive_silver(batch: DataFrame, job: Job) -> None:
     """Copy the processed rows; Silver itself keeps them, since its history needs them."""
-    write_slice(batch.withColumn("_archived_ts", F.lit(job.run.run_ts)), job.table("silver_archive"))
+    replace_owned(batch.withColumn("_archived_ts", F.lit(job.run.run_ts)), job.table("silver_archive"),
+                  {"_frequency": job.frequency, "_batch_id": job.run.batch_id})
 
 
 def archive_facts_before(spark: SparkSession, job: Job, period: str) -> int:
@@ -64,7 +68,7 @@ def archive_facts_before(spark: SparkSession, job: Job, period: str) -> int:
 
 def load_gold(spark: SparkSession, job: Job, fiscal_start_month: int = 1) -> LayerResult:
     periods = batch_periods(spark, job)
-    batch = silver_batch(spark, job, periods)
+    batch = stage_rows(silver_batch(spark, job, periods), staged_path(spark, job, f"gold-{uuid.uuid4().hex[:12]}"))
     load_dimensions(spark, job, batch, fiscal_start_month)
     held = in_slices(spark, job, "fact", periods)
     insert_rows(new_fact_rows(fact_candidates(spark, job, batch), held, schema.FACT_KEY), job.table("fact"))

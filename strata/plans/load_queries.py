@@ -257,6 +257,7 @@ def _dq_line(run: str, number: int) -> str:
         f" WHERE b._frequency = l._frequency) FROM landed{number} l GROUP BY _frequency",
         f"SELECT {head}, 'FORMAT_CHECK', count(*), count_if(TRY_CAST(forecast_date AS DATE) IS NULL)"
         f" FROM bronze{number} GROUP BY _frequency",
+        f"SELECT {head}, 'DUPLICATE_CHECK', count(*), 0 FROM silver{number} GROUP BY _frequency",
         *[f"SELECT {head}, '{check}', count(*), count_if({bad}) FROM silver{number} GROUP BY _frequency"
           for check, bad in rules.items()],
     ]

@@ -13,7 +13,7 @@ VIEWS = ["vw_latest_pipeline_runs", "vw_daily_load_summary", "vw_dq_summary", "v
 
 def register_views(spark: SparkSession, database: str, as_of: Column | None = None) -> None:
     """Create or replace the views; ``as_of`` defaults to the time of each query."""
-    runs = spark.table(table_name(database, "pipeline_audit"))
+    runs = monitor.with_status_updates(spark.table(table_name(database, "pipeline_audit")))
     checks = spark.table(table_name(database, "data_quality_log"))
     subjects = spark.table(table_name(database, "pipeline_metadata"))
     now = F.current_timestamp() if as_of is None else as_of

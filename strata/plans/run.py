@@ -16,10 +16,11 @@ class Run:
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     load_job_nr: str = "1"
     application_id: str | None = None
+    day: date | None = None  # the day of a batch that another run began
 
     @property
     def as_of(self) -> date:
-        return self.run_ts.date()
+        return self.day or self.run_ts.date()
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,33 +12,41 @@ from strata.functions.checks import castable
 from strata.operators.clean import (
     cast_columns, conform, current_batch, derive_period, enrich_silver, nullify_empty_strings,
 )
+from strata.operators.dedup import dedup_newest
 from strata.operators.kpi import period_aggregate
 from strata.operators.quality import (
     Rule, business_rules, count_violations, flag_violations, gate, quarantine, validate_data_types,
 )
 from strata.operators.scd2 import ACTION, CHANGED, NEW, scd2_merge
+from strata.plans.bronze import NewestBy
 from strata.plans.run import Job, LayerResult
 from strata.sources import logs
-from strata.sources.sinks import partition_values, write_quarantine, write_slice
-from strata.sources.staging import stage_once, staging_path
+from strata.sources.sinks import add_missing_columns, partition_values, replace_owned, write_slice
+from strata.sources.staging import fingerprint, stage_once, stage_rows, staging_path
 
 
 def bronze_batch(spark: SparkSession, job: Job) -> DataFrame:
-    """This run's Bronze slice, found by its partitions, with blanks as NULL."""
-    rows = spark.table(job.table("bronze")).filter(
-        (F.col("_frequency") == job.frequency) & (F.col("_load_date") == F.lit(job.run.as_of)))
+    """This batch's Bronze slice, found by its partitions, with blanks as NULL."""
+    rows = spark.table(job.table("bronze")).filter(F.col("_frequency") == job.frequency)
     return nullify_empty_strings(current_batch(rows, job.run.batch_id))
 
 
-def silver_rows(castable_rows: DataFrame, job: Job) -> DataFrame:
-    """Typed, stamped and flagged rows, not versioned yet."""
+def silver_rows(castable_rows: DataFrame, job: Job, newest_by: NewestBy = ()) -> DataFrame:
+    """Typed, stamped and flagged rows, not versioned yet; one per key, also where texts spell a key in two ways."""
     config, run = job.subject, job.run
-    typed = cast_columns(castable_rows)
+    if config["partition_column"] not in schema.MATCH_KEY:
+        raise ValueError("the partition column must be part of the match key, or one key would lie in two periods")
+    typed = dedup_newest(cast_columns(castable_rows), newest_by)
     stamped = enrich_silver(typed, batch_id=run.batch_id, run_ts=run.run_ts)
     flagged = flag_violations(stamped, business_rules())
     return derive_period(flagged, config["partition_column"], config["apply_concat"])
 
 
+def staged_path(spark: SparkSession, job: Job, name: str = "") -> str:
+    """The folder of a batch's staged copies."""
+    return staging_path(spark, job.database, f"{job.run.batch_id}-{job.frequency}", *([name] if name else []))
+
+
 def check_rows(nullified: DataFrame) -> DataFrame:
     """Counts of the type check on all rows and of the business rules on castable ones."""
     types = schema.TYPED_COLUMNS
@@ -54,16 +64,17 @@ def batch_periods(spark: SparkSession, job: Job) -> list[str]:
 
 
 def touched_versions(spark: SparkSession, job: Job, periods: list[str]) -> DataFrame:
-    """The Silver slices a merge may change: the batch's periods, open or closed on this very day."""
+    """The Silver slices a merge may change: the batch's periods, open or closed on this day or later."""
     return spark.table(job.table("silver")).filter(
         (F.col("_frequency") == job.frequency) & F.col("period").isin(periods)
-        & (F.col("effective_to").isNull() | (F.col("effective_to") == F.lit(job.run.as_of))))
+        & (F.col("effective_to").isNull() | (F.col("effective_to") >= F.lit(job.run.as_of))))
 
 
 def write_period_totals(job: Job, incoming: DataFrame) -> None:
     totals = period_aggregate(incoming).withColumns({
         "_silver_load_ts": F.lit(job.run.run_ts), "_batch_id": F.lit(job.run.batch_id)})
-    write_slice(conform(totals, schema.PERIOD_AGG), job.table("period_agg"))
+    replace_owned(conform(totals, schema.PERIOD_AGG), job.table("period_agg"),
+                  {"_frequency": job.frequency, "_batch_id": job.run.batch_id})
 
 
 def merge_silver(spark: SparkSession, job: Job, incoming: DataFrame) -> dict[str, int]:
@@ -78,30 +89,39 @@ def merge_silver(spark: SparkSession, job: Job, incoming: DataFrame) -> dict[str
             touched_versions(spark, job, batch_periods(spark, job)), incoming, schema.MATCH_KEY, schema.TRACKED, run.as_of,
             on_close={"_update_ts": F.lit(run.run_ts)}, with_action=True)
 
-    staged = stage_once(spark, staging_path(spark, job.table("silver"), f"{run.batch_id}-{job.frequency}"), merged)
+    add_missing_columns(incoming, job.table("silver"))
+    mark = fingerprint(incoming, [*schema.SOURCE_COLUMNS, "_frequency"])
+    staged = stage_once(spark, staged_path(spark, job, f"silver-{mark}"), merged)
     # An empty batch stages no row; dynamic overwrite then replaces nothing.
     write_slice(staged.drop(ACTION), job.table("silver"))
-    opened = staged.filter(F.col("is_active") & F.col(ACTION).isin(NEW, CHANGED))
+    opened = staged.filter((F.col("effective_from") == F.lit(run.as_of)) & F.col(ACTION).isin(NEW, CHANGED))
     return {r[ACTION]: r["count"] for r in opened.groupBy(ACTION).count().collect()}
 
 
-def load_silver(spark: SparkSession, job: Job, threshold: float | None = None) -> LayerResult:
-    """``threshold`` stops the run before anything is written when a check's pass rate is lower."""
+def load_silver(spark: SparkSession, job: Job, threshold: float | None = None, newest_by: NewestBy = (),
+                expected: int | None = None) -> LayerResult:
+    """``threshold`` stops the run before anything is written when a check's pass rate is lower; ``expected``
+    is the number of rows that Bronze logged, and the run stops if others are found."""
     run = job.run
     nullified = bronze_batch(spark, job)
-    counts = check_rows(nullified)
-    measured = spark.createDataFrame(counts.collect(), counts.schema)
-    logs.log_dq_counts(measured, job.table("data_quality_log"), batch_id=run.batch_id,
+    valid, invalid = validate_data_types(nullified, schema.TYPED_COLUMNS)
+    incoming = stage_rows(silver_rows(valid, job, newest_by), staged_path(spark, job, f"typed-{uuid.uuid4().hex[:12]}"))
+    counts = check_rows(nullified).collect()
+    checked = next(r for r in counts if r.check_type == "FORMAT_CHECK")
+    if expected is not None and checked.records_checked != expected:
+        raise RuntimeError(f"Bronze logged {expected} rows of batch {run.batch_id}, found {checked.records_checked}")
+    unique, castable_rows = incoming.count(), checked.records_checked - checked.records_failed
+    repeats = ("DUPLICATE_CHECK", ",".join(schema.MATCH_KEY), castable_rows, castable_rows - unique)
+    measured = spark.createDataFrame(
+        [*map(tuple, counts), repeats], "check_type string, column_name string, records_checked bigint, records_failed bigint")
+    logs.log_dq_counts(measured, job.table("data_quality_log"), batch_id=run.batch_id, data_subject=job.name,
                        table_name=job.table("silver"), created_ts=run.run_ts)
     if threshold is not None:
-        gate(measured, threshold)
+        gate(measured.filter("check_type <> 'DUPLICATE_CHECK'"), threshold)
 
-    valid, invalid = validate_data_types(nullified, schema.TYPED_COLUMNS)
-    write_quarantine(quarantine(invalid, "TYPE_ERROR"), job.table("quarantine"))
-    incoming = silver_rows(valid, job)
+    replace_owned(quarantine(invalid, "TYPE_ERROR"), job.table("quarantine"), {
+        "_frequency": job.frequency, "_batch_id": run.batch_id, "_dq_fail_reason": "TYPE_ERROR"})
     write_period_totals(job, incoming)
     actions = merge_silver(spark, job, incoming)
-
-    checked = measured.filter("check_type = 'FORMAT_CHECK'").first()
     return LayerResult("SILVER", "SUCCESS", checked.records_checked, actions.get(NEW, 0), actions.get(CHANGED, 0),
-                       checked.records_failed)
+                       checked.records_failed + castable_rows - unique)

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from strata.plans.bronze import load_bronze
+from strata.plans.bronze import NewestBy, load_bronze
 from strata.plans.gold import load_gold
 from strata.plans.kpi import load_kpi
 from strata.plans.run import Job, LayerResult, Run
-from strata.plans.silver import load_silver
+from strata.plans.silver import load_silver, staged_path
 from strata.schema import table_name
 from strata.sources import logs
 from strata.sources.config import get_pipeline_metadata
 from strata.sources.files import has_source, resolve_path
+from strata.sources.staging import clear_staged
 
 TARGETS = {"BRONZE": "bronze", "SILVER": "silver", "GOLD": "fact", "AGGR_AUDIT": "kpi"}
 INPUTS = {"SILVER": "bronze", "GOLD": "silver", "AGGR_AUDIT": "fact"}
@@ -61,12 +62,13 @@ def _fail(spark: SparkSession, job: Job, layer: str, started: datetime, error: E
 
 def run_subject(spark: SparkSession, database: str, data_subject: str, run: Run | None = None,
                 source_path: str | None = None, *, mapping: Mapping[str, str] | None = None,
-                newest_by: Sequence[str] = (), archive_root: str | None = None, threshold: float | None = None,
+                newest_by: NewestBy = (), archive_root: str | None = None, threshold: float | None = None,
                 fiscal_start_month: int = 1) -> SubjectResult:
     """Run Bronze, Silver, Gold and key figures for one batch.
 
     Layers the job log lists as loaded are skipped, so a failed run is resumed by running it again
-    with the same batch id. A failing layer is logged with its message and stops the run. Without
+    with the same batch id, on any day: it goes on with the day of its first layer and does not need the
+    landing folder any more. A failing layer is logged with its message and stops the run. Without
     source rows a NO_DATA entry is logged and no layer starts.
     """
     config = get_pipeline_metadata(spark.table(table_name(database, "pipeline_metadata")), data_subject)
@@ -74,7 +76,10 @@ def run_subject(spark: SparkSession, database: str, data_subject: str, run: Run
     job = Job(database, config, run)
     path = resolve_path(config["source_path"], source_path)
 
-    if not has_source(spark, path, config["file_format"], config["delimiter"], config["has_header"]):
+    loaded = logs.loaded_layers(spark, job.table("job_log"), run.batch_id, job.name)
+    if "BRONZE" in loaded:
+        job = replace(job, run=replace(run, day=loaded["BRONZE"].day))
+    elif not has_source(spark, path, config["file_format"], config["delimiter"], config["has_header"]):
         logs.log_no_data(
             spark, job.table("pipeline_audit"), batch_id=run.batch_id, application_id=run.application_id,
             object_name=path, source_system=config["source_system"], data_subject=job.name,
@@ -84,11 +89,11 @@ def run_subject(spark: SparkSession, database: str, data_subject: str, run: Run
     steps: list[tuple[str, Callable[[], LayerResult]]] = [
         ("BRONZE", lambda: load_bronze(
             spark, job, path, mapping=mapping, newest_by=newest_by, archive_root=archive_root)),
-        ("SILVER", lambda: load_silver(spark, job, threshold)),
+        ("SILVER", lambda: load_silver(spark, job, threshold, newest_by, rows["BRONZE"])),
         ("GOLD", lambda: load_gold(spark, job, fiscal_start_month)),
         ("AGGR_AUDIT", lambda: load_kpi(spark, job)),
     ]
-    loaded = logs.loaded_layers(spark, job.table("job_log"), run.batch_id, job.name)
+    rows = {layer: entry.inserted for layer, entry in loaded.items()}
     done = []
     for layer, step in steps:
         if layer in loaded:
@@ -102,4 +107,6 @@ def run_subject(spark: SparkSession, database: str, data_subject: str, run: Run
             raise
         _log(spark, job, result, started, path)
         done.append(result)
+        rows[layer] = result.inserted
+    clear_staged(spark, staged_path(spark, job))
     return SubjectResult(run.batch_id, "SUCCESS", done)

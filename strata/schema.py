@@ -25,7 +25,7 @@ LAYERS = ["BRONZE", "SILVER", "GOLD", "AGGR_AUDIT"]
 
 # Columns whose change opens a new version in Silver.
 TRACKED = ["forecast_qty", "revenue_amount", "customer_id", "channel", "category", "sub_category",
-           "region", "country", "currency"]
+           "region", "country", "currency", "uom"]
 
 TYPED_COLUMNS = {
     "forecast_date": "date",
@@ -148,6 +148,10 @@ EXTRACT_METADATA = _fields(
 )
 
 
+def _fields_of(struct: T.StructType, more: str) -> T.StructType:
+    return T.StructType([*struct.fields, *_fields(more).fields])
+
+
 @dataclass(frozen=True)
 class Table:
     schema: T.StructType
@@ -158,7 +162,7 @@ class Table:
 # day, so a merge reads and rewrites open slices and leaves older history untouched. Tables written
 # once per run carry the batch in the partition, which makes a repeated write replace itself.
 TABLES: dict[str, Table] = {
-    "bronze": Table(BRONZE, ("_frequency", "_load_date")),
+    "bronze": Table(BRONZE, ("_frequency", "_load_date", "_batch_id")),
     "bronze_stream": Table(BRONZE, ("_frequency", "_batch_id")),
     "quarantine": Table(QUARANTINE, ("_frequency", "_batch_id", "_dq_fail_reason")),
     "silver": Table(SILVER, ("_frequency", "period", "effective_to")),
@@ -172,7 +176,7 @@ TABLES: dict[str, Table] = {
     "kpi": Table(KPI, ("data_subject", "_batch_id")),
     "job_log": Table(JOB_LOG),
     "pipeline_audit": Table(PIPELINE_AUDIT),
-    "data_quality_log": Table(DQ_LOG),
+    "data_quality_log": Table(_fields_of(DQ_LOG, "data_subject string"), ("data_subject", "batch_id", "table_name")),
     "pipeline_metadata": Table(PIPELINE_METADATA),
     "extract_metadata": Table(EXTRACT_METADATA),
 }

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.text import landing_name
+from strata.functions.text import landing_name, plain_path
 
 
 def resolve_path(configured: str | None, override: str | None = None) -> str:
@@ -19,7 +19,7 @@ def resolve_path(configured: str | None, override: str | None = None) -> str:
 
 def with_file_name(df: DataFrame) -> DataFrame:
     """Add ``_file_name``. Call it directly on a file scan, where the metadata column exists."""
-    return df.withColumn("_file_name", landing_name(F.col("_metadata.file_path")))
+    return df.withColumn("_file_name", landing_name(plain_path(F.col("_metadata.file_path"))))
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "|", header: bool = True,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from dataclasses import dataclass
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from strata import schema
 from strata.operators import quality
 from strata.sources.jdbc import Database, append_jdbc
-from strata.sources.sinks import append_rows
+from strata.sources.sinks import append_rows, write_slice
 
 Sink = str | tuple[Database, str]
 
@@ -102,13 +103,29 @@ def log_dq_results(spark: SparkSession, sink: Sink, *, batch_id: str, table_name
     ), sink)
 
 
-def log_dq_counts(counts: DataFrame, sink: Sink, *, batch_id: str, table_name: str, created_ts: datetime) -> None:
-    """All rule counts of a run in one append."""
-    append_to(quality.dq_log_rows(counts, batch_id=batch_id, table_name=table_name, created_ts=created_ts), sink)
+def log_dq_counts(counts: DataFrame, sink: Sink, *, batch_id: str, table_name: str, created_ts: datetime,
+                  data_subject: str | None = None) -> None:
+    """All rule counts of a layer in one write. In a layer table a repeat replaces the counts of its subject,
+    batch and table."""
+    rows = quality.dq_log_rows(counts, batch_id=batch_id, table_name=table_name, created_ts=created_ts)
+    if isinstance(sink, str):
+        write_slice(rows.withColumn("data_subject", F.lit(data_subject).cast("string")).coalesce(1), sink)
+    else:
+        append_to(rows, sink)
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """What the job log says of a loaded layer: its day and the rows it wrote."""
+
+    day: date
+    inserted: int
 
 
-def loaded_layers(spark: SparkSession, table: str, batch_id: str, data_subject: str) -> set[str]:
-    """The layers this batch has a successful entry for. The job log is the commit marker."""
+def loaded_layers(spark: SparkSession, table: str, batch_id: str, data_subject: str) -> dict[str, Loaded]:
+    """The layers this batch has a successful entry for, by name. The job log is the commit marker."""
     done = spark.table(table).filter(
         (F.col("batch_id") == batch_id) & (F.col("data_subject") == data_subject) & (F.col("status") == "SUCCESS"))
-    return {row.layer for row in done.select("layer").distinct().collect()}
+    newest = done.groupBy("layer").agg(
+        F.to_date(F.max("insert_time")).alias("day"), F.max_by("records_inserted", "insert_time").alias("inserted"))
+    return {row.layer: Loaded(row.day, row.inserted) for row in newest.collect()}

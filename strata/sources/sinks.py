@@ -5,10 +5,12 @@ Every write is safe to repeat: it replaces the slices it owns, or inserts only w
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from contextlib import contextmanager
 from datetime import datetime
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,24 @@ def write_slice(df: DataFrame, table: str) -> None:
     _insert(df, table, partition_columns(df.sparkSession, table), overwrite=True)
 
 
+def replace_owned(df: DataFrame, table: str, owned: Mapping[str, str]) -> None:
+    """Replace all partitions with the values ``owned``, also those that ``df`` has no row for any more."""
+    spark = df.sparkSession
+    wanted = list(partition_columns(spark, table))
+    old = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_partition_spec(owned)})").collect()
+    specs = [_partition_spec(dict(zip(wanted, [unquote(p.split("=", 1)[1]) for p in row[0].split("/")]))) for row in old]
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs))
+    write_slice(df, table)
+
+
+def _partition_spec(values: Mapping[str, str | None]) -> str:
+    """Partition values as SQL; NULL has a name of its own there."""
+    texts = {c: "__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for c, v in values.items()}
+    escaped = {c: v.replace("\\", "\\\\").replace("'", "\\'") for c, v in texts.items()}
+    return ", ".join(f"`{c}` = '{v}'" for c, v in escaped.items())
+
+
 def write_append(df: DataFrame, path: str) -> None:
     """Add rows; new columns may appear, and ``read_evolved`` shows them as NULL in older rows."""
     balanced(df).write.mode("append").parquet(path)
@@ -125,9 +145,8 @@ def archive_partitions(spark: SparkSession, table: str, archive: str, predicate:
     if not chosen:
         return 0
     write_slice(source.withColumn("_archived_ts", F.lit(archived_ts).cast("timestamp")), archive)
-    for values in chosen:
-        spec = ", ".join(f"`{c}` = '{v}'" for c, v in values.items())
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    specs = ", ".join(f"PARTITION ({_partition_spec(values)})" for values in chosen)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     return len(chosen)
 
 
@@ -156,4 +175,9 @@ def add_missing_columns(df: DataFrame, table: str) -> None:
     extra = [f for f in df.schema.fields if f.name not in have]
     if extra:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        try:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        except AnalysisException:  # another run may have added them meanwhile
+            spark.catalog.refreshTable(table)
+            if not {f.name for f in extra} <= set(spark.table(table).columns):
+                raise

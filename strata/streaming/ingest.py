@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 from typing import Any
 
@@ -15,11 +16,12 @@ from strata import schema
 from strata.operators.clean import nullify_empty_strings
 from strata.operators.kpi import parse_list
 from strata.operators.quality import quarantine, validate_data_types
-from strata.plans.bronze import bronze_rows, split_bronze
+from strata.plans.bronze import NewestBy, bronze_rows, split_bronze
 from strata.plans.run import Job, Run
-from strata.plans.silver import merge_silver, silver_rows, write_period_totals
+from strata.plans.silver import merge_silver, silver_rows, staged_path, write_period_totals
 from strata.sources.files import with_file_name
 from strata.sources.sinks import add_missing_columns, write_quarantine, write_slice
+from strata.sources.staging import clear_staged, stage_rows
 
 
 def read_landing_stream(spark: SparkSession, path: str, file_format: str = "parquet", sep: str = "|",
@@ -34,7 +36,7 @@ def read_landing_stream(spark: SparkSession, path: str, file_format: str = "parq
 
 
 def stream_layers(stream: DataFrame, database: str, subject: Mapping[str, Any], checkpoint: str, *,
-                  to_silver: bool = False, newest_by: Sequence[str] = (),
+                  to_silver: bool = False, newest_by: NewestBy = (), mapping: Mapping[str, str] | None = None,
                   run_ts: datetime | None = None) -> StreamingQuery:
     """Load all waiting files into Bronze, and into Silver if asked, then stop.
 
@@ -46,7 +48,7 @@ def stream_layers(stream: DataFrame, database: str, subject: Mapping[str, Any],
         run = Run(batch_id=f"{subject['data_subject']}-{number:08d}", run_ts=run_ts or datetime.now(timezone.utc))
         job = Job(database, dict(subject), run)
         key = parse_list(subject["null_check_columns"])
-        kept, rejected = split_bronze(bronze_rows(rows, job, {}), key, newest_by)
+        kept, rejected = split_bronze(bronze_rows(rows, job, mapping or {}), key, newest_by)
         add_missing_columns(kept, job.table("bronze_stream"))
         write_quarantine(rejected, job.table("quarantine"))
         write_slice(kept, job.table("bronze_stream"))
@@ -55,9 +57,10 @@ def stream_layers(stream: DataFrame, database: str, subject: Mapping[str, Any],
                 (F.col("_frequency") == job.frequency) & (F.col("_batch_id") == run.batch_id))
             valid, invalid = validate_data_types(nullify_empty_strings(batch), schema.TYPED_COLUMNS)
             write_quarantine(quarantine(invalid, "TYPE_ERROR"), job.table("quarantine"))
-            incoming = silver_rows(valid, job)
+            incoming = stage_rows(silver_rows(valid, job, newest_by), staged_path(spark, job, f"typed-{uuid.uuid4().hex[:12]}"))
             write_period_totals(job, incoming)
             merge_silver(spark, job, incoming)
+            clear_staged(spark, staged_path(spark, job))
 
     return (
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -115,7 +115,10 @@ def test_audit_trail(spark, two_runs):
     assert rows_of(log.select("data_layer", "job_status")) == [
         ("AGGR_AUDIT", "SUCCESS"), ("BRONZE", "SUCCESS"), ("GOLD", "SUCCESS"), ("SILVER", "SUCCESS")]
     dq = spark.table(f"{two_runs[0]}.data_quality_log").filter("batch_id = 'b1'")
-    got = {r.check_type: (r.records_checked, r.records_failed) for r in dq.collect()}
+    rows = dq.collect()
+    silver_repeats = [r for r in rows if r.check_type == "DUPLICATE_CHECK" and r.table_name.endswith(".silver")]
+    assert [(r.records_checked, r.records_failed) for r in silver_repeats] == [(9, 0)]
+    got = {r.check_type: (r.records_checked, r.records_failed) for r in rows if r not in silver_repeats}
     assert got == {"NULL_CHECK": (15, 3), "DUPLICATE_CHECK": (12, 2), "FORMAT_CHECK": (10, 1),
                    "CATEGORY_VALIDATION": (9, 1), "CURRENCY_VALIDATION": (9, 1), "RANGE_CHECK": (9, 1)}
 
@@ -195,7 +198,7 @@ def test_failure_stops_the_run_is_logged_and_can_be_resumed(spark, monkeypatch):
 
     result = go(spark, database, "b1", 1, path)
     assert [r.status for r in result.layers] == ["SKIPPED", "SUCCESS", "SUCCESS", "SUCCESS"]
-    assert loaded_layers(spark, f"{database}.job_log", "b1", SUBJECT) == {"BRONZE", "SILVER", "GOLD", "AGGR_AUDIT"}
+    assert loaded_layers(spark, f"{database}.job_log", "b1", SUBJECT).keys() == {"BRONZE", "SILVER", "GOLD", "AGGR_AUDIT"}
 
 
 def test_gate_stops_before_silver_is_written(spark):
@@ -228,3 +231,101 @@ def test_publishing_resumes_from_the_staged_merge(spark, monkeypatch):
     go(spark, database, "b2", 3, second)
     silver = spark.table(f"{database}.silver")
     assert silver.count() == 11 and scd2_violations(silver, schema.MATCH_KEY).isEmpty()
+
+
+def at(spark, database, batch, when, path, **options):
+    return run_subject(spark, database, SUBJECT, Run(batch, when, f"job-{batch}"), path, **options)
+
+
+def content(spark, database, *names):
+    found = {}
+    for name in names or ("bronze", "quarantine", "silver", "period_agg", "fact", "data_quality_log"):
+        rows = spark.table(f"{database}.{name}").drop(
+            "_ingestion_ts", "_update_ts", "_silver_load_ts", "_gold_load_ts", "_file_name", "created_ts", "table_name")
+        found[name] = rows_of(rows.select(*sorted(rows.columns)))
+    return found
+
+
+def test_a_batch_is_resumed_on_another_day_without_its_landing_folder(spark, monkeypatch):
+    late, early = datetime(2024, 1, 1, 23, 50, tzinfo=timezone.utc), datetime(2024, 1, 2, 0, 10, tzinfo=timezone.utc)
+    path = land(spark, FIRST, "fc_202401010600")
+    calm = new_database(spark)
+    at(spark, calm, "b1", late, path)
+
+    database = new_database(spark)
+
+    def broken(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(subject_module, "load_silver", broken)
+        with pytest.raises(RuntimeError, match="stopped"):
+            at(spark, database, "b1", late, path)
+    # A second batch of the same day comes in between, with other keys.
+    at(spark, database, "b2", datetime(2024, 1, 1, 23, 55, tzinfo=timezone.utc), land(spark, [row("Q1")], "fc_202401010700"))
+    with monkeypatch.context() as patch:
+        from strata.plans import silver as silver_module
+
+        real = silver_module.write_slice
+
+        def dies(df, table):
+            real(df.filter("product_id <> 'P1'"), table)
+            raise RuntimeError("driver lost")
+
+        patch.setattr(silver_module, "write_slice", dies)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            at(spark, database, "b1", early, "/nowhere")
+    result = at(spark, database, "b1", early, "/nowhere")
+    assert [r.status for r in result.layers] == ["SKIPPED", "SUCCESS", "SUCCESS", "SUCCESS"]
+    at(spark, calm, "b2", datetime(2024, 1, 1, 23, 55, tzinfo=timezone.utc), land(spark, [row("Q1")], "fc_202401010700"))
+    want, got = content(spark, calm), content(spark, database)
+    for name in want:
+        assert got[name] == want[name], name
+
+
+def test_silver_stops_when_bronze_lost_rows(spark, monkeypatch):
+    database = new_database(spark)
+    with monkeypatch.context() as patch:
+        patch.setattr(subject_module, "load_silver", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            go(spark, database, "b1", 1, land(spark, FIRST, "fc_202401010600"))
+    spark.sql(f"ALTER TABLE {database}.bronze DROP PARTITION (_frequency = 'daily', _load_date = '2024-01-01', _batch_id = 'b1')")
+    with pytest.raises(RuntimeError, match="Bronze logged 10 rows"):
+        go(spark, database, "b1", 1, "/nowhere")
+
+
+def test_one_key_in_two_spellings_is_one_version_and_one_fact(spark):
+    database = new_database(spark)
+    rows = [row(day="2024-01-15", changed="9", qty="9"), row(day="2024-1-15", changed="10", qty="10"), row("P2", qty="1", changed="x"), row("P2", qty="2", changed="3")]
+    run_subject(spark, database, SUBJECT, Run("b1", datetime(2024, 1, 1, tzinfo=timezone.utc)), land(spark, rows, "fc_202401010600"),
+                newest_by={"changed_on": "int"})
+    silver = spark.table(f"{database}.silver")
+    assert rows_of(silver.selectExpr("product_id", "int(forecast_qty)", "is_active", "changed_on")) == [
+        ("P1", 10, True, "10"), ("P2", 2, True, "3")]
+    assert spark.table(f"{database}.fact").count() == 2
+    repeats = spark.table(f"{database}.data_quality_log").filter("check_type = 'DUPLICATE_CHECK'")
+    assert sorted(r.records_failed for r in repeats.collect()) == [1, 1]
+
+
+def test_a_corrected_repeat_leaves_no_stale_rows(spark):
+    database = new_database(spark)
+    go(spark, database, "b1", 1, land(spark, FIRST, "fc_202401010600"))
+    spark.sql(f"TRUNCATE TABLE {database}.job_log")
+    go(spark, database, "b1", 1, land(spark, [row()], "fc_202401010600"))
+    assert spark.table(f"{database}.quarantine").isEmpty()
+    assert spark.table(f"{database}.bronze").count() == 1
+    log = spark.table(f"{database}.data_quality_log")
+    assert log.count() == 6 and log.filter("records_failed <> 0").isEmpty()
+
+
+def test_views_after_a_status_update(spark):
+    from strata.sources.logs import update_audit_status
+
+    database = new_database(spark)
+    go(spark, database, "b1", 1, land(spark, [row()], "fc_202401010600"))
+    update_audit_status(spark, f"{database}.pipeline_audit", batch_id="b1", object_name=f"{database}.fact", data_layer="GOLD",
+                        job_status="FAILED", error_record_count=7)
+    register_views(spark, database)
+    assert rows_of(spark.sql("SELECT data_layer, total_jobs, failed_count, total_error_rows FROM vw_daily_load_summary WHERE data_layer = 'GOLD'")) == [("GOLD", 1, 1, 7)]
+    assert spark.sql("SELECT * FROM vw_aggregated_audit WHERE source_system IS NOT NULL").count() == 1
+    assert rows_of(spark.sql("SELECT job_status FROM vw_latest_pipeline_runs WHERE data_layer = 'GOLD'")) == [("FAILED",)]

@@ -117,3 +117,33 @@ def test_as_of_lookup(spark):
         "p string, name string, effective_from date, effective_to date")
     got = {r.id: r.name for r in scd2.lookup_as_of(facts, versions, "p", "d", ["name"]).collect()}
     assert got == {1: None, 2: "one", 3: "two", 4: "two", 5: None}
+
+
+def test_batches_in_any_order_give_one_history(spark):
+    """Days out of order, against a replay of all values in order of their days."""
+    rng = random.Random(11)
+    days = [D1 + timedelta(days=i) for i in range(6)]
+    batches = {day: {f"k{i}": rng.choice("ab") for i in rng.sample(range(12), 8)} for day in days}
+    order = rng.sample(days, len(days))
+    history = spark.createDataFrame([], COLUMNS)
+    for day in order:
+        df = spark.createDataFrame([(k, v, None) for k, v in batches[day].items()], "k string, v string, w string")
+        merged = merge(history, df, day)
+        history = spark.createDataFrame(merged.collect(), merged.schema)
+        assert scd2.scd2_violations(history, ["k"]).isEmpty(), day
+    rows = history.collect()
+    for day in days:  # each batch's own value is valid on its day
+        for k, v in batches[day].items():
+            valid = [r.v for r in rows if r.k == k and r.effective_from <= day and (r.effective_to is None or day < r.effective_to)]
+            assert valid == [v], (k, day)
+
+
+def test_a_back_dated_change_keeps_the_newer_version(spark):
+    def one(v):
+        return spark.createDataFrame([("k", v, None)], "k string, v string, w string")
+
+    history = spark.createDataFrame([], COLUMNS)
+    for v, day in (("march", D3), ("january", D1), ("february", D2)):
+        history = merge(history, one(v), day)
+    assert rows_of(history) == sorted([
+        ("k", "january", None, D1, D2, False), ("k", "february", None, D2, D3, False), ("k", "march", None, D3, None, True)], key=repr)

@@ -103,7 +103,7 @@ def test_extract_is_incremental(spark, database):
 
     first = run(0, source(1, 2, 3))
     assert first.rows == 3 and first.watermark.startswith("2024-01-03")
-    assert first.path.endswith("daily/fc_daily_202402010600.parquet")
+    assert first.path.endswith("daily/erp.forecast/b/fc_daily_202402010600.parquet")
     assert run(1, source(1, 2, 3)).rows == 0
     assert marks(spark.table(table))["erp"].startswith("2024-01-03")
     grown = run(2, source(1, 2, 3, 4, 5))
@@ -164,3 +164,44 @@ def test_hot_key_is_spread_over_clustered_files(spark):
     stored = spark.read.parquet(path)
     hot = stored.filter("k = 'hot'").groupBy(F.input_file_name()).count()
     assert stored.count() == 20000 and hot.count() >= 3
+
+
+def test_a_repeated_extract_keeps_what_has_landed(spark):
+    from datetime import datetime, timezone
+
+    from strata import schema
+    from strata.plans.load_queries import new_database
+
+    database, root = new_database(spark), work_path(spark, "extract-repeat")
+    table = f"{database}.extract_metadata"
+    row = ("erp", "jdbc", "s", "forecast", "daily", "fc_daily", "incremental", "changed_on", None, True)
+    sinks.replace_small(spark.createDataFrame([row, (*row[:3], "other", *row[4:])], schema.EXTRACT_METADATA), table)
+    source = spark.createDataFrame([(i, datetime(2024, 1, i)) for i in (1, 2, 3)], "id int, changed_on timestamp")
+    run = Run("b", datetime(2024, 2, 1, 6, tzinfo=timezone.utc))
+    first = extract_to_landing(spark, table, source, "erp", "forecast", root, run)
+    again = extract_to_landing(spark, table, source, "erp", "forecast", root, run)
+    other = extract_to_landing(spark, table, source.limit(1), "erp", "other", root, run)
+    assert (first.rows, again.rows, other.rows) == (3, 3, 1)
+    assert spark.read.parquet(first.path).count() == 3 and first.path != other.path
+
+
+def test_null_and_quoted_partitions_are_moved(spark):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+    from strata.plans.load_queries import new_database
+
+    database = new_database(spark)
+    for name, more in (("here", ""), ("there", "_archived_ts timestamp, ")):
+        spark.sql(f"CREATE TABLE {database}.{name} (id int, {more}part string) USING PARQUET PARTITIONED BY (part)")
+    sinks.write_slice(spark.createDataFrame([(1, None), (2, "it's"), (3, "a b/c"), (4, "stays")], "id int, part string"), f"{database}.here")
+    moved = sinks.archive_partitions(spark, f"{database}.here", f"{database}.there", F.coalesce(F.col("part"), F.lit("")) != "stays", datetime(2024, 1, 1))
+    assert moved == 3
+    assert [r.id for r in spark.table(f"{database}.here").collect()] == [4]
+    assert sorted(r.id for r in spark.table(f"{database}.there").collect()) == [1, 2, 3]
+
+
+def test_file_names_are_not_escaped(spark):
+    path = f"{work_path(spark, 'names')}/fc daily+1%_202401010600.parquet"
+    spark.createDataFrame([("a",)], "x string").write.parquet(path)
+    assert files.read_parquet_as_strings(spark, path).first()._file_name == "fc daily+1%_202401010600.parquet"

@@ -40,3 +40,18 @@ def test_stream_reads_new_files_only_and_feeds_silver(spark):
     assert rows_of(spark.table(f"{database}.quarantine").select("_dq_fail_reason")) == [("NULL_PK",), ("TYPE_ERROR",)]
     silver = spark.table(f"{database}.silver").selectExpr("product_id", "int(forecast_qty)", "is_active")
     assert rows_of(silver) == [("P1", 1, False), ("P1", 5, True), ("P2", 2, True)]
+
+
+def test_a_new_checkpoint_does_not_meet_an_old_merge(spark):
+    database, root = new_database(spark), work_path(spark, "stream")
+    subject = get_pipeline_metadata(spark.table(f"{database}.pipeline_metadata"), "fc_daily")
+
+    def run(folder, checkpoint):
+        stream_layers(read_landing_stream(spark, f"{root}/{folder}/*", "csv"), database, subject, f"{root}/{checkpoint}",
+                      to_silver=True, run_ts=datetime(2024, 1, 1, tzinfo=timezone.utc)).awaitTermination()
+
+    put(spark, f"{root}/one", "a_202401010600.csv", line("P1", 1))
+    run("one", "first")
+    put(spark, f"{root}/two", "b_202401010600.csv", line("P2", 2))
+    run("two", "second")
+    assert rows_of(spark.table(f"{database}.silver").selectExpr("product_id", "is_active")) == [("P1", True), ("P2", True)]
