@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import appended, components, frames, mixed, stored, texts_of
+from strata.llm.crossings import crossings, overlap
 
 SEGMENTS = 16
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))  # A-Z to a-z
@@ -149,8 +150,9 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     per table, the SimHash of the ``least`` smallest hashes of its shingle set under the table's own order.
     Two texts have equal fingerprints in a table with a chance of about ``similarity ** least``, or 0.994
     over five tables at 0.8. Fingerprints are linked by the grid range join; texts that share a linked group
-    are candidates; each is compared with the group's smallest key and its three neighbours by key, and kept
-    as a link only if the exact similarity of the shingle sets holds. Texts with the same words are one.
+    are candidates, and linked only if the exact similarity of their shingle sets holds. Each is compared with
+    the group's smallest and its three neighbours first, which is all for five texts; where a larger group is
+    not one component by then, ``crossings`` compares its components exactly. Texts with the same words are one.
 
     One row per word sequence (``words``, a 128-bit hash) with the smallest key of its group, null last, and
     the word sequence of that key.
@@ -180,7 +182,9 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
         "w", "n", F.explode(F.array("first", "lag1", "lag2", "lag3")).alias("o")).where(
         F.col("o.w").isNotNull() & (F.col("o.w") != F.col("w")) & (F.least("n", "o.n") >= similarity * F.greatest("n", "o.n")))
     pairs = stored(spark, both.select(F.least("w", "o.w").alias("a"), F.greatest("w", "o.w").alias("b")).distinct(), "near-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().join(one.select("w", "id", "words"), "w")
+    large = member.join(groups.where("size > 5").select("g"), "g")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).union(large.select("w")).distinct()
+    wanted = wanted.join(one.select("w", "id", "words"), "w")
     texts = plain.select(F.col("id").alias("_id"), "text").join(wanted, F.col("_id").eqNullSafe(F.col("id"))).select("w", "words", "text")
 
     def sets(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -197,14 +201,20 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
+                both = overlap(p, q)
                 keep.append(both >= similarity * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     checked = pairs.join(shingles.select(F.col("w").alias("a"), F.col("set").alias("x")), "a").join(
         shingles.select(F.col("w").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(alike, "a long, b long")
-    roots = components(spark, checked, "near")
-    rooted = one.join(roots.withColumnRenamed("node", "w"), "w", "left").withColumn("root", F.coalesce("root", "w"))
+    def rooted_by(rows: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        roots = components(spark, links, name).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        return rows.join(roots, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
+
+    rooted = rooted_by(one.select("w", F.col("w").alias("root"), "id", "words"), checked, "near")
+    rooted = stored(spark, rooted, "near-rooted")
+    rest = stored(spark, crossings(large.join(rooted.select("w", "root"), "w"), shingles, similarity), "near-crossings")
+    rooted = rooted_by(rooted, rest, "near-crossed")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "words")).alias("first")
     return rooted.join(rooted.groupBy("root").agg(first), "root").select(
         "words", F.col("first.id").alias("kept_id"), F.col("first.words").alias("kept_words"))
