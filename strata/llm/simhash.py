@@ -175,14 +175,15 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     member = each.join(links.withColumnRenamed("b", "fp"), "fp", "left").select(
         "w", "n", F.explode(F.array_distinct(F.array("fp", F.coalesce("a", "fp")))).alias("g")).distinct()
     groups = member.groupBy("g").agg(F.count("*").alias("size"), F.min(F.struct("w", "n")).alias("first")).where("size > 1")
+    grouped = stored(spark, member.join(groups, "g"), "near-groups")  # used three times, and links are costly
     salt = F.pmod(F.xxhash64("w"), F.ceil(F.col("size") / 10_000))
     near = Window.partitionBy("g", "salt").orderBy("w")
     lags = [F.lag(F.struct("w", "n"), k).over(near).alias(f"lag{k}") for k in (1, 2, 3)]
-    both = member.join(groups, "g").withColumn("salt", salt).select("w", "n", "first", *lags).select(
+    both = grouped.withColumn("salt", salt).select("w", "n", "first", *lags).select(
         "w", "n", F.explode(F.array("first", "lag1", "lag2", "lag3")).alias("o")).where(
         F.col("o.w").isNotNull() & (F.col("o.w") != F.col("w")) & (F.least("n", "o.n") >= similarity * F.greatest("n", "o.n")))
     pairs = stored(spark, both.select(F.least("w", "o.w").alias("a"), F.greatest("w", "o.w").alias("b")).distinct(), "near-pairs")
-    large = member.join(groups.where("size > 5").select("g"), "g")
+    large = grouped.where("size > 5").select("g", "w", "n")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).union(large.select("w")).distinct()
     wanted = wanted.join(one.select("w", "id", "words"), "w")
     texts = plain.select(F.col("id").alias("_id"), "text").join(wanted, F.col("_id").eqNullSafe(F.col("id"))).select("w", "words", "text")
