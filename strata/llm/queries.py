@@ -21,9 +21,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 @query
 def op1_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    found = segmentations.sample_segmentations(turns, ["conv_id", "turn"], digest=True)
-    return found.select("conv_id", "turn", F.explode("samples").alias("s")).select("conv_id", "turn", "s.*")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = segmentations.sample_segmentations(docs, ["doc_id"], digest=True)
+    rows = found.select("doc_id", "text", F.explode("samples").alias("s")).select("doc_id", "text", "s.*")
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return segmentations.decode(rows).withColumn("decodes", same).drop("text", "decoded")
 
 
 @query

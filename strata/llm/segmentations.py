@@ -70,6 +70,7 @@ class Lattice(NamedTuple):
     log_p: np.ndarray  # of the edge, given its place
     to: np.ndarray  # next place, -1 at the end of the unit
     piece: np.ndarray  # id, or -1 - code point for byte pieces
+    at: np.ndarray  # place
 
 
 def lattice(units: list[str], pieces: Pieces) -> Lattice:
@@ -117,17 +118,24 @@ def lattice(units: list[str], pieces: Pieces) -> Lattice:
     cdf = np.cumsum(np.exp(log_p))
     cdf -= np.repeat(np.r_[0.0, cdf][first[:-1]], width)
     cdf[first[1:] - 1] = 1.0
-    return Lattice(start, first, at + np.minimum(cdf, 1.0), log_p, np.where(ends, -1, to), ids)
+    return Lattice(start, first, at + np.minimum(cdf, 1.0), log_p, np.where(ends, -1, to), ids, at)
 
 
-def uniform(seed: int, *place: np.ndarray | int) -> np.ndarray:
-    """Numbers in (0, 1), a function of the seed and the place."""
-    h = np.array([seed], U)
+def _hashed(h: np.ndarray, *place: np.ndarray | int) -> np.ndarray:
     for p in place:
         h = mixed(h + np.atleast_1d(p).astype(U) * U(0x9E3779B97F4A7C15) + U(0x632BE59BD9B4E019))
+    return h
+
+
+def _unit_interval(h: np.ndarray) -> np.ndarray:
     return ((h >> U(11)).astype(float) + 0.5) / 2.0**53
 
 
+def uniform(seed: int, *place: np.ndarray | int) -> np.ndarray:
+    """Numbers in (0, 1), a function of the seed and the place."""
+    return _unit_interval(_hashed(np.array([seed], U), *place))
+
+
 def truncated(phi: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel variables at ``phi`` given that they are at most ``bound``."""
     with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
@@ -176,13 +184,14 @@ def draw(lat: Lattice, seed: int, tag: int, units: np.ndarray, place: int, unit:
     at = np.r_[[place] if place >= 0 else [], lat.start[units[later]]].astype(np.int64)
     own = np.r_[[unit] if place >= 0 else [], later].astype(np.int64)
     edges, owners, step = [], [], 0
+    h = _hashed(np.array([seed], U), tag, own)
     while len(at):
-        e = np.searchsorted(lat.key, at + uniform(seed, tag, own, step), side="left")
+        e = np.searchsorted(lat.key, at + _unit_interval(_hashed(h, step)), side="left")
         e = np.minimum(np.maximum(e, lat.first[at]), lat.first[at + 1] - 1)
         edges.append(e)
         owners.append(own)
         more = lat.to[e] >= 0
-        at, own, step = lat.to[e][more], own[more], step + 1
+        at, own, h, step = lat.to[e][more], own[more], h[more], step + 1
     if not edges:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     edges, owners = np.concatenate(edges), np.concatenate(owners)
@@ -206,7 +215,7 @@ def top_k(lat: Lattice, units: np.ndarray, seed: int, k: int) -> tuple[list[Samp
         log_p = lat.log_p[edges]
         total = np.cumsum(log_p)
         before = np.r_[0.0, total[:-1]]
-        place = np.searchsorted(lat.first, edges, side="right") - 1
+        place = lat.at[edges]
         u = uniform(seed, len(samples) + 1, np.arange(len(edges)), 7)
         waiting = truncated(before + _log1mexp(log_p), np.full(len(edges), value), u)
         waiting[:n_before] = -np.inf  # those places are waiting in the path it branched from
@@ -242,10 +251,15 @@ def ids_of(lat: Lattice, edges: np.ndarray, pieces: Pieces) -> np.ndarray:
     ids = lat.piece[edges]
     if not len(ids) or ids.min() >= 0:
         return ids
-    out: list[int] = []
-    for i in ids.tolist():
-        out.extend([i] if i >= 0 else [pieces.byte_ids[b] for b in chr(-1 - i).encode()])
-    return np.array(out, np.int64)
+    chars, where = np.unique(ids[ids < 0], return_inverse=True)
+    parts = [[pieces.byte_ids[b] for b in chr(-1 - c).encode()] for c in chars.tolist()]
+    size = np.ones(len(ids), np.int64)
+    size[ids < 0] = np.array([len(p) for p in parts], np.int64)[where]
+    out, first = np.repeat(ids, size), np.cumsum(size) - size
+    for k in range(max(map(len, parts))):
+        own = np.array([p[k] if k < len(p) else -1 for p in parts], np.int64)[where]
+        out[first[ids < 0][own >= 0] + k] = own[own >= 0]
+    return out
 
 
 def segmented(texts: list[str | None], seeds: list[int], k: int, pieces: Pieces) -> list[list[tuple]]:
@@ -270,14 +284,14 @@ def sample_segmentations(
 ) -> DataFrame:
     """``rows`` with ``samples``: up to k distinct segmentations, each (rank, log_prob, perturbed, inclusion, ids).
 
-    With ``digest``, ids are replaced by their number and CRC-32 (little-endian 32-bit ids). Equal keys give
+    With ``digest``, ids come with their number and CRC-32 (little-endian 32-bit ids). Equal keys give
     equal uniforms, so repeated rows get equal samples; null keys count as a value of their own. Null and empty
     texts have one segmentation, the empty one, with inclusion 1. A text with fewer than k segmentations gives all of
     them. A column of the name ``samples`` is replaced, others stay; empty tables stay empty.
     """
     place = pa.struct([("rank", pa.int32()), ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64()),
-                       *([("n_pieces", pa.int64()), ("ids_crc32", pa.int64())] if digest else [("ids", pa.list_(pa.int32()))])])
-    last = "n_pieces:bigint,ids_crc32:bigint" if digest else "ids:array<int>"
+                       ("ids", pa.list_(pa.int32())), *([("n_pieces", pa.int64()), ("ids_crc32", pa.int64())] if digest else [])])
+    last = "ids:array<int>" + ",n_pieces:bigint,ids_crc32:bigint" * digest
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         seeds = (np.array(batch.column("__seed").to_pylist(), np.int64).view(U)).tolist()
@@ -285,7 +299,9 @@ def sample_segmentations(
         for samples in segmented(batch.column(text).to_pylist(), seeds, k, _pieces(tokenizer_name)):
             own = [dict(zip(("rank", "log_prob", "perturbed", "inclusion"), s[:4])) for s in samples]
             for d, s in zip(own, samples):
-                d.update({"n_pieces": len(s[4]), "ids_crc32": zlib.crc32(s[4].astype("<u4").tobytes())} if digest else {"ids": s[4].tolist()})
+                d["ids"] = s[4].astype(np.int32)
+                if digest:
+                    d.update({"n_pieces": len(s[4]), "ids_crc32": zlib.crc32(s[4].astype("<u4").tobytes())})
             out.append(own)
         return [pa.array(out, pa.list_(place))]
 
@@ -297,6 +313,6 @@ def decode(rows: DataFrame, ids: str = "ids", tokenizer_name: str = "piece_bpe_3
     """``rows`` with ``decoded``: the text of a column of ids; null ids give null."""
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         model = _pieces(tokenizer_name).model
-        return [pa.array([None if i is None else model.decode(i) for i in batch.column(ids).to_pylist()], pa.string())]
+        return [pa.array([model.decode(i.as_py()) if i.is_valid else None for i in batch.column(ids)], pa.string())]
 
     return appended(rows, "decoded string", compute)

@@ -1,12 +1,14 @@
 """Sampled segmentations: exact decoding, exact probabilities, and frequencies of sampling without replacement."""
 
 import itertools
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strata.llm.queries import op1_segmentations
 from strata.llm.segmentations import Pieces, decode, ids_of, lattice, sample_segmentations, segmented, top_k, units_of
 
 NAME = "piece_bpe_32k.model"
@@ -100,3 +102,14 @@ def test_whole_table(spark, sf):
     rows = spark.read.parquet(f"{sf}/conversations.parquet")
     got = decode(sample_segmentations(rows, ["conv_id", "turn"]).select("text", F.explode("samples.ids").alias("ids")))
     assert got.where("decoded <> text").count() == 0 and got.count() > rows.count()
+
+
+def test_query_segments_every_document(spark, sf):
+    """The registered query: all documents, the longest too, with ids that give the text again."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = op1_segmentations(spark, sf).select("doc_id", "rank", "ids", "n_pieces", "ids_crc32", "decodes").collect()
+    assert all(r.decodes and len(r.ids) == r.n_pieces and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in got)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {r.doc_id for r in got} == set(texts) and len({(r.doc_id, r["rank"]) for r in got}) == len(got)
+    longest = max((i for i in texts if texts[i]), key=lambda i: len(texts[i]))
+    assert sum(r.doc_id == longest for r in got) == 4
