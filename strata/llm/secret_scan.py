@@ -2,9 +2,9 @@
 
 Source and configuration syntax is read as pairs of a name and a literal: ``name = "x"``, ``name: x``,
 ``name := x``, ``"name" => x``, ``section["name"] = x``. A value that is itself a name takes the literal
-assigned to that name, through any chain of assignments in the same text. Each literal is scored by the words
-of its target names: sensitive words raise, harmless words lower the score, and placeholders and plain
-words score nothing. Literals at or above the threshold become spans of kind ``lexed`` unless a base span holds them.
+assigned to that name (last before it, else first after it), through any chain of assignments in the same text.
+Each literal is scored by the words of its target names: sensitive words raise, harmless words lower the score, and
+placeholders score nothing. Plain words, digits alone and several words count only under strongly sensitive names. Literals at or above the threshold become spans of kind ``lexed`` unless a base span holds them.
 """
 
 from __future__ import annotations
@@ -33,18 +33,22 @@ NAME = re.compile(r"""(?:(["'])([\w.\- ]{1,128})\1|([A-Za-z_][\w.\-]*)((?:\[["']
 VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|["'`]?([^\s"'`,;(){}\[\]<>]+))""")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 IDENTIFIER = re.compile(r"[A-Za-z_][\w.\-]*")
-PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|_+|change_?me.*|example.*|your[_-].*|none|null|true|false|undefined|todo.*|redacted.*|\$\{?\w+\}?|%\(?\w+\)?s?|<.*>|\{\{.*\}\})$")
+PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|_+|change_?me.*|example.*|your[_-].*|none|null|true|false|undefined|todo.*|redacted.*|\$\{[^{}]*\}|\$\(?(?-i:[A-Z_][A-Z0-9_]*)\)?|%\(\w+\)s?|%(?-i:[A-Z_][A-Z0-9_]*)%?|<.*>|\{\{.*\}\})$")
 
 # Sensitivity of the words of a target name.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "pass": 0.7, "passphrase": 1.0, "secret": 1.0, "token": 0.9,
-             "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "auth": 0.6, "bearer": 0.8, "privatekey": 1.0,
-             "accesskey": 1.0, "signature": 0.5, "salt": 0.6, "pin": 0.5, "webhook": 0.5, "dsn": 0.6}
+             "apikey": 1.0, "credential": 1.0, "credentials": 1.0, "auth": 0.75, "bearer": 0.8, "privatekey": 1.0,
+             "accesskey": 1.0, "signature": 0.75, "salt": 0.75, "pin": 0.75, "webhook": 0.75, "dsn": 1.0}
 PAIRS = {("api", "key"): 1.0, ("private", "key"): 1.0, ("access", "key"): 1.0, ("secret", "key"): 1.0,
-         ("signing", "key"): 0.9, ("encryption", "key"): 1.0, ("client", "secret"): 1.0, ("connection", "string"): 0.7}
+         ("signing", "key"): 0.9, ("encryption", "key"): 1.0, ("client", "secret"): 1.0, ("connection", "string"): 1.0}
 HARMLESS = {"public": 0.3, "example": 0.3, "path": 0.4, "file": 0.4, "url": 0.5, "name": 0.4, "length": 0.2, "count": 0.2,
             "type": 0.3, "expiry": 0.2, "hint": 0.2, "field": 0.3, "label": 0.3, "limit": 0.2, "max": 0.3, "min": 0.3}
 
 
+STRONG = 0.8  # from this weight on, a name accepts literals of one kind of character or of several words
+PIN = re.compile(r"[0-9]{4,12}")
+
+
 class Span(NamedTuple):
     kind: str
     start: int
@@ -72,14 +76,14 @@ def name_score(name: str) -> float:
     return score
 
 
-def literal_score(value: str) -> float:
-    """0 for placeholders and short or plain words, up to 1 for long mixed ones."""
+def literal_score(value: str, strong: bool = False) -> float:
+    """0 for placeholders and short words, up to 1 for long mixed ones, or any long ones if the name is ``strong``."""
     if len(value) < 8 or PLACEHOLDER.match(value):
         return 0.0
     counts = Counter(value)
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
     kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w\s]"))
-    if kinds < 2 or re.search(r"\s", value):
+    if not strong and (kinds < 2 or re.search(r"\s", value)):
         return min(0.4, entropy / 8)
     return min(1.0, entropy / 3.5)
 
@@ -105,18 +109,50 @@ def assignments(text: str) -> list[tuple[str, str, int, int, bool]]:
     return pairs
 
 
+def resolved(pairs: list[tuple[str, str, int, int, bool]]) -> list[int]:
+    """For each pair the number of the one with its literal; a name nobody assigns, or only in a circle, stands for itself."""
+    before: list[int | None] = []
+    last: dict[str, int] = {}
+    for n, (name, value, _, _, bare) in enumerate(pairs):
+        before.append(last.get(value) if bare else None)
+        last[name] = n
+    source = list(before)
+    first: dict[str, int] = {}
+    for n in range(len(pairs) - 1, -1, -1):  # ``first`` holds the first assignment of each name after n
+        name, value, _, _, bare = pairs[n]
+        if bare and source[n] is None:
+            source[n] = first.get(value)
+        first[name] = n
+    out: list[int | None] = [None] * len(pairs)
+    for n in range(len(pairs)):
+        way, seen, at = [], set(), n
+        while out[at] is None and source[at] is not None and at not in seen:
+            way.append(at)
+            seen.add(at)
+            at = source[at]
+        if at in seen:  # a circle
+            for m in way:
+                out[m] = m
+        else:
+            end = out[at] = at if out[at] is None else out[at]
+            for m in way:
+                out[m] = end
+    return out
+
+
 def lexed_spans(text: str, threshold: float) -> list[Span]:
     if "=" not in text and ":" not in text:
         return []
-    literals: dict[str, tuple[str, int, int]] = {}
+    pairs = assignments(text)
     best: dict[tuple[int, int], float] = {}
-    for name, value, start, end, bare in assignments(text):
-        source = literals.get(value) if bare else None
-        value, start, end = source or (value, start, end)
-        literals[name] = (value, start, end)
+    for (name, *_), source in zip(pairs, resolved(pairs)):
+        _, value, start, end, _ = pairs[source]
         weight = name_score(name)
         if weight:
-            best[start, end] = max(best.get((start, end), 0.0), weight * literal_score(value))
+            score = weight * literal_score(value, weight >= STRONG)
+            if PIN.fullmatch(value) and "pin" in map(str.lower, PARTS.findall(name)):
+                score = max(score, weight)
+            best[start, end] = max(best.get((start, end), 0.0), score)
     return [Span("lexed", a, b, a, s) for (a, b), s in best.items() if s >= threshold]
 
 

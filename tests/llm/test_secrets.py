@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from strata.llm.secret_scan import base_spans, redact, scan, secret_spans, span_digest
+from strata.llm.secret_scan import PAIRS, SENSITIVE, base_spans, redact, redacted, scan, secret_spans, span_digest
 
 TEXTS = [
     None, "", "nothing here", 'token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" x', "PassWord:hunter2hunter2 passwd=short",
@@ -61,3 +61,32 @@ def test_digest_rows_nulls_repeats_and_clashes(spark):
     masked = {r.doc_id: r.text for r in redact(docs).collect()}
     assert redact(docs).columns == docs.columns
     assert masked[3] == 'token = "[SECRET]" x' and masked[0] is None and masked[2] == TEXTS[2]
+
+
+@pytest.mark.parametrize("name", [*SENSITIVE, *map("_".join, PAIRS)])
+def test_every_listed_name_can_give_a_span(name):
+    text = f'app_{name} = "zX81!kQp92LmA"'
+    assert redacted(text, "*", 0.6) == f'app_{name} = "*"'
+
+
+@pytest.mark.parametrize("text,value", [
+    ('passphrase = "correct horse battery staple"', "correct horse battery staple"), ("db_pwd = 'kqzvxwmbtrplhj'", "kqzvxwmbtrplhj"),
+    ('connection_string = "Server=db1;User ID=sa;Pwd=kq81"', "Server=db1;User ID=sa;Pwd=kq81"), ("db_pwd: 8402957136", "8402957136"),
+    ("credential = 'kqzvxwmbtrplhj'", "kqzvxwmbtrplhj"), ("dsn: 'host=db user=app'", "host=db user=app"), ("card_pin = '840295'", "840295"),
+    ('pwd = "$uperSecret99x"', "$uperSecret99x"), ("pwd = '%Tr0ub4dor'", "%Tr0ub4dor"),
+    ('client_pwd = KEY\nKEY = "Zx81kQp92LmA"', "Zx81kQp92LmA"), ("client_pwd = A\nA = B\nB = 's3cr3t-Val-99'", "s3cr3t-Val-99"),
+    ("KEY = 'Zx81kQp92LmA'\nclient_pwd = KEY\nKEY = 'other-Val-99'", "Zx81kQp92LmA")])
+def test_whole_classes_of_literals(text, value):
+    assert [text[s.start:s.end] for s in scan(text) if s.kind == "lexed"] == [value]
+
+
+@pytest.mark.parametrize("text", [
+    'pwd = "${db.pass}"', 'pwd = "$DB_PASSWORD1"', "pwd = '%(db_password1)s'", "pwd = %DB_PASSWORD1%", "color = 'correct horse battery'",
+    "pass = 'over there and on'", "pwd = 'aaaaaaaaaaaa'", "password_hint = 'my first dog of all'", "led_pin = 13", "pwd = A\nA = B\nB = A", "A = A\npwd = A"])
+def test_placeholders_circles_and_weak_names_give_nothing(text):
+    assert not [s for s in scan(text) if s.kind == "lexed"]
+
+
+def test_a_long_chain_resolves_to_its_end():
+    text = "".join(f"n{i} = n{i + 1}\n" for i in range(20_000)) + "n20000 = 'Zx81kQp92LmA'\nclient_pwd = n0\n"
+    assert [text[s.start:s.end] for s in scan(text)] == ["Zx81kQp92LmA"]
