@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from strata.llm.common import appended, mixed, per_process, tokenizer_file
 
 SPACE = "▁"
-LONGEST_UNIT = 256  # code points between spaces that form one lattice; longer ones are cut
 U = np.uint64
 
 
@@ -150,7 +149,7 @@ def _log1mexp(x: np.ndarray) -> np.ndarray:
 
 
 def units_of(text: str) -> list[str]:
-    """Runs of a space mark and what follows; together the normalised text."""
+    """Runs of a space mark and what follows, of any length and each one lattice; together the normalised text."""
     if not text:
         return []
     out, held = [], ""
@@ -161,7 +160,7 @@ def units_of(text: str) -> list[str]:
             held = ""
     if held:
         out.append(held)
-    return [u[i:i + LONGEST_UNIT] for u in out for i in range(0, len(u), LONGEST_UNIT)]
+    return out
 
 
 class Sample(NamedTuple):

@@ -113,3 +113,23 @@ def test_query_segments_every_document(spark, sf):
     assert {r.doc_id for r in got} == set(texts) and len({(r.doc_id, r["rank"]) for r in got}) == len(got)
     longest = max((i for i in texts if texts[i]), key=lambda i: len(texts[i]))
     assert sum(r.doc_id == longest for r in got) == 4
+
+
+def test_a_long_run_is_one_lattice(pieces):
+    """Probabilities of a run without a space against a plain sum over all ways; pieces lie across every place."""
+    text = "thenationinthan" * 60
+    run = "▁" + text
+    weight = {pieces.text[i]: w for known in pieces.known for i, w in zip(known[1], known[2])}
+    total = np.full(len(run) + 1, -np.inf)
+    total[-1] = 0.0
+    for at in range(len(run) - 1, -1, -1):
+        ways = [weight[run[at:b]] + total[b] for b in range(at + 1, min(at + pieces.longest, len(run)) + 1) if run[at:b] in weight]
+        total[at] = np.logaddexp.reduce(ways)
+    inside = set()
+    for samples in segmented([text] * 20, list(range(20)), 4, pieces):
+        for _, log_prob, _, _, ids in samples:
+            own = [pieces.text[i] for i in ids]
+            assert "".join(own) == run and abs(log_prob - (sum(weight[p] for p in own) - total[0])) < 1e-6
+            ends = np.cumsum([len(p) for p in own])
+            inside |= {256, 512, 768} - set(ends.tolist())
+    assert inside == {256, 512, 768}
