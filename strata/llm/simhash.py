@@ -148,8 +148,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
 
     The fingerprint of a whole text moves by more than two bits at such similarities, so each text gets one
     per table, the SimHash of the ``least`` smallest hashes of its shingle set under the table's own order.
-    Two texts have equal fingerprints in a table with a chance of about ``similarity ** least``, or 0.994
-    over five tables at 0.8. Fingerprints are linked by the grid range join; texts that share a linked group
+    Two texts have equal fingerprints in a table with a chance of about ``similarity ** least`` for large sets,
+    0.994 over five tables at 0.8; measured 0.990 (unions of 5 shingles) to 0.994 (200). Fingerprints are linked by the grid range join; texts that share a linked group
     are candidates, and linked only if the exact similarity of their shingle sets holds. Each is compared with
     the group's smallest and its three neighbours first, which is all for five texts; where a larger group is
     not one component by then, ``crossings`` compares its components exactly. Texts with the same words are one.

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 
 from strata.llm.common import components
-from strata.llm.simhash import embedding, fingerprint, keep_one, near_links, simhash_components
+from strata.llm.simhash import _sketches, embedding, fingerprint, keep_one, near_links, simhash_components
 
 
 def slow_fingerprint(text, k=3):
@@ -122,3 +122,15 @@ def test_keep_one_of_each_group(spark):
             len(shingles(texts[a]) & shingles(texts[b])) >= 0.8 * len(shingles(texts[a]) | shingles(texts[b]))]
     assert ids == sorted({*roots_of(range(len(texts)), near).values(), 999})
     assert keep_one(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [5, 10, 20, 50, 200])
+def test_recall_of_candidates_at_the_threshold(n):
+    """Pairs of exactly 0.8, the smaller set within the larger: how many meet in a table, by the size of the union."""
+    rnd, met = random.Random(n), 0
+    for _ in range(600):
+        words = [f"w{rnd.randrange(10**9)}" for _ in range(n + 4)]
+        (one, size, _), (two, part, _) = (_sketches(" ".join(words[:k + 4]).encode(), 5, 5, 2) for k in (n, n * 4 // 5))
+        assert (size, part) == (n, n * 4 // 5)
+        met += any(bin(int(a) ^ int(b)).count("1") <= 2 for a, b in zip(one, two))
+    assert met >= 0.975 * 600
