@@ -18,8 +18,11 @@ LEAST_SHARE = 0.5  # of a text's letters that its main language must have
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with one main language: rejects texts without a letter (null and empty ones too) and
     those whose most frequent language has less than ``LEAST_SHARE`` of the letters. The model is learned
-    from the documents' own labels; rows keep theirs."""
+    from the documents' own labels; rows keep theirs. Without any label to learn from no language can be told,
+    and every text with a letter stays."""
     model = languages.learn(docs.select("text", "lang"))
+    if not model.languages:
+        return languages.with_letters(docs)
     found = languages.labelled_language(docs, model, names=("__lang", "__share"))
     return found.where((F.col("__lang") != "und") & (F.col("__share") >= LEAST_SHARE)).select([f"`{c}`" for c in docs.columns])
 

@@ -196,6 +196,14 @@ def labelled_language(docs: DataFrame, model: Model, text: str = "text", penalty
     return appended(docs, f"{names[0]} string, {names[1]} double", compute)
 
 
+def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter; columns and their order stay."""
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([WORD.search(t or "") is not None for t in batch.column(text).to_pylist()], pa.bool_())]
+
+    return appended(docs, "__letters boolean", compute).where("__letters").select([F.col(f"`{c}`") for c in docs.columns])
+
+
 def language_spans(docs: DataFrame, model: Model, text: str = "text", penalty: float = 12.0) -> DataFrame:
     """``docs`` with ``lang_spans``: (lang, start, end, letters) of each run of one language."""
     words = _remembered(model, docs.sparkSession)

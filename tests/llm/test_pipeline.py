@@ -86,6 +86,13 @@ def test_stages(spark, docs):
     assert sum(r.length for r in packed) == sum(len(encode(r.text, add_special_tokens=False).ids) + 1 for r in after.collect())
 
 
+def test_language_id_without_labels(spark, docs):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    after = pipeline.language_id(spark, unlabelled, "")
+    assert after.columns == docs.columns and rows_of(after) == rows_of(unlabelled.where("text rlike '[a-z]'"))
+    assert after.count() > 80
+
+
 def test_every_stage_takes_nothing(spark, docs):
     for _, stage in pipeline.STAGES:  # clashing names of other columns are in docs, too
         assert stage(spark, docs.limit(0), "").count() == 0
