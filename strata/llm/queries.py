@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import languages, lattice, packing, quality, repeats, secret_scan, segmentations, simhash, token_counts, topk
+from strata.llm import divergence, languages, lattice, packing, quality, repeats, secret_scan, segmentations, simhash, token_counts, topk
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,47 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeats.without_repeats(docs, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+w AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (
+  SELECT lang, source, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c,
+         1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 5) // (g.n + 5 * v.v) AS p
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (
+  SELECT t.lang, t.term, 1 + CAST(1000000000 AS HUGEINT) * (t.c + 5) // (n.n + 5 * v.v) AS q
+  FROM (SELECT lang, term, sum(c) AS c FROM c GROUP BY lang, term) t
+  JOIN (SELECT lang, sum(n) AS n FROM g GROUP BY lang) n USING (lang) JOIN v USING (lang)),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(apart.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source),
+terms AS (
+  SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value
+  FROM p JOIN q USING (lang, term) WHERE p.c > 0 AND p.p > q.q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= 50
+"""
