@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import divergence, languages, lattice, packing, quality, repeats, secret_scan, segmentations, simhash, token_counts, topk
+from strata.llm import (
+    divergence, languages, lattice, packing, quality, repeats, resampling, secret_scan, segmentations, simhash, token_counts, topk,
+)
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +133,53 @@ r AS (
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM r WHERE part = 'pair' OR rank <= 50
 """
+
+
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
+ORACLE["op12_resampling"] = r"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+    FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256)))),
+texts AS (
+  SELECT 0 AS side, row_number() OVER () AS row, doc_id AS id, text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark),
+w AS (
+  SELECT side, row, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+f AS (
+  SELECT side, row, unnest(list_concat(w, [p[1] || ' ' || p[2] FOR p IN list_zip(w[:-2], w[2:])])) AS f FROM w),
+b AS (
+  SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1])), 4294967295) % 10000 AS b
+  FROM (
+    SELECT f, [CAST(16 * (instr('0123456789ABCDEF', h[2 * k + 1]) - 1) + instr('0123456789ABCDEF', h[2 * k + 2]) - 1 AS BIGINT)
+               FOR k IN range(CAST(len(h) // 2 AS BIGINT))] AS bytes
+    FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM f))), crc),
+fb AS (SELECT side, row, b, count(*) AS n FROM f JOIN b USING (f) GROUP BY ALL),
+s AS (SELECT b, sum(n) AS n FROM fb WHERE side = 0 GROUP BY b),
+t AS (SELECT b, sum(n) AS n FROM fb WHERE side = 1 GROUP BY b),
+g AS (
+  SELECT s.b, CAST(floor(1000 * ln(
+    (coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)
+    / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)))) AS BIGINT) AS g
+  FROM s LEFT JOIN t USING (b)),
+d AS (
+  SELECT row, sum(n) AS n, sum(n * g) AS g FROM fb JOIN g USING (b) WHERE side = 0 GROUP BY row),
+e AS (
+  SELECT w.id AS doc_id, len(w.w) AS words, coalesce(d.n, 0) AS n_features,
+         CASE WHEN d.n IS NULL THEN 0 ELSE (d.g - ((d.g % d.n) + d.n) % d.n) // d.n END AS weight,
+         list_sum([(instr('0123456789abcdef', sha256('7:' || w.id)[k]) - 1) * 16 ** (8 - k) FOR k IN range(1, 9)]) AS h
+  FROM w LEFT JOIN d USING (row) WHERE w.side = 0),
+x AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS score FROM e),
+r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM x WHERE words >= 20
+  QUALIFY rank <= (SELECT 25 * count(*) // 100 FROM x WHERE words >= 20))
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CAST(rank AS BIGINT) AS rank
+FROM x LEFT JOIN r USING (doc_id)
+"""
