@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
-    divergence, languages, lattice, packing, quality, repeats, resampling, secret_scan, segmentations, simhash, token_counts, topk,
+    divergence, languages, lattice, packing, phrases, quality, repeats, resampling, secret_scan, segmentations, simhash, token_counts,
+    topk,
 )
 from strata.llm.common import table
 
@@ -183,3 +184,22 @@ SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT)
        CAST(rank AS BIGINT) AS rank
 FROM x LEFT JOIN r USING (doc_id)
 """
+
+
+@query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return phrases.without_repeated_phrases(docs, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+ORACLE["op13_phrases"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS a, w FROM d WHERE len(w) >= 20),
+p AS (SELECT doc_id, a, sha256(array_to_string(w[a:a + 19], ' ')) AS h FROM x),
+r AS (SELECT doc_id, a, row_number() OVER (PARTITION BY h ORDER BY doc_id, a) AS k FROM p),
+c AS (SELECT DISTINCT doc_id, unnest(range(a, a + 20)) AS i FROM r WHERE k > 1),
+g AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF gone IS NULL OR NOT list_contains(gone, i)], ' '), '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)
+"""
