@@ -31,7 +31,7 @@ def ids(text):
 
 def test_plain_characters_split_as_the_library_does():
     plain = [chr(c) for c in range(0x250) if not _OTHER.search(chr(c))]
-    assert len(plain) > 500
+    assert len(plain) > 400
     for c in plain:
         for text in (f"a{c}b", f"1{c}{c} {c}x", f" {c}", f"{c}\n{c}'s", f"!{c}?"):
             own = [text[a:b] for _, (a, b) in tokenizer(NAME).pre_tokenizer.pre_tokenize_str(text)]
