@@ -34,25 +34,22 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Iterable[str], tra
     long as the ended one did. Unchanged or absent: keep. A change on the day a version began replaces that
     version. Days may come in any order: a change before a key's first version lasts until that begins, and
     later versions stay. ``on_close`` sets further columns of ended versions. Both sides of the join hold a
-    key once, so no key is hot.
+    key once, so no key is hot. Versions that begin after the day, usually none, are only asked for their first day.
     """
     keys, tracked = list(keys), list(tracked)
     names = current.columns
     day = F.lit(as_of).cast("date")
-    # Per key the earliest version that ends after the day: the one valid on it, or the next one.
-    nearest = F.row_number().over(Window.partitionBy(*keys).orderBy("effective_from"))
     lasts = F.col("is_active") | F.coalesce(F.col("effective_to") > day, F.lit(False))
-    ahead = current.filter(lasts).withColumn("_nearest", nearest)
-    joined = _compare(ahead.filter("_nearest = 1").drop("_nearest"), incoming, keys, tracked)
-    later = F.col("cur.effective_from") > day
-    joined = joined.withColumn(ACTION, F.when(later & F.col("inc").isNotNull(), NEW).otherwise(F.col(ACTION)))
+    begun = F.col("effective_from") <= day
+    following = current.filter(~begun).groupBy(*keys).agg(F.min("effective_from").alias("_next"))
+    arriving = set(incoming.columns)
+    joined = _compare(current.filter(lasts & begun), incoming.join(following, keys, "left"), keys, tracked)
     on_close = on_close or {}
 
-    until = F.when(later, F.col("cur.effective_from")).otherwise(F.col("cur.effective_to"))
+    until = F.when(F.col("cur").isNull(), F.col("inc._next")).otherwise(F.col("cur.effective_to"))
     opening = {"effective_from": day, "effective_to": until, "is_active": until.isNull()}
     closing = {"effective_to": day, "is_active": F.lit(False), **on_close}
     types = {f.name: f.dataType for f in current.schema.fields}
-    arriving = set(incoming.columns)
 
     def version(build) -> Column:
         return F.struct(*[build(c).cast(types[c]).alias(c) for c in names])
@@ -63,15 +60,14 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, keys: Iterable[str], tra
 
     action = F.col(ACTION)
     rows = F.array_compact(F.array(
-        F.when(action.isin(SAME, ABSENT) | later, kept)
+        F.when(action.isin(SAME, ABSENT), kept)
         .when((action == CHANGED) & (F.col("cur.effective_from") < day), closed),
         F.when(action.isin(NEW, CHANGED), opened),
     ))
     merged = joined.select(action, F.inline(rows))
     no_action = F.lit(None).cast("string")
-    ended = current.filter(~lasts).withColumn(ACTION, no_action)
-    further = ahead.filter("_nearest > 1").drop("_nearest").withColumn(ACTION, no_action)
-    result = merged.unionByName(ended).unionByName(further)
+    others = current.filter(~(lasts & begun)).withColumn(ACTION, no_action)
+    result = merged.unionByName(others)
     return result if with_action else result.drop(ACTION)
 
 

@@ -13,9 +13,10 @@ from strata.operators.star import (
     build_dim_time, build_fact, merge_dim_location, merge_dim_product, missing_dates, new_fact_rows,
 )
 from strata.plans.run import Job, LayerResult
-from strata.plans.silver import batch_periods, staged_path
-from strata.sources.sinks import append_rows, archive_partitions, insert_rows, replace_owned, write_slice
-from strata.sources.staging import fingerprint, stage_once, stage_rows
+from strata.plans.silver import batch_periods, staged_path, still_open
+from strata.sources.sinks import append_rows, archive_partitions, balanced, insert_rows, replace_owned
+from strata.sources.staging import fingerprint, stage_rows
+from strata.sources.versions import merge_version
 
 
 def in_slices(spark: SparkSession, job: Job, name: str, periods: list[str]) -> DataFrame:
@@ -40,10 +41,9 @@ def load_dimensions(spark: SparkSession, job: Job, batch: DataFrame, fiscal_star
     run = job.run
     mark = fingerprint(batch, [*schema.SOURCE_COLUMNS, "_frequency"])
     for name, merge in (("dim_product", merge_dim_product), ("dim_location", merge_dim_location)):
-        path = staged_path(spark, job, f"{name}-{mark}")
-        staged = stage_once(
-            spark, path, lambda m=merge, n=name: m(open_dimension(spark, job, n), batch, run.as_of, run.run_ts))
-        write_slice(staged, job.table(name))
+        merge_version(
+            spark, job.table(name), lambda values: still_open(values, run.as_of), f"{run.batch_id}/{job.name}/{mark}",
+            lambda m=merge, n=name: m(open_dimension(spark, job, n), batch, run.as_of, run.run_ts), lambda _: {}, balanced)
     days = build_dim_time(batch, "forecast_date", fiscal_start_month)
     append_rows(missing_dates(days, spark.table(job.table("dim_time"))), job.table("dim_time"))
 

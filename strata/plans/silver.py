@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +23,9 @@ from strata.operators.scd2 import ACTION, CHANGED, NEW, scd2_merge
 from strata.plans.bronze import NewestBy
 from strata.plans.run import Job, LayerResult
 from strata.sources import logs
-from strata.sources.sinks import add_missing_columns, partition_values, replace_owned, write_slice
-from strata.sources.staging import fingerprint, stage_once, stage_rows, staging_path
+from strata.sources.sinks import add_missing_columns, balanced, partition_values, replace_owned
+from strata.sources.staging import fingerprint, stage_rows, staging_path
+from strata.sources.versions import merge_version
 
 
 def bronze_batch(spark: SparkSession, job: Job) -> DataFrame:
@@ -80,22 +83,32 @@ def write_period_totals(job: Job, incoming: DataFrame) -> None:
 def merge_silver(spark: SparkSession, job: Job, incoming: DataFrame) -> dict[str, int]:
     """Merge one row per key into Silver; returns the number of keys per action.
 
-    The batch's period totals have been written before and tell which slices the merge touches.
+    The batch's period totals have been written before and tell which slices the merge touches. A resumed run
+    finds what it has published, and builds anew what it has not, also where other batches came in between.
     """
     run = job.run
 
     def merged() -> DataFrame:
         return scd2_merge(
-            touched_versions(spark, job, batch_periods(spark, job)), incoming, schema.MATCH_KEY, schema.TRACKED, run.as_of,
+            touched_versions(spark, job, periods), incoming, schema.MATCH_KEY, schema.TRACKED, run.as_of,
             on_close={"_update_ts": F.lit(run.run_ts)}, with_action=True)
 
+    def opened(rows: DataFrame) -> dict[str, int]:
+        new = rows.filter((F.col("effective_from") == F.lit(run.as_of)) & F.col(ACTION).isin(NEW, CHANGED))
+        return {r[ACTION]: r["count"] for r in new.groupBy(ACTION).count().collect()}
+
+    def touched(values: Mapping[str, str | None]) -> bool:
+        return values["_frequency"] == job.frequency and values["period"] in periods and still_open(values, run.as_of)
+
     add_missing_columns(incoming, job.table("silver"))
+    periods = batch_periods(spark, job)
     mark = fingerprint(incoming, [*schema.SOURCE_COLUMNS, "_frequency"])
-    staged = stage_once(spark, staged_path(spark, job, f"silver-{mark}"), merged)
-    # An empty batch stages no row; dynamic overwrite then replaces nothing.
-    write_slice(staged.drop(ACTION), job.table("silver"))
-    opened = staged.filter((F.col("effective_from") == F.lit(run.as_of)) & F.col(ACTION).isin(NEW, CHANGED))
-    return {r[ACTION]: r["count"] for r in opened.groupBy(ACTION).count().collect()}
+    return merge_version(spark, job.table("silver"), touched, f"{run.batch_id}/{job.name}/{mark}", merged, opened, balanced, (ACTION,))
+
+
+def still_open(values: Mapping[str, str | None], day: date) -> bool:
+    """Whether a slice of ended or open versions is one that a merge on this day may change."""
+    return values["effective_to"] is None or values["effective_to"] >= day.isoformat()
 
 
 def load_silver(spark: SparkSession, job: Job, threshold: float | None = None, newest_by: NewestBy = (),

@@ -5,10 +5,9 @@ Every write is safe to repeat: it replaces the slices it owns, or inserts only w
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
-from contextlib import contextmanager
 from datetime import datetime
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +15,8 @@ from pyspark.sql import functions as F
 
 from strata import schema
 from strata.operators.clean import conform
+from strata.sources.versions import Slices, forget, partition_columns, partition_spec, publish, write_version
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 def balanced(df: DataFrame, columns: Sequence[str] = (), num_files: int | None = None) -> DataFrame:
     """Lay rows out for writing.
@@ -31,29 +30,13 @@ def balanced(df: DataFrame, columns: Sequence[str] = (), num_files: int | None =
     return df.hint("rebalance", *columns) if columns else df.hint("rebalance")
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """``insertInto`` takes the overwrite mode from the session only, so set it for one write."""
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
-
-
 def _insert(df: DataFrame, table: str, columns: Sequence[str], overwrite: bool, layout: bool = True) -> None:
     """Insert by position into a table whose last columns are its partition columns."""
     spark = df.sparkSession
     rows = conform(df, spark.table(table).schema)
     if layout:
         rows = balanced(rows, columns)
-    with _dynamic_overwrite(spark):
-        rows.write.mode("overwrite" if overwrite else "append").insertInto(table)
-
-
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    rows.write.mode("overwrite" if overwrite else "append").insertInto(table)
 
 
 def write_overwrite(df: DataFrame, path: str) -> None:
@@ -61,27 +44,20 @@ def write_overwrite(df: DataFrame, path: str) -> None:
     balanced(df).write.mode("overwrite").parquet(path)
 
 
-def write_slice(df: DataFrame, table: str) -> None:
-    """Replace the partitions that occur in ``df`` and leave all others."""
-    _insert(df, table, partition_columns(df.sparkSession, table), overwrite=True)
+def _replace(df: DataFrame, table: str, owned: Slices) -> None:
+    version = f"v-{uuid.uuid4().hex}"
+    publish(df.sparkSession, table, version, write_version(df, table, version, balanced), owned)
 
 
-def replace_owned(df: DataFrame, table: str, owned: Mapping[str, str]) -> None:
-    """Replace all partitions with the values ``owned``, also those that ``df`` has no row for any more."""
-    spark = df.sparkSession
-    wanted = list(partition_columns(spark, table))
-    old = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_partition_spec(owned)})").collect()
-    specs = [_partition_spec(dict(zip(wanted, [unquote(p.split("=", 1)[1]) for p in row[0].split("/")]))) for row in old]
-    if specs:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs))
-    write_slice(df, table)
+def write_slice(df: DataFrame, table: str) -> None:
+    """Replace the partitions that occur in ``df`` and leave all others. Readers see each one whole, old or new."""
+    _replace(df, table, lambda _: False)
 
 
-def _partition_spec(values: Mapping[str, str | None]) -> str:
-    """Partition values as SQL; NULL has a name of its own there."""
-    texts = {c: "__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for c, v in values.items()}
-    escaped = {c: v.replace("\\", "\\\\").replace("'", "\\'") for c, v in texts.items()}
-    return ", ".join(f"`{c}` = '{v}'" for c, v in escaped.items())
+def replace_owned(df: DataFrame, table: str, owned: Mapping[str, str]) -> None:
+    """Replace all partitions with the values ``owned``, also those that ``df`` has no row for any more. New rows are
+    written before anything old goes."""
+    _replace(df, table, lambda values: all(values[c] == v for c, v in owned.items()))
 
 
 def write_append(df: DataFrame, path: str) -> None:
@@ -145,8 +121,10 @@ def archive_partitions(spark: SparkSession, table: str, archive: str, predicate:
     if not chosen:
         return 0
     write_slice(source.withColumn("_archived_ts", F.lit(archived_ts).cast("timestamp")), archive)
-    specs = ", ".join(f"PARTITION ({_partition_spec(values)})" for values in chosen)
+    specs = ", ".join(f"PARTITION ({partition_spec(values)})" for values in chosen)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    moved = [{c: None if v is None else str(v) for c, v in values.items()} for values in chosen]
+    forget(spark, table, lambda values: values in moved)
     return len(chosen)
 
 

@@ -1,8 +1,8 @@
-"""Results written to the shared folder before they replace the tables they were read from."""
+"""Intermediate rows of a batch, in the shared folder."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,25 +20,12 @@ def staging_path(spark: SparkSession, *parts: str) -> str:
 
 
 def fingerprint(rows: DataFrame, columns: Sequence[str]) -> str:
-    """Count and order-free hash of the rows' ``columns``: tells whether a staged copy was made from them."""
+    """Count and order-free hash of the rows' ``columns``: tells whether a merge was made from them."""
     found = rows.agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("h")).first()
     return f"{found.n}-{found.h or 0}"
 
 
-def stage_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Write ``build()`` to ``path`` unless an earlier attempt completed it, and read it back.
-
-    A merge reads the slices it replaces. Staging cuts that cycle: the table is only overwritten from
-    a complete copy, and a run that died while publishing publishes the same copy again instead of
-    merging into a half-written table. The path should carry the ``fingerprint`` of what is merged, and
-    ``clear_staged`` takes the copy away once the run has committed, so no other data meets it.
-    """
-    if not exists(spark, f"{path}/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def stage_rows(df: DataFrame, path: str) -> DataFrame:
     """Rows that several steps read, computed and written once."""
     df.write.mode("overwrite").parquet(path)
@@ -46,6 +33,6 @@ def stage_rows(df: DataFrame, path: str) -> DataFrame:
 
 
 def clear_staged(spark: SparkSession, path: str) -> None:
-    """Remove one batch's staged copies after its commit."""
+    """Remove one batch's staged rows after its commit."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -15,6 +15,7 @@ from strata.plans.reports import register_views
 from strata.plans.run import Run
 from strata.plans.subject import run_subject
 from strata.session import work_path
+from strata.sources import versions
 from strata.sources.logs import loaded_layers
 
 SUBJECT = "fc_daily"
@@ -209,28 +210,78 @@ def test_gate_stops_before_silver_is_written(spark):
     assert not spark.table(f"{database}.data_quality_log").isEmpty()
 
 
-def test_publishing_resumes_from_the_staged_merge(spark, monkeypatch):
-    """The run dies after half of Silver was replaced: the next attempt restores it from staging."""
-    from strata.plans import silver as silver_module
+def dies_after(monkeypatch, module, name, calls, table):
+    """``module.name`` raises at its call number ``calls`` for a table."""
+    real, seen = getattr(module, name), []
 
-    database = new_database(spark)
-    go(spark, database, "b1", 1, land(spark, FIRST, "fc_202401010600"))
-    second = land(spark, SECOND, "fc_202403010600")
-    real = silver_module.write_slice
+    def dying(spark, where, *args, **kwargs):
+        if where.endswith(table):
+            seen.append(where)
+            if len(seen) == calls:
+                raise RuntimeError("driver lost")
+        return real(spark, where, *args, **kwargs)
+
+    monkeypatch.setattr(module, name, dying)
 
-    def dies(df, table):
-        if table.endswith(".silver"):
-            real(df.filter("product_id <> 'P1' AND is_active"), table)
-            raise RuntimeError("driver lost")
-        real(df, table)
 
+@pytest.mark.parametrize("table", [".silver", ".dim_product"])
+@pytest.mark.parametrize("name", ["publish", "apply"])
+def test_a_run_that_dies_while_publishing_is_resumed(spark, monkeypatch, name, table):
+    """Before the manifest entry the merge is built again; after it, the next attempt completes the catalog."""
+    calm, database = new_database(spark), new_database(spark)
+    first, second = land(spark, FIRST, "fc_202401010600"), land(spark, SECOND, "fc_202403010600")
+    for where in (calm, database):
+        go(spark, where, "b1", 1, first)
+    go(spark, calm, "b2", 3, second)
     with monkeypatch.context() as patch:
-        patch.setattr(silver_module, "write_slice", dies)
-        with pytest.raises(RuntimeError):
+        dies_after(patch, versions, name, 1, table)
+        with pytest.raises(RuntimeError, match="driver lost"):
             go(spark, database, "b2", 3, second)
-    go(spark, database, "b2", 3, second)
+    layers = {r.layer: r for r in go(spark, database, "b2", 3, second).layers}
+    if table == ".silver":
+        assert (layers["SILVER"].inserted, layers["SILVER"].updated) == (1, 1)
+    for table in ("silver", "dim_product", "dim_location", "fact"):
+        assert content(spark, database, table) == content(spark, calm, table)
+
+
+@pytest.mark.parametrize("name", ["publish", "apply"])
+def test_a_batch_is_resumed_after_another_one(spark, monkeypatch, name):
+    """b1 dies while it publishes Silver, b2 runs, b1 is resumed: nobody's rows are lost, in no layer."""
+    database = new_database(spark)
+    go(spark, database, "b0", 1, land(spark, [row("P0")], "fc_202401010600"))
+    late = land(spark, [row("P1"), row("P0", qty="11")], "fc_202402010600")
+    with monkeypatch.context() as patch:
+        dies_after(patch, versions, name, 1, ".silver")
+        with pytest.raises(RuntimeError, match="driver lost"):
+            go(spark, database, "b1", 2, late)
+    go(spark, database, "b2", 3, land(spark, [row("P2"), row("P0", qty="12")], "fc_202403010600"))
+    result = go(spark, database, "b1", 2, late)
+    assert [r.status for r in result.layers] == ["SKIPPED", "SUCCESS", "SUCCESS", "SUCCESS"]
     silver = spark.table(f"{database}.silver")
-    assert silver.count() == 11 and scd2_violations(silver, schema.MATCH_KEY).isEmpty()
+    assert rows_of(silver.selectExpr("product_id", "int(forecast_qty)", "string(effective_from)", "string(effective_to)")) == [
+        ("P0", 10, "2024-01-01", "2024-02-01"), ("P0", 11, "2024-02-01", "2024-03-01"), ("P0", 12, "2024-03-01", None),
+        ("P1", 10, "2024-02-01", None), ("P2", 10, "2024-03-01", None)]
+    for table in ("fact", "dim_product"):
+        assert rows_of(spark.table(f"{database}.{table}").select("product_id").distinct()) == [("P0",), ("P1",), ("P2",)]
+
+
+def test_a_merge_that_was_overtaken_is_built_again(spark, monkeypatch):
+    """Another batch publishes between the moment a merge reads Silver and the moment it publishes."""
+    database = new_database(spark)
+    other = land(spark, [row("P2")], "fc_202403010600")
+    real, seen = versions.publish, []
+
+    def overtaken(session, table, *args, **kwargs):
+        if table.endswith(".silver") and not seen:
+            seen.append(table)
+            go(spark, database, "b2", 3, other)
+        return real(session, table, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "publish", overtaken)
+        go(spark, database, "b1", 2, land(spark, [row("P1")], "fc_202402010600"))
+    for table in ("silver", "fact", "dim_product"):
+        assert rows_of(spark.table(f"{database}.{table}").select("product_id")) == [("P1",), ("P2",)]
 
 
 def at(spark, database, batch, when, path, **options):
@@ -264,15 +315,7 @@ def test_a_batch_is_resumed_on_another_day_without_its_landing_folder(spark, mon
     # A second batch of the same day comes in between, with other keys.
     at(spark, database, "b2", datetime(2024, 1, 1, 23, 55, tzinfo=timezone.utc), land(spark, [row("Q1")], "fc_202401010700"))
     with monkeypatch.context() as patch:
-        from strata.plans import silver as silver_module
-
-        real = silver_module.write_slice
-
-        def dies(df, table):
-            real(df.filter("product_id <> 'P1'"), table)
-            raise RuntimeError("driver lost")
-
-        patch.setattr(silver_module, "write_slice", dies)
+        dies_after(patch, versions, "apply", 1, ".silver")
         with pytest.raises(RuntimeError, match="driver lost"):
             at(spark, database, "b1", early, "/nowhere")
     result = at(spark, database, "b1", early, "/nowhere")
@@ -315,7 +358,7 @@ def test_a_corrected_repeat_leaves_no_stale_rows(spark):
     assert spark.table(f"{database}.quarantine").isEmpty()
     assert spark.table(f"{database}.bronze").count() == 1
     log = spark.table(f"{database}.data_quality_log")
-    assert log.count() == 6 and log.filter("records_failed <> 0").isEmpty()
+    assert log.count() == 7 and log.filter("records_failed <> 0").isEmpty()
 
 
 def test_views_after_a_status_update(spark):
