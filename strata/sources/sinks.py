@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata import schema
 from strata.operators.clean import conform
-from strata.sources.versions import Slices, forget, partition_columns, partition_spec, publish, write_version
+from strata.sources.versions import Slices, forget, partition_columns, partition_spec, publish, table_folder, write_version
 
 
 def balanced(df: DataFrame, columns: Sequence[str] = (), num_files: int | None = None) -> DataFrame:
@@ -45,8 +45,9 @@ def write_overwrite(df: DataFrame, path: str) -> None:
 
 
 def _replace(df: DataFrame, table: str, owned: Slices) -> None:
-    version = f"v-{uuid.uuid4().hex}"
-    publish(df.sparkSession, table, version, write_version(df, table, version, balanced), owned)
+    spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
+    folder = table_folder(spark, table)
+    publish(spark, table, version, write_version(df, table, version, balanced, folder=folder), owned, folder=folder)
 
 
 def write_slice(df: DataFrame, table: str) -> None:
