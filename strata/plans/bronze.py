@@ -12,6 +12,7 @@ from strata.operators.clean import align_columns, enrich_bronze, standardize
 from strata.operators.dedup import dedup_newest
 from strata.operators.kpi import parse_list
 from strata.operators.quality import quarantine, validate_not_null
+from strata.plans.contract import require_contract
 from strata.plans.run import Job, LayerResult
 from strata.sources import logs
 from strata.sources.files import read_landing, resolve_path
@@ -43,14 +44,22 @@ def load_bronze(spark: SparkSession, job: Job, source_path: str | None = None, *
 
     Row counts are taken from what was written, so a task that ran twice is not counted twice.
     """
-    config, run = job.subject, job.run
+    config = job.subject
     path = resolve_path(config["source_path"], source_path)
     landing = read_landing(spark, path, config["file_format"], config["delimiter"], config["has_header"])
+    return load_landing(spark, job, landing, mapping=mapping, newest_by=newest_by, archive_root=archive_root)
+
+
+def load_landing(spark: SparkSession, job: Job, landing: DataFrame, *, mapping: Mapping[str, str] | None = None,
+                 newest_by: NewestBy = (), archive_root: str | None = None) -> LayerResult:
+    """Bronze from landing rows, however they were found."""
+    config, run = job.subject, job.run
     rows = bronze_rows(landing, job, mapping or {})
     key = parse_list(config["null_check_columns"])
     kept, rejected = split_bronze(rows, key, newest_by)
 
-    bronze, rejects = job.table("bronze"), job.table("quarantine")
+    bronze, rejects = job.table(job.bronze), job.table("quarantine")
+    require_contract(spark, job.database, job.bronze, "quarantine")
     add_missing_columns(kept, bronze)
     owned = {"_frequency": job.frequency, "_batch_id": run.batch_id}
     replace_owned(rejected, rejects, {**owned, "_dq_fail_reason": "NULL_PK"})

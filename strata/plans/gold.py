@@ -12,9 +12,10 @@ from strata.operators.clean import active_versions, current_batch, enrich_gold
 from strata.operators.star import (
     build_dim_time, build_fact, merge_dim_location, merge_dim_product, missing_dates, new_fact_rows,
 )
+from strata.plans.contract import require_contract
 from strata.plans.run import Job, LayerResult
 from strata.plans.silver import batch_periods, staged_path, still_open
-from strata.sources.sinks import append_rows, archive_partitions, balanced, insert_rows, replace_owned
+from strata.sources.sinks import add_missing_columns, append_rows, archive_partitions, balanced, insert_rows, replace_owned
 from strata.sources.staging import fingerprint, stage_rows
 from strata.sources.versions import merge_version
 
@@ -61,15 +62,21 @@ def archive_silver(batch: DataFrame, job: Job) -> None:
 
 
 def archive_facts_before(spark: SparkSession, job: Job, period: str) -> int:
-    """Move fact partitions of periods before ``period`` to the archive."""
+    """Move fact partitions of periods before ``period`` to the archive, with columns that the fact has gained."""
+    facts = spark.table(job.table("fact"))
+    add_missing_columns(facts.select([c for c in facts.columns if c not in schema.FACT.names]), job.table("fact_archive"))
     return archive_partitions(
         spark, job.table("fact"), job.table("fact_archive"), F.col("period") < period, job.run.run_ts)
 
 
 def load_gold(spark: SparkSession, job: Job, fiscal_start_month: int = 1) -> LayerResult:
+    require_contract(spark, job.database, "fact", "silver_archive", "dim_product", "dim_location", "dim_time")
     periods = batch_periods(spark, job)
     batch = stage_rows(silver_batch(spark, job, periods), staged_path(spark, job, f"gold-{uuid.uuid4().hex[:12]}"))
     load_dimensions(spark, job, batch, fiscal_start_month)
+    added = batch.select([c for c in batch.columns if c not in schema.SILVER.names])
+    for name in ("fact", "silver_archive"):  # columns that the source has newly added
+        add_missing_columns(added, job.table(name))
     held = in_slices(spark, job, "fact", periods)
     insert_rows(new_fact_rows(fact_candidates(spark, job, batch), held, schema.FACT_KEY), job.table("fact"))
     archive_silver(batch, job)

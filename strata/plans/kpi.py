@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.clean import current_batch
 from strata.operators.kpi import PERIOD_GROUP, kpi_rows, parse_list, stamp_kpi
+from strata.plans.contract import require_contract
 from strata.plans.gold import in_slices
 from strata.plans.run import Job, LayerResult
 from strata.plans.silver import batch_periods
@@ -25,6 +26,7 @@ def kpi_frame(facts: DataFrame, job: Job) -> DataFrame:
 
 
 def load_kpi(spark: SparkSession, job: Job) -> LayerResult:
+    require_contract(spark, job.database, "kpi")
     facts = in_slices(spark, job, "fact", batch_periods(spark, job))
     batch = current_batch(facts, job.run.batch_id)
     write_slice(kpi_frame(batch, job), job.table("kpi"))

@@ -9,24 +9,27 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata import fixture, schema
 from strata.operators import clean
-from strata.operators.scd2 import scd2_violations
+from strata.operators.quality import validate_data_types
+from strata.operators.scd2 import open_all, scd2_violations
+from strata.plans.bronze import load_bronze
 from strata.plans.gold import archive_facts_before
-from strata.plans.oracle import STALE_MARK, real, strings, text, with_parts
+from strata.plans.oracle import FIRST_DAY, SECOND_DAY, STALE_MARK, matches, real, strings, text, with_parts
 from strata.plans.queries import (
     ID_COLUMNS, ID_SQL, QTY, REV, SRC_ID, SRC_IDS, batch_one, batch_two, clean_rows, first_facts,
     valid_rows,
 )
 from strata.plans.registry import query
 from strata.plans.run import Job, Run
-from strata.plans.subject import run_subject
+from strata.plans.silver import bronze_batch, silver_rows
+from strata.plans.subject import run_steps, run_subject
 from strata.sources import sinks
 from strata.sources.config import default_subjects, get_pipeline_metadata
 from strata.sources.files import read_delimited, read_parquet_as_strings
-from strata.streaming.ingest import deduplicate_stream, read_landing_stream, stream_layers
+from strata.sources.versions import write_version
+from strata.streaming.ingest import create_key_table, land_new_keys, landing_files, stream_layers
 from strata.session import work_path
 
 FREQUENCIES = ["daily", "weekly", "monthly", "quarterly"]
@@ -409,29 +412,33 @@ def insert_only_merge(spark, sf):
 # ---------------------------------------------------------------- streaming
 
 
-_STREAM_COLUMNS = T.StructType([*schema.LANDING.fields, T.StructField("changed_on", T.TimestampNTZType())])
-
-
-def _stream(spark: SparkSession, database: str, root: str, run: str, rows: DataFrame, to_silver: bool) -> None:
+def _stream(spark: SparkSession, database: str, root: str, run: str, rows: DataFrame, to_silver: bool = False,
+            checkpoint: str = "checkpoints", folder: str | None = None) -> None:
     """Land a run's files and start one stream per frequency; their table slices do not overlap."""
     running = []
     for frequency in FREQUENCIES:
-        land(rows, frequency, f"{root}/{frequency}", run)
-        stream = read_landing_stream(spark, f"{root}/{frequency}/*", columns=_STREAM_COLUMNS)
+        place = f"{root}/{folder or 'in'}/{frequency}"
+        land(rows, frequency, place, run)
         subject = get_pipeline_metadata(spark.table(f"{database}.pipeline_metadata"), f"fc_{frequency}")
         running.append(stream_layers(
-            stream, database, subject, f"{root}/checkpoints/{frequency}", to_silver=to_silver,
+            landing_files(spark, f"{place}/*"), database, subject, f"{root}/{checkpoint}/{frequency}", to_silver=to_silver,
             newest_by=["changed_on"], run_ts=RUNS[run]))
     for one in running:
         one.awaitTermination()
 
 
-@query(with_parts(
-    f"SELECT {strings()}, changed_on, _frequency, 'fc_' || _frequency || '_199807010600.parquet' AS _file_name"
-    " FROM bronze1", "bronze1"))
+def _stamped(column: str = "_frequency") -> list[str]:
+    return [f"'fc_' || {column} || '_{RUNS[run]:%Y%m%d%H%M}.parquet' AS _file_name" for run in RUNS]
+
+
+@query(with_parts(" UNION ALL ".join(
+    f"SELECT {strings()}, changed_on, _frequency, {name} FROM bronze{k + 1}" for k, name in enumerate(_stamped())),
+    "bronze1", "bronze2"))
 def stream_bronze(spark, sf):
+    """Both runs' files; the stream is started again for the second run and reads its files only."""
     database, root = new_database(spark), work_path(spark, "stream")
-    _stream(spark, database, root, "run-1", landing_rows(spark, sf)["run-1"], to_silver=False)
+    for run, rows in landing_rows(spark, sf).items():
+        _stream(spark, database, root, run, rows)
     return spark.table(f"{database}.bronze_stream").select(
         *schema.SOURCE_COLUMNS, "changed_on", "_frequency", "_file_name")
 
@@ -445,15 +452,122 @@ def stream_silver(spark, sf):
     return spark.table(f"{database}.silver").select(*_VERSION_COLUMNS)
 
 
+def _per_table(run: str, number: int) -> str:
+    day = f"{RUNS[run]:%Y-%m-%d}"
+    lines = [(f"bronze{number}", "bronze_stream"), (f"silver{number}", "period_agg")]
+    counts = [f"SELECT '{name}' AS table_name, _frequency, '{day}' AS day, count(*) AS n FROM {source} GROUP BY _frequency" for source, name in lines]
+    return " UNION ALL ".join([*counts, f"SELECT 'quarantine', _frequency, '{day}', count(*) FROM ({_rejected(run, number)}) GROUP BY _frequency"])
+
+
+@query(with_parts(
+    f"{_per_table('run-1', 1)} UNION ALL {_per_table('run-2', 2)} UNION ALL"
+    " SELECT 'silver', _frequency, CAST(effective_from AS VARCHAR), count(*) FROM run_history GROUP BY ALL",
+    "bronze1", "bronze2", "run_history"))
+def stream_new_checkpoint(spark, sf):
+    """The second run's stream has a checkpoint of its own, whose numbers begin anew: every table keeps the first run's rows."""
+    database, root = new_database(spark), work_path(spark, "stream")
+    for run, rows in landing_rows(spark, sf).items():
+        _stream(spark, database, root, run, rows, to_silver=True, checkpoint=f"checkpoint-{run}", folder=f"in-{run}")
+
+    def counted(name: str, day: str, n=F.count(F.lit(1))) -> DataFrame:
+        rows = spark.table(f"{database}.{name}").withColumn("day", F.expr(f"string(date({day}))"))
+        return rows.groupBy("_frequency", "day").agg(n.alias("n")).select(F.lit(name).alias("table_name"), "_frequency", "day", "n")
+
+    return counted("bronze_stream", "_ingestion_ts").unionByName(
+        counted("period_agg", "_silver_load_ts", F.sum("no_of_records"))).unionByName(
+        counted("quarantine", "_ingestion_ts")).unionByName(counted("silver", "effective_from"))
+
+
+_TYPED_SOURCE = ", ".join(
+    f"CAST(CAST({c} AS {t}) AS {'VARCHAR' if t == 'DATE' else 'DOUBLE'}) AS {c}" for c, t in
+    {"forecast_date": "DATE", QTY: "DECIMAL(18,4)", REV: "DECIMAL(18,2)"}.items())
+
+
+def _typed(number: int, revision: str) -> str:
+    tries = _TYPED_SOURCE.replace("CAST(CAST(", "CAST(TRY_CAST(")
+    return (f"SELECT {strings(skip=('forecast_date', QTY, REV))}, {tries}, {revision} AS revision, _frequency, {_stamped()[number - 1]}"
+            f" FROM bronze{number} WHERE TRY_CAST(forecast_date AS DATE) IS NOT NULL")
+
+
+@query(with_parts(f"{_typed(1, 'CAST(NULL AS VARCHAR)')} UNION ALL {_typed(2, chr(39) + 'r2' + chr(39))}", "bronze1", "bronze2"))
+def stream_typed(spark, sf):
+    """Parquet with DATE and DECIMAL columns; the second run's files have one column more. The stream is restarted
+    in between without new files. A day that is not a date is NULL in such a file, and its row incomplete."""
+    database, root = new_database(spark), work_path(spark, "stream")
+    landed = landing_rows(spark, sf)
+    typed = {run: clean.cast_columns(rows) for run, rows in landed.items()}
+    _stream(spark, database, root, "run-1", typed["run-1"])
+    _stream(spark, database, root, "run-1", typed["run-1"].limit(0), folder="in/nothing")
+    _stream(spark, database, root, "run-2", typed["run-2"].withColumn("revision", F.lit("r2")))
+    numbers = [F.col(c).cast("double").alias(c) for c in (QTY, REV)]
+    others = [c for c in schema.SOURCE_COLUMNS if c not in (QTY, REV)]
+    return spark.table(f"{database}.bronze_stream").select(*others, *numbers, "revision", "_frequency", "_file_name")
+
+
+@query(with_parts(" UNION ALL ".join(
+    f"SELECT * EXCLUDE (batch_id), '{RUNS[run]:%Y-%m-%d}' AS day FROM ({line})" for run, line in [
+        ("run-1", _log_line("BRONZE", "run-1", "count(*)", "0", "bronze1")),
+        ("run-2", _log_line("BRONZE", "run-2", "count(*)", "0", "bronze2")),
+        ("run-1", _log_line("SILVER", "run-1", "count(*)", "0", "silver1")),
+        ("run-2", _log_line("SILVER", "run-2", "count_if(is_new)", "count_if(NOT is_new)", "opened2"))]),
+    "bronze1", "bronze2", "opened2"))
+def stream_logs(spark, sf):
+    """The job-log rows that the micro-batches of both runs commit with."""
+    database, root = new_database(spark), work_path(spark, "stream")
+    for run, rows in landing_rows(spark, sf).items():
+        _stream(spark, database, root, run, rows, to_silver=True)
+    return spark.table(f"{database}.job_log").select(
+        "data_subject", "layer", "status", "records_inserted", "records_updated", F.expr("string(date(insert_time))").alias("day"))
+
+
 @query(with_parts(f"SELECT DISTINCT {', '.join(schema.MATCH_KEY)} FROM valid", "valid"))
 def stream_dedup(spark, sf):
-    """One row per key from a stream whose repeats arrive within the delay."""
-    folder = work_path(spark, "stream-dedup")
-    valid_rows(spark, sf).select(*schema.MATCH_KEY, "_ingestion_ts").withColumn(
-        "_ingestion_ts", F.col("_ingestion_ts").cast("timestamp")).write.parquet(f"{folder}/in")
-    source = spark.read.parquet(f"{folder}/in").schema
-    stream = spark.readStream.schema(source).parquet(f"{folder}/in")
-    unique = deduplicate_stream(stream, schema.MATCH_KEY, "_ingestion_ts", "3650 days")
-    (unique.writeStream.format("parquet").option("path", f"{folder}/out")
-     .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(f"{folder}/out").select(*schema.MATCH_KEY)
+    """One row per key from files that arrive one by one, newest months first, with a restart in the middle: rows and
+    repeats that come late, by any delay, are told from each other by what has landed."""
+    folder, table = work_path(spark, "stream-dedup"), f"{new_database(spark)}.first_seen"
+    rows = valid_rows(spark, sf).select(*schema.MATCH_KEY, F.col("_ingestion_ts").cast("timestamp").alias("_ingestion_ts"))
+    month = F.date_format("_ingestion_ts", "yyyy")
+    sinks.write_partitioned(rows.withColumn("year", month), f"{folder}/all", ["year"])
+    years = sorted((r.year for r in spark.read.parquet(f"{folder}/all").select("year").distinct().collect()), reverse=True)
+    create_key_table(spark, table, "product_id STRING, location_id STRING, forecast_date STRING, _frequency STRING, _ingestion_ts TIMESTAMP")
+    for part in (years[:len(years) // 2], years[len(years) // 2:]):
+        for year in part:
+            spark.read.parquet(f"{folder}/all/year={year}").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+        land_new_keys(stream, table, schema.MATCH_KEY, ["_ingestion_ts"], f"{folder}/checkpoint").awaitTermination()
+    return spark.table(table).select(*schema.MATCH_KEY)
+
+
+# ---------------------------------------------------------------- runs that fail and interleave
+
+
+def _interleaved() -> str:
+    """Versions after run-2 was merged first and run-1 afterwards, as of its earlier day."""
+    return (
+        f"SELECT b.*, DATE '{SECOND_DAY}' AS effective_from,"
+        " CAST(NULL AS DATE) AS effective_to, true AS is_active FROM silver2 b"
+        f" UNION ALL SELECT a.*, DATE '{FIRST_DAY}', CASE WHEN b.product_id IS NULL THEN NULL ELSE DATE '{SECOND_DAY}' END,"
+        f" b.product_id IS NULL FROM silver1 a LEFT JOIN silver2 b ON {matches('a', 'b')}")
+
+
+@query(with_parts(f"SELECT {_VERSIONS} FROM ({_interleaved()})", "silver1", "silver2"))
+def resume_after_other_batch(spark, sf):
+    """run-1 is lost after it has written its Silver merge aside and before it publishes it; run-2 is loaded; then run-1 is
+    resumed. Both runs' rows are there, and run-1's versions end where those of run-2 begin."""
+    database, root = new_database(spark), work_path(spark, "resume")
+    landed = landing_rows(spark, sf)
+    paths = {(run, f): land(rows, f, f"{root}/{f}", run) for run, rows in landed.items() for f in FREQUENCIES}
+
+    def load(run: str, frequency: str) -> None:
+        run_subject(spark, database, f"fc_{frequency}", Run(run, RUNS[run], run), paths[run, frequency], newest_by=["changed_on"])
+
+    for frequency in FREQUENCIES:
+        subject = get_pipeline_metadata(spark.table(f"{database}.pipeline_metadata"), f"fc_{frequency}")
+        job = Job(database, subject, Run("run-1", RUNS["run-1"], "run-1"))
+        path = paths["run-1", frequency]
+        run_steps(spark, job, path, {}, {}, [("BRONZE", lambda: load_bronze(spark, job, path, newest_by=["changed_on"]))])
+        incoming = silver_rows(validate_data_types(bronze_batch(spark, job), schema.TYPED_COLUMNS)[0], job, ["changed_on"])
+        write_version(open_all(incoming, job.run.as_of), job.table("silver"), f"lost-{frequency}", sinks.balanced)
+        load("run-2", frequency)
+        load("run-1", frequency)
+    return spark.table(f"{database}.silver").select(*_VERSION_COLUMNS)

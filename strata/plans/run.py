@@ -35,11 +35,12 @@ class LayerResult:
 
 @dataclass(frozen=True)
 class Job:
-    """A subject's configuration row, the database of its tables and the run."""
+    """A subject's configuration row, the database of its tables, the run, and the Bronze table it loads."""
 
     database: str
     subject: dict[str, Any]
     run: Run
+    bronze: str = "bronze"
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"

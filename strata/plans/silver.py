@@ -21,6 +21,7 @@ from strata.operators.quality import (
 )
 from strata.operators.scd2 import ACTION, CHANGED, NEW, scd2_merge
 from strata.plans.bronze import NewestBy
+from strata.plans.contract import require_contract
 from strata.plans.run import Job, LayerResult
 from strata.sources import logs
 from strata.sources.sinks import add_missing_columns, balanced, partition_values, replace_owned
@@ -30,7 +31,7 @@ from strata.sources.versions import merge_version
 
 def bronze_batch(spark: SparkSession, job: Job) -> DataFrame:
     """This batch's Bronze slice, found by its partitions, with blanks as NULL."""
-    rows = spark.table(job.table("bronze")).filter(F.col("_frequency") == job.frequency)
+    rows = spark.table(job.table(job.bronze)).filter(F.col("_frequency") == job.frequency)
     return nullify_empty_strings(current_batch(rows, job.run.batch_id))
 
 
@@ -116,6 +117,7 @@ def load_silver(spark: SparkSession, job: Job, threshold: float | None = None, n
     """``threshold`` stops the run before anything is written when a check's pass rate is lower; ``expected``
     is the number of rows that Bronze logged, and the run stops if others are found."""
     run = job.run
+    require_contract(spark, job.database, "silver", "period_agg", "quarantine")
     nullified = bronze_batch(spark, job)
     valid, invalid = validate_data_types(nullified, schema.TYPED_COLUMNS)
     incoming = stage_rows(silver_rows(valid, job, newest_by), staged_path(spark, job, f"typed-{uuid.uuid4().hex[:12]}"))

@@ -19,8 +19,9 @@ from strata.sources.config import get_pipeline_metadata
 from strata.sources.files import has_source, resolve_path
 from strata.sources.staging import clear_staged
 
-TARGETS = {"BRONZE": "bronze", "SILVER": "silver", "GOLD": "fact", "AGGR_AUDIT": "kpi"}
-INPUTS = {"SILVER": "bronze", "GOLD": "silver", "AGGR_AUDIT": "fact"}
+TARGETS = {"SILVER": "silver", "GOLD": "fact", "AGGR_AUDIT": "kpi"}
+INPUTS = {"GOLD": "silver", "AGGR_AUDIT": "fact"}
+Step = tuple[str, Callable[[], LayerResult]]
 
 
 @dataclass(frozen=True)
@@ -33,10 +34,10 @@ class SubjectResult:
 def _log(spark: SparkSession, job: Job, result: LayerResult, started: datetime, path: str) -> None:
     """Audit entry first; the job-log row is the layer's commit marker and comes last."""
     run, config = job.run, job.subject
-    read_from = job.table(INPUTS[result.layer]) if result.layer in INPUTS else path
+    read_from = path if result.layer == "BRONZE" else job.table(INPUTS.get(result.layer, job.bronze))
     logs.write_audit_entry(
         spark, job.table("pipeline_audit"), batch_id=run.batch_id, application_id=run.application_id,
-        object_name=job.table(TARGETS[result.layer]), data_layer=result.layer, job_status=result.status,
+        object_name=job.table(TARGETS.get(result.layer, job.bronze)), data_layer=result.layer, job_status=result.status,
         source_row_count=result.source_rows, target_row_count=result.inserted + result.updated,
         error_record_count=result.errors, source_system=config["source_system"], data_subject=job.name,
         file_name=read_from, load_job_number=run.load_job_nr, job_start_ts=started,
@@ -52,7 +53,7 @@ def _fail(spark: SparkSession, job: Job, layer: str, started: datetime, error: E
     message = f"{type(error).__name__}: {error}"
     logs.mark_audit_failed(
         spark, job.table("pipeline_audit"), batch_id=run.batch_id, application_id=run.application_id,
-        object_name=job.table(TARGETS[layer]), data_layer=layer, source_system=config["source_system"], data_subject=job.name,
+        object_name=job.table(TARGETS.get(layer, job.bronze)), data_layer=layer, source_system=config["source_system"], data_subject=job.name,
         load_job_number=run.load_job_nr, job_start_ts=started, job_end_ts=datetime.now(timezone.utc),
         error_message=message)
     logs.write_job_log(
@@ -86,14 +87,20 @@ def run_subject(spark: SparkSession, database: str, data_subject: str, run: Run
             load_job_number=run.load_job_nr, job_start_ts=run.run_ts, job_end_ts=run.run_ts)
         return SubjectResult(run.batch_id, "NO_DATA", [])
 
-    steps: list[tuple[str, Callable[[], LayerResult]]] = [
+    rows = {layer: entry.inserted for layer, entry in loaded.items()}
+    done = run_steps(spark, job, path, loaded, rows, [
         ("BRONZE", lambda: load_bronze(
             spark, job, path, mapping=mapping, newest_by=newest_by, archive_root=archive_root)),
         ("SILVER", lambda: load_silver(spark, job, threshold, newest_by, rows["BRONZE"])),
         ("GOLD", lambda: load_gold(spark, job, fiscal_start_month)),
         ("AGGR_AUDIT", lambda: load_kpi(spark, job)),
-    ]
-    rows = {layer: entry.inserted for layer, entry in loaded.items()}
+    ])
+    return SubjectResult(run.batch_id, "SUCCESS", done)
+
+
+def run_steps(spark: SparkSession, job: Job, path: str, loaded: Mapping[str, logs.Loaded], rows: dict[str, int],
+              steps: list[Step]) -> list[LayerResult]:
+    """Run the layers that are not loaded yet and log each, also a failing one; ``rows`` tells what each has written."""
     done = []
     for layer, step in steps:
         if layer in loaded:
@@ -109,4 +116,4 @@ def run_subject(spark: SparkSession, database: str, data_subject: str, run: Run
         done.append(result)
         rows[layer] = result.inserted
     clear_staged(spark, staged_path(spark, job))
-    return SubjectResult(run.batch_id, "SUCCESS", done)
+    return done

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,17 @@ def read_landing(spark: SparkSession, path: str, file_format: str, sep: str = "|
     return read_delimited(spark, path, sep, header)
 
 
+def read_landed_files(spark: SparkSession, paths: list[str], file_format: str, sep: str = "|", header: bool = True) -> DataFrame:
+    """Certain landing files, with the columns and types that they have; all as STRING. Delimited files of one call
+    must have one header, else the read fails rather than put values under wrong names."""
+    exact = [re.sub(r"([\\\\*?\[\]{}])", r"\\\1", p) for p in paths]
+    if file_format.lower() == "parquet":
+        df = spark.read.option("mergeSchema", True).parquet(*exact)
+    else:
+        df = spark.read.options(sep=sep, header=header, quote='"', escape='"', inferSchema=False, enforceSchema=False).csv(exact)
+    return with_file_name(df).select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns], "_file_name")
+
+
 def has_source(spark: SparkSession, path: str, file_format: str = "parquet", sep: str = "|",
                header: bool = True) -> bool:
     """False when the folder is missing, holds no file, or its files hold no row."""

@@ -124,6 +124,7 @@ class Loaded:
 
 def loaded_layers(spark: SparkSession, table: str, batch_id: str, data_subject: str) -> dict[str, Loaded]:
     """The layers this batch has a successful entry for, by name. The job log is the commit marker."""
+    spark.catalog.refreshTable(table)  # sessions beside this one may have written to it
     done = spark.table(table).filter(
         (F.col("batch_id") == batch_id) & (F.col("data_subject") == data_subject) & (F.col("status") == "SUCCESS"))
     newest = done.groupBy("layer").agg(

@@ -69,7 +69,7 @@ def main() -> int:
             else:
                 ok, note = True, f"{len(df.collect())} rows, no SQL"
         except Exception as error:  # report and go on with the next query
-            ok, note = False, f"{type(error).__name__}: {str(error)[:600]}"
+            ok, note = False, f"{type(error).__name__}: {str(error)[:400]} ... {str(error)[-1500:]}"
         bad += not ok
         print(f"{'ok  ' if ok else 'FAIL'} {name:28s} {time.time() - start:6.2f}s  {note}", flush=True)
     print(f"{bad} failed")

@@ -1,10 +1,12 @@
 from datetime import datetime, timezone
 
+import pytest
+
 from conftest import rows_of
 from strata.plans.load_queries import new_database
 from strata.session import work_path
 from strata.sources.config import get_pipeline_metadata
-from strata.streaming.ingest import read_landing_stream, stream_layers
+from strata.streaming.ingest import create_key_table, land_new_keys, landing_files, stream_layers
 
 HEADER = "product_id|location_id|forecast_date|forecast_qty|revenue_amount|customer_id|channel|category|" \
          "sub_category|region|country|currency|uom"
@@ -19,15 +21,17 @@ def line(product, qty, day="2024-01-15"):
     return f"{product}|L1|{day}|{qty}|1.00|C1|DIRECT|server|S|EUROPE|DE|USD|UNIT"
 
 
+def delimited(spark, database):
+    return get_pipeline_metadata(spark.table(f"{database}.pipeline_metadata"), "fc_daily") | {"file_format": "csv"}
+
+
 def test_stream_reads_new_files_only_and_feeds_silver(spark):
     database, root = new_database(spark), work_path(spark, "stream")
-    subject = get_pipeline_metadata(spark.table(f"{database}.pipeline_metadata"), "fc_daily")
+    subject = delimited(spark, database)
 
     def run(month):
-        stream = read_landing_stream(spark, f"{root}/in/*", "csv")
-        query = stream_layers(stream, database, subject, f"{root}/checkpoint", to_silver=True,
-                              run_ts=datetime(2024, month, 1, tzinfo=timezone.utc))
-        query.awaitTermination()
+        stream_layers(landing_files(spark, f"{root}/in/*"), database, subject, f"{root}/checkpoint", to_silver=True,
+                      run_ts=datetime(2024, month, 1, tzinfo=timezone.utc)).awaitTermination()
 
     put(spark, f"{root}/in", "a_202401010600.csv", line("P1", 1), line("P2", 2), line("", 3), line("P3", 1, "x"))
     run(1)
@@ -44,14 +48,89 @@ def test_stream_reads_new_files_only_and_feeds_silver(spark):
 
 def test_a_new_checkpoint_does_not_meet_an_old_merge(spark):
     database, root = new_database(spark), work_path(spark, "stream")
-    subject = get_pipeline_metadata(spark.table(f"{database}.pipeline_metadata"), "fc_daily")
+    subject = delimited(spark, database)
 
     def run(folder, checkpoint):
-        stream_layers(read_landing_stream(spark, f"{root}/{folder}/*", "csv"), database, subject, f"{root}/{checkpoint}",
+        stream_layers(landing_files(spark, f"{root}/{folder}/*"), database, subject, f"{root}/{checkpoint}",
                       to_silver=True, run_ts=datetime(2024, 1, 1, tzinfo=timezone.utc)).awaitTermination()
 
-    put(spark, f"{root}/one", "a_202401010600.csv", line("P1", 1))
+    put(spark, f"{root}/one", "a_202401010600.csv", line("P1", 1), line("", 1))
     run("one", "first")
-    put(spark, f"{root}/two", "b_202401010600.csv", line("P2", 2))
+    put(spark, f"{root}/two", "b_202401010600.csv", line("P2", 2), line("", 2))
     run("two", "second")
     assert rows_of(spark.table(f"{database}.silver").selectExpr("product_id", "is_active")) == [("P1", True), ("P2", True)]
+    assert rows_of(spark.table(f"{database}.bronze_stream").select("product_id")) == [("P1",), ("P2",)]
+    assert spark.table(f"{database}.period_agg").count() == 2
+    assert rows_of(spark.table(f"{database}.quarantine").select("_dq_fail_reason")) == [("NULL_PK",)] * 2
+
+
+def test_a_failing_gate_stops_the_stream_and_a_mended_one_goes_on(spark):
+    database, root = new_database(spark), work_path(spark, "stream")
+    subject = delimited(spark, database)
+
+    def run(threshold):
+        stream_layers(landing_files(spark, f"{root}/in/*"), database, subject, f"{root}/checkpoint", to_silver=True, threshold=threshold,
+                      run_ts=datetime(2024, 1, 1, tzinfo=timezone.utc)).awaitTermination()
+
+    put(spark, f"{root}/in", "a_202401010600.csv", line("P1", 1), line("P2", "many"))
+    with pytest.raises(Exception, match="pass rate under 0.9"):
+        run(0.9)
+
+    def log():  # written by the stream's own session
+        spark.catalog.refreshTable(f"{database}.job_log")
+        return rows_of(spark.table(f"{database}.job_log").select("layer", "status"))
+
+    assert log() == [("BRONZE", "SUCCESS"), ("SILVER", "FAILED")]
+    assert spark.table(f"{database}.silver").isEmpty() and spark.table(f"{database}.data_quality_log").count() == 7
+    put(spark, f"{root}/in", "b_202401010700.csv", line("P3", 1))
+    run(0.5)  # the failed micro-batch is repeated: Bronze is not loaded again; then the new file
+    assert log() == [
+        ("BRONZE", "SUCCESS"), ("BRONZE", "SUCCESS"), ("SILVER", "FAILED"), ("SILVER", "SUCCESS"), ("SILVER", "SUCCESS")]
+    assert rows_of(spark.table(f"{database}.silver").select("product_id")) == [("P1",), ("P3",)]
+    audit = spark.table(f"{database}.pipeline_audit").filter("data_layer = 'BRONZE'").orderBy("job_end_ts").collect()
+    assert [(a.source_row_count, a.target_row_count, a.job_status) for a in audit] == [(2, 2, "SUCCESS"), (1, 1, "SUCCESS")]
+
+
+def test_typed_files_and_new_columns(spark):
+    database, root = new_database(spark), work_path(spark, "stream")
+    subject = delimited(spark, database) | {"file_format": "parquet"}
+    typed = "product_id, location_id, date(day) AS forecast_date, decimal(qty) AS forecast_qty"
+
+    def run(name, product, more=""):
+        rows = spark.createDataFrame([(product, "L1", "2024-01-15", 3)], "product_id string, location_id string, day string, qty int")
+        rows.selectExpr(*typed.split(", "), *([more] if more else [])).write.parquet(f"{root}/in/{name}")
+        stream_layers(landing_files(spark, f"{root}/in/*"), database, subject, f"{root}/checkpoint", to_silver=True,
+                      run_ts=datetime(2024, 1, 1, tzinfo=timezone.utc)).awaitTermination()
+
+    run("a_202401010600.parquet", "P1")
+    run("b[1]_202401020600.parquet", "P2", "date('2024-05-01') AS planned_on")
+    for table in ("bronze_stream", "silver"):
+        assert rows_of(spark.table(f"{database}.{table}").selectExpr("product_id", "string(forecast_date)", "planned_on")) == [
+            ("P1", "2024-01-15", None), ("P2", "2024-01-15", "2024-05-01")]
+
+
+def test_keys_that_come_late_and_again(spark):
+    """Files of several years, not in order, with a restart: no row is lost or kept twice, and no state is kept."""
+    database, root = new_database(spark), work_path(spark, "keys")
+    table = f"{database}.seen"
+    create_key_table(spark, table, "k STRING, ts TIMESTAMP, v INT", buckets=4)
+
+    def put_rows(*rows):
+        spark.createDataFrame(list(rows), "k string, ts string, v int").selectExpr("k", "timestamp(ts) AS ts", "v").coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+    def run():
+        stream = spark.readStream.schema("k string, ts timestamp, v int").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        query = land_new_keys(stream, table, ["k"], ["ts"], f"{root}/checkpoint")
+        query.awaitTermination()
+        return query
+
+    put_rows(("a", "2024-05-01", 1), ("a", "2024-04-01", 2), (None, "2024-05-01", 3))
+    put_rows(("b", "2024-05-02", 4))
+    run()
+    put_rows(("c", "2001-01-01", 5), ("a", "2001-01-01", 6), (None, "2030-01-01", 7))  # later than any watermark, and a repeat
+    put_rows(("a", "2031-01-01", 8), ("d", "2031-01-01", 9))
+    put_rows(("c", "2001-01-02", 10), ("e", "1999-01-01", 11))
+    query = run()
+    assert rows_of(spark.table(table).select("k", "v")) == [("a", 2), ("b", 4), ("c", 5), ("d", 9), ("e", 11), (None, 3)]
+    assert not query.lastProgress["stateOperators"]
+    assert spark.table(table).select("_batch_id").distinct().count() == 5
