@@ -18,7 +18,7 @@ from strata.plans.bronze import load_bronze
 from strata.plans.gold import archive_facts_before
 from strata.plans.oracle import FIRST_DAY, SECOND_DAY, STALE_MARK, matches, real, strings, text, with_parts
 from strata.plans.queries import (
-    ID_COLUMNS, ID_SQL, QTY, REV, SRC_ID, SRC_IDS, batch_one, batch_two, clean_rows, first_facts,
+    ID_COLUMNS, ID_SQL, QTY, REV, SRC_ID, SRC_IDS, all_facts, batch_one, batch_two, clean_rows,
     valid_rows,
 )
 from strata.plans.registry import query
@@ -370,12 +370,12 @@ def partitioned_overwrite(spark, sf):
 
 @query(with_parts(
     "SELECT CASE WHEN period < '1996-07-01' THEN 'archive' ELSE 'fact' END AS place, period, _frequency,"
-    f" count(*) AS n, CAST(sum({QTY}) AS DOUBLE) AS {QTY} FROM batch1 GROUP BY ALL", "batch1"))
+    f" count(*) AS n, CAST(sum({QTY}) AS DOUBLE) AS {QTY} FROM facts GROUP BY ALL", "facts"))
 def archive_partitions(spark, sf):
     database = new_database(spark)
     job = Job(database, get_pipeline_metadata(spark.table(f"{database}.pipeline_metadata"), "fc_daily"),
               Run("run-1", RUNS["run-1"]))
-    sinks.write_slice(first_facts(spark, sf), job.table("fact"))
+    sinks.write_slice(all_facts(spark, sf)[0], job.table("fact"))
     archive_facts_before(spark, job, "1996-07-01")
 
     def place(name: str, table: str) -> DataFrame:

@@ -155,6 +155,14 @@ PARTS["fact1"] = (
     f" {surrogate('f.location_id', f'DATE {chr(39)}{FIRST_DAY}{chr(39)}')} AS location_key,"
     " CAST(strftime(f.forecast_date, '%Y%m%d') AS BIGINT) AS time_key, f.* FROM batch1 f"
     " JOIN prod1 p ON f.product_id = p.product_id JOIN loc1 l ON f.location_id = l.location_id")
+# Both batches' facts: the second batch adds the keys that the fact does not hold, with the dimensions of its day.
+PARTS["facts"] = (
+    ["fact1", "batch2", "dim_product", "dim_location"],
+    "SELECT * FROM fact1 UNION ALL BY NAME"
+    " SELECT p.product_key, l.location_key, CAST(strftime(b.forecast_date, '%Y%m%d') AS BIGINT) AS time_key, b.* FROM batch2 b"
+    " JOIN dim_product p ON b.product_id = p.product_id AND p.is_active"
+    " JOIN dim_location l ON b.location_id = l.location_id AND l.is_active"
+    f" WHERE NOT EXISTS (SELECT 1 FROM batch1 a WHERE {matches('a', 'b')} AND a.channel IS NOT DISTINCT FROM b.channel)")
 
 
 def with_parts(body: str, *names: str) -> str:

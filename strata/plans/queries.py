@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import fixture, schema
@@ -17,7 +18,9 @@ from strata.plans.oracle import (
 )
 from strata.plans.registry import query
 from strata.sources import config, extract
+from strata.session import work_path
 from strata.sources.files import with_file_name
+from strata.sources.staging import stage_rows
 
 SRC_ID = "_src_orderkey, _src_linenumber, _src_partkey, _src_suppkey"
 SRC_IDS = SRC_ID.split(", ")
@@ -398,20 +401,15 @@ def mixed_case(spark, sf):
     " FROM clean WHERE currency = 'XX'", "clean"))
 def silver_assertions(spark, sf):
     rows = clean_rows(spark, sf)
-    checks = {
-        "mixed_case": quality.mixed_case(rows),
-        "duplicate_key": quality.duplicate_keys(rows, BATCH_KEY),
-        "null_key": quality.null_keys(rows),
-        "bad_currency_kept": rows.filter("currency = 'XX'"),
+    counts = {
+        "mixed_case": F.col("category") != F.upper("category"),
+        "null_key": functools.reduce(Column.__or__, [F.col(c).isNull() for c in schema.BUSINESS_KEY]),
+        "bad_currency_kept": F.col("currency") == "XX",
     }
-    counts = [
-        found.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("assertion"), "violations")
-        for name, found in checks.items()
-    ]
-    result = counts[0]
-    for one in counts[1:]:
-        result = result.unionByName(one)
-    return result
+    # One pass: rows per key first, which tells duplicate keys, then all sums.
+    per_key = rows.groupBy(*BATCH_KEY).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(name) for name, c in counts.items()])
+    totals = per_key.agg(F.count_if(F.col("n") > 1).alias("duplicate_key"), *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts])
+    return totals.unpivot([], ["mixed_case", "duplicate_key", "null_key", "bad_currency_kept"], "assertion", "violations")
 
 
 @query(
@@ -622,23 +620,42 @@ _FACT_COLUMNS = ["product_key", "location_key", "time_key", "product_id", "locat
                  "customer_id", "channel", "category", "region", "currency", "period", "_frequency", QTY, REV]
 
 
-def first_facts(spark: SparkSession, sf: str) -> DataFrame:
-    batch = batch_one(spark, sf)
-    return star.build_fact(
-        batch, _dimension(None, batch, "product", FIRST, FIRST_TS),
-        _dimension(None, batch, "location", FIRST, FIRST_TS), star.build_dim_time(batch))
+def stored_batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Both cleaned batches, written once, as dimensions, calendar and fact each read them."""
+    root = work_path(spark, "batches")
+    return stage_rows(batch_one(spark, sf), f"{root}/one"), stage_rows(batch_two(spark, sf), f"{root}/two")
 
 
-@query(with_parts(f"SELECT {_FACT_SQL} FROM fact1", "fact1"))
+def all_facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(facts, products, locations) after both batches: the second adds the keys that the fact does not hold."""
+    one, two = stored_batches(spark, sf)
+    dims = {}
+    for kind in ("product", "location"):
+        first = _dimension(None, one, kind, FIRST, FIRST_TS)
+        dims[kind] = first, stage_rows(_dimension(first, two, kind, SECOND, SECOND_TS), work_path(spark, f"dim-{kind}"))
+    calendar = star.build_dim_time(one.select("forecast_date").unionByName(two.select("forecast_date")))
+    facts = star.build_fact(one, dims["product"][0], dims["location"][0], calendar)
+    added = star.new_fact_rows(star.build_fact(two, dims["product"][1], dims["location"][1], calendar), one)
+    return facts.unionByName(added), dims["product"][1], dims["location"][1]
+
+
+@query(with_parts(f"SELECT {_FACT_SQL} FROM facts", "facts"))
 def fact_build(spark, sf):
-    return first_facts(spark, sf).select(*_FACT_COLUMNS)
+    return all_facts(spark, sf)[0].select(*_FACT_COLUMNS)
 
 
 @query(with_parts(
-    "SELECT count(*) AS fact_rows, CAST(0 AS BIGINT) AS no_product, CAST(0 AS BIGINT) AS no_location,"
-    " CAST(0 AS BIGINT) AS no_time FROM batch1", "batch1"))
+    "SELECT count(*) AS fact_rows, count_if(product_id NOT IN (SELECT product_id FROM prod1)) AS no_product,"
+    " count_if(location_id NOT IN (SELECT location_id FROM loc1 WHERE location_id NOT LIKE '%3')) AS no_location,"
+    " count_if(forecast_date NOT IN (SELECT forecast_date FROM batch1 WHERE day(forecast_date) <> 13)) AS no_time"
+    " FROM (SELECT * FROM batch1 UNION ALL BY NAME SELECT * FROM batch2)", "batch1", "batch2", "prod1", "loc1"))
 def fact_unmatched(spark, sf):
-    return star.unmatched_keys(first_facts(spark, sf))
+    """Both batches against the first one's products, a part of its locations, and a calendar that lacks each 13th."""
+    one, two = stored_batches(spark, sf)
+    products = _dimension(None, one, "product", FIRST, FIRST_TS)
+    locations = _dimension(None, one, "location", FIRST, FIRST_TS).filter("location_id NOT LIKE '%3'")
+    calendar = star.build_dim_time(one.filter("day(forecast_date) <> 13"))
+    return star.unmatched_keys(star.build_fact(one.unionByName(two), products, locations, calendar))
 
 
 @query(with_parts(
@@ -654,14 +671,10 @@ def fact_insert_only(spark, sf):
 @query(with_parts(
     "SELECT p.category AS dim_category, p.sub_category AS dim_sub_category, l.region AS dim_region,"
     " l.country AS dim_country, f.period, f._frequency, count(*) AS n,"
-    f" CAST(sum(f.{QTY}) AS DOUBLE) AS {QTY} FROM fact1 f JOIN prod1 p ON f.product_id = p.product_id"
-    " JOIN loc1 l ON f.location_id = l.location_id GROUP BY ALL", "fact1"))
+    f" CAST(sum(f.{QTY}) AS DOUBLE) AS {QTY} FROM facts f JOIN dim_product p ON f.product_key = p.product_key"
+    " JOIN dim_location l ON f.location_key = l.location_key GROUP BY ALL", "facts"))
 def star_join(spark, sf):
-    batch = batch_one(spark, sf)
-    products = _dimension(None, batch, "product", FIRST, FIRST_TS)
-    locations = _dimension(None, batch, "location", FIRST, FIRST_TS)
-    facts = star.build_fact(batch, products, locations, star.build_dim_time(batch))
-    return star.star_join(facts, products, locations).groupBy(
+    return star.star_join(*all_facts(spark, sf)).groupBy(
         "dim_category", "dim_sub_category", "dim_region", "dim_country", "period", "_frequency"
     ).agg(F.count(F.lit(1)).alias("n"), F.sum(QTY).alias(QTY))
 
@@ -672,9 +685,10 @@ def star_join(spark, sf):
     " ON c.product_id = p.product_id AND p.effective_from <= c.forecast_date"
     " AND (p.effective_to IS NULL OR c.forecast_date < p.effective_to)", "clean", "dim_product"))
 def as_of_join(spark, sf):
-    versions = _history_of(spark, sf, "product").withColumn("version_category", F.col("category"))
-    rows = scd2.lookup_as_of(
-        clean_rows(spark, sf), versions, "product_id", "forecast_date", ["product_key", "version_category"])
+    history = stage_rows(_history_of(spark, sf, "product"), work_path(spark, "as-of"))  # read by both sides of the sweep
+    versions = history.withColumn("version_category", F.col("category"))
+    facts = stage_rows(clean_rows(spark, sf).select(*SRC_IDS, "product_id", "forecast_date"), work_path(spark, "as-of-facts"))
+    rows = scd2.lookup_as_of(facts, versions, "product_id", "forecast_date", ["product_key", "version_category"])
     return rows.select(*SRC_IDS, "forecast_date", "product_key", "version_category")
 
 

@@ -2,8 +2,9 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from conftest import rows_of, same_rows
+from conftest import plan_of, rows_of, same_rows
 from strata.operators import scd2
 
 COLUMNS = "k string, v string, w string, effective_from date, effective_to date, is_active boolean"
@@ -119,6 +120,28 @@ def test_as_of_lookup(spark):
     assert got == {1: None, 2: "one", 3: "two", 4: "two", 5: None}
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_as_of_lookup_against_a_range_join(spark, how):
+    """A hot key, gaps, closed and open versions, months without a fact, NULL keys and days, repeated facts."""
+    rng = random.Random(3)
+    day = lambda: date(2023, 1, 1) + timedelta(days=rng.randint(0, 900))
+    facts = [(k, rng.choice(["hot"] * 6 + ["a", "b", "none", None]), rng.choice([day(), day(), day(), None])) for k in range(800)]
+    rows = []
+    for key in ("hot", "a", "b", "unused"):
+        cuts = sorted({day() - timedelta(days=200) for _ in range(12)})
+        rows += [(key, f"{key}{i}", a, b) for i, (a, b) in enumerate(zip(cuts, [*cuts[1:], None])) if i % 5 != 2]
+    facts = spark.createDataFrame(facts + facts[:30], "id int, p string, d date").repartition(5)
+    versions = spark.createDataFrame(rows + [(None, "lost", D1, None)], "p string, name string, effective_from date, effective_to date")
+    want = facts.alias("f").join(versions.alias("v"), F.expr(
+        "f.p = v.p AND v.effective_from <= f.d AND (v.effective_to IS NULL OR f.d < v.effective_to)"), how).select("f.*", "name")
+    got = scd2.lookup_as_of(facts, versions, "p", "d", ["name"], how)
+    plan = plan_of(got)
+    assert got.columns == ["id", "p", "d", "name"] and rows_of(got) == rows_of(want)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    empty = facts.limit(0)
+    assert scd2.lookup_as_of(empty, versions, "p", "d", ["name"], how).isEmpty()
+
+
 def test_batches_in_any_order_give_one_history(spark):
     """Days out of order, against a replay of all values in order of their days."""
     rng = random.Random(11)
