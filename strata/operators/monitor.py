@@ -70,6 +70,12 @@ def batch_complete(log: DataFrame) -> DataFrame:
     ).withColumn("is_complete", (F.col("layers") == len(schema.LAYERS)) & (F.col("not_successful") == 0))
 
 
+def newest_entry(log: DataFrame, layer: str) -> DataFrame:
+    """The one newest entry of a layer: a sort of the best row of each task, no window."""
+    newest = [F.col(c).desc_nulls_last() for c in ("job_end_ts", "job_start_ts", "batch_id", "object_name")]
+    return log.filter(F.col("data_layer") == layer).orderBy(*newest).limit(1)
+
+
 def latest_status(log: DataFrame) -> DataFrame:
     """The newest entry per object and layer."""
     order = [F.col("job_end_ts").desc(), F.col("job_start_ts").desc(), F.col("batch_id").desc()]

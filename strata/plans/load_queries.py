@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -11,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import fixture, schema
-from strata.operators import clean
-from strata.operators.quality import validate_data_types
+from strata.operators import clean, monitor
+from strata.operators.quality import QualityGateError, validate_data_types
 from strata.operators.scd2 import open_all, scd2_violations
 from strata.plans.bronze import load_bronze
+from strata.plans.contract import contract_differences
+from strata.plans.extract import extract_to_landing
 from strata.plans.gold import archive_facts_before
 from strata.plans.oracle import FIRST_DAY, SECOND_DAY, STALE_MARK, matches, real, strings, text, with_parts
 from strata.plans.queries import (
@@ -25,9 +28,9 @@ from strata.plans.registry import query
 from strata.plans.run import Job, Run
 from strata.plans.silver import bronze_batch, silver_rows
 from strata.plans.subject import run_steps, run_subject
-from strata.sources import sinks
+from strata.sources import extract, sinks
 from strata.sources.config import default_subjects, get_pipeline_metadata
-from strata.sources.files import read_delimited, read_parquet_as_strings
+from strata.sources.files import has_source, read_delimited, read_parquet_as_strings
 from strata.sources.versions import write_version
 from strata.streaming.ingest import create_key_table, land_new_keys, landing_files, stream_layers
 from strata.session import work_path
@@ -297,6 +300,146 @@ def archive_silver(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+def _audit_line(layer_name: str, run: str, source_rows: str, target: str, errors: str, source: str) -> str:
+    counts = ", ".join(f"CAST({n} AS BIGINT) AS {c}" for c, n in (
+        ("source_row_count", source_rows), ("target_row_count", target), ("error_record_count", errors)))
+    return (f"SELECT '{run}' AS batch_id, 'fc_' || t._frequency AS data_subject, '{layer_name}' AS data_layer, 'SUCCESS' AS job_status,"
+            f" {counts} FROM {source} t GROUP BY t._frequency")
+
+
+def _of(source: str) -> str:
+    return f"(SELECT count(*) FROM {source} o WHERE o._frequency = t._frequency)"
+
+
+@query(with_parts(" UNION ALL ".join([
+    _audit_line("BRONZE", "run-1", "count(*)", _of("bronze1"), f"count(*) - {_of('bronze1')}", "landed1"),
+    _audit_line("BRONZE", "run-2", "count(*)", _of("bronze2"), f"count(*) - {_of('bronze2')}", "landed2"),
+    _audit_line("SILVER", "run-1", "count(*)", _of("silver1"), f"count(*) - {_of('silver1')}", "bronze1"),
+    _audit_line("SILVER", "run-2", "count(*)", _of("opened2"), f"count(*) - {_of('silver2')}", "bronze2"),
+    _audit_line("GOLD", "run-1", "count(*)", "count(*)", "0", "silver1"),
+    _audit_line("GOLD", "run-2", "count(*)", _of("fact2"), "0", "opened2"),
+    _audit_line("AGGR_AUDIT", "run-1", "count(*)", _GROUPS, "0", "silver1"),
+    _audit_line("AGGR_AUDIT", "run-2", "count(*)", _GROUPS, "0", "fact2"),
+]), "landed1", "landed2", "fact2", "bronze1", "bronze2"))
+def run_audit(spark, sf):
+    """The audit entries of both runs."""
+    return layer(spark, sf, "pipeline_audit").select(
+        "batch_id", "data_subject", "data_layer", "job_status", "source_row_count", "target_row_count", "error_record_count")
+
+
+@query(with_parts(
+    "SELECT 'fc_' || _frequency AS data_subject, 'BRONZE' AS data_layer, 'SUCCESS' AS job_status, count(*) AS source_row_count,"
+    " false AS has_message FROM landed1 GROUP BY _frequency"
+    " UNION ALL SELECT DISTINCT 'fc_' || _frequency, 'SILVER', 'FAILED', 0, true FROM landed1", "landed1"))
+def failed_runs_logged(spark, sf):
+    """The first run behind a gate that wants every row to pass: Silver fails, its entry keeps the message."""
+    database, root = new_database(spark), work_path(spark, "failing")
+    rows = landing_rows(spark, sf)["run-1"]
+    for frequency in FREQUENCIES:
+        path = land(rows, frequency, f"{root}/{frequency}", "run-1")
+        with suppress(QualityGateError):
+            run_subject(spark, database, f"fc_{frequency}", Run("run-1", RUNS["run-1"], "run-1"), path, newest_by=["changed_on"], threshold=1.0)
+    return spark.table(f"{database}.pipeline_audit").select(
+        "data_subject", "data_layer", "job_status", "source_row_count",
+        F.coalesce(F.col("error_message").startswith("QualityGateError: pass rate under 1.0"), F.lit(False)).alias("has_message"))
+
+
+@query(with_parts(
+    "SELECT 'fc_' || _frequency AS data_subject, 'landed' AS probe, count(*) > 0 AS has_rows, CAST(NULL AS VARCHAR) AS job_status"
+    " FROM landed1 GROUP BY _frequency UNION ALL SELECT 'fc_' || _frequency, 'no rows',"
+    " count_if(_frequency = 'none') > 0, 'NO_DATA' FROM landed1 GROUP BY _frequency"
+    " UNION ALL SELECT 'fc_' || _frequency, 'no folder', false, 'NO_DATA' FROM landed1 GROUP BY _frequency", "landed1"))
+def landing_probe(spark, sf):
+    """What a run finds before it starts: rows, an extract without rows, or no folder; the last two are logged as NO_DATA."""
+    database, root = new_database(spark), work_path(spark, "probe")
+    rows, found = landing_rows(spark, sf)["run-1"], []
+    for frequency in FREQUENCIES:
+        places = {"landed": land(rows, frequency, f"{root}/{frequency}", "run-1"),
+                  "no rows": land(rows.filter("_frequency = 'none'").withColumn("_frequency", F.lit(frequency)), frequency, f"{root}/none/{frequency}", "run-1"),
+                  "no folder": f"{root}/nowhere/{frequency}"}
+        for probe, path in places.items():
+            found.append((f"fc_{frequency}", probe, path, has_source(spark, path)))
+            if probe != "landed":
+                run_subject(spark, database, f"fc_{frequency}", Run(probe, RUNS["run-1"], probe), path)
+    probes = spark.createDataFrame(found, "data_subject string, probe string, object_name string, has_rows boolean")
+    logged = spark.table(f"{database}.pipeline_audit").filter("data_layer = 'LANDING'").select("data_subject", "object_name", "job_status")
+    return probes.join(logged, ["data_subject", "object_name"], "left").drop("object_name")
+
+
+_ADDED = ("bronze", "silver", "fact", "silver_archive")  # tables that take a column which the source has newly added
+
+
+@query(with_parts(
+    "SELECT t AS table_name, 'changed_on' AS column_name, 'extra' AS problem, CAST(NULL AS VARCHAR) AS expected, 'string' AS found,"
+    f" count(DISTINCT _frequency) AS n FROM src, unnest([{', '.join(repr(t) for t in _ADDED)}]) u(t) GROUP BY t"
+    " UNION ALL SELECT 'fact', 'uom', 'missing', 'string', NULL, count(DISTINCT region) FROM src WHERE region = 'EUROPE'"
+    " UNION ALL SELECT 'fact', 'forecast_qty', 'type', 'decimal(18,4)', 'double', count(DISTINCT region) FROM src WHERE region = 'EUROPE'"
+    " UNION ALL SELECT 'fact', NULL, 'partition', 'period,_frequency', '_frequency,period', count(DISTINCT region) FROM src"
+    " WHERE region = 'EUROPE'", "src"))
+def schema_contract(spark, sf):
+    """The loaded layers of all subjects against the model, and a fact that was made by other means."""
+    other = new_database(spark)
+    columns = layer(spark, sf, "fact").drop("uom", "changed_on").withColumn(QTY, F.col(QTY).cast("double")).filter("region = 'EUROPE'").limit(1)
+    spark.sql(f"DROP TABLE {other}.fact")
+    columns.write.partitionBy("_frequency", "period").saveAsTable(f"{other}.fact")
+    found = [contract_differences(spark, database) for database in loaded(spark, sf)[0]]
+    rows = reduce(DataFrame.unionByName, [*found, contract_differences(spark, other, "fact")])
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- extracts and run log
+
+
+def _extract_state(spark: SparkSession, mark: str | None) -> DataFrame:
+    rows = [("erp", "files", "sales", "orders", "orders", "fc_daily", "incremental", "o_orderdate", mark, True),
+            ("erp", "files", "sales", "part", "part", "fc_daily", "full", None, None, True)]
+    return spark.createDataFrame(rows, schema.EXTRACT_METADATA)
+
+
+@query(
+    f"SELECT 'stale' AS mark, count(*) AS n FROM orders WHERE o_orderdate > TIMESTAMP '{STALE_MARK}'"
+    " UNION ALL SELECT 'newest', count(*) FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders)"
+    " UNION ALL SELECT 'none', count(*) FROM orders")
+def watermark_set(spark, sf):
+    """Extracts after the mark was set by hand: to a day, to the newest value, and to none, which makes it a full one."""
+    orders = fixture.table(spark, sf, "orders")
+    newest = extract.extracted_mark(orders, "o_orderdate").first().new_watermark
+    counts = []
+    for name, value in (("stale", STALE_MARK), ("newest", newest), ("none", None)):
+        state = extract.set_watermark(_extract_state(spark, "1900-01-01 00:00:00"), "erp", "orders", value)
+        mark = state.filter("source_object = 'orders'").first().last_watermark
+        counts.append(extract.incremental_extract(orders, "o_orderdate", mark).agg(F.count(F.lit(1)).alias("n")).withColumn("mark", F.lit(name)))
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(
+    "SELECT 'run-1' AS run, 'orders' AS object, count(*) AS n, CAST(max(o_orderdate) AS VARCHAR) AS watermark FROM orders"
+    f" WHERE o_orderdate > TIMESTAMP '{STALE_MARK}' UNION ALL SELECT 'run-2', 'orders', 0, CAST(max(o_orderdate) AS VARCHAR) FROM orders"
+    " UNION ALL SELECT 'run-1', 'part', count(*), NULL FROM part UNION ALL SELECT 'run-2', 'part', count(*), NULL FROM part")
+def extract_landing(spark, sf):
+    """Two runs of an incremental and a full extract: landed rows by file, and the mark after each run."""
+    database, root = new_database(spark), work_path(spark, "extracts")
+    state = f"{database}.extract_metadata"
+    sinks.replace_small(_extract_state(spark, STALE_MARK), state)
+    found = []
+    for run in RUNS:
+        for name in ("orders", "part"):
+            result = extract_to_landing(spark, state, fixture.table(spark, sf, name), "erp", name, root, Run(run, RUNS[run], run))
+            found.append((run, name, result.path, result.watermark))
+    counts = [
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(run).alias("run"), F.lit(name).alias("object"), "n", F.lit(mark).cast("string").alias("watermark"))
+        for run, name, path, mark in found]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(with_parts(
+    "SELECT batch_id, object_name, data_layer, job_status, CAST(job_end_ts AS VARCHAR) AS job_end_ts FROM audit"
+    " WHERE data_layer = 'GOLD' ORDER BY audit.job_end_ts DESC NULLS LAST, audit.job_start_ts DESC NULLS LAST, batch_id DESC, object_name DESC LIMIT 1", "audit"))
+def newest_entry(spark, sf):
+    found = monitor.newest_entry(fixture.audit_log(spark, sf), "GOLD")
+    return found.select("batch_id", "object_name", "data_layer", "job_status", "job_end_ts")
+
+
 # ---------------------------------------------------------------- scans and sinks, round trips
 
 _SRC_SQL = f"SELECT {strings()}, {ID_SQL} FROM src"
@@ -554,20 +697,22 @@ def _interleaved() -> str:
 def resume_after_other_batch(spark, sf):
     """run-1 is lost after it has written its Silver merge aside and before it publishes it; run-2 is loaded; then run-1 is
     resumed. Both runs' rows are there, and run-1's versions end where those of run-2 begin."""
-    database, root = new_database(spark), work_path(spark, "resume")
+    root = work_path(spark, "resume")
     landed = landing_rows(spark, sf)
     paths = {(run, f): land(rows, f, f"{root}/{f}", run) for run, rows in landed.items() for f in FREQUENCIES}
-
-    def load(run: str, frequency: str) -> None:
-        run_subject(spark, database, f"fc_{frequency}", Run(run, RUNS[run], run), paths[run, frequency], newest_by=["changed_on"])
-
-    for frequency in FREQUENCIES:
-        subject = get_pipeline_metadata(spark.table(f"{database}.pipeline_metadata"), f"fc_{frequency}")
-        job = Job(database, subject, Run("run-1", RUNS["run-1"], "run-1"))
-        path = paths["run-1", frequency]
-        run_steps(spark, job, path, {}, {}, [("BRONZE", lambda: load_bronze(spark, job, path, newest_by=["changed_on"]))])
-        incoming = silver_rows(validate_data_types(bronze_batch(spark, job), schema.TYPED_COLUMNS)[0], job, ["changed_on"])
-        write_version(open_all(incoming, job.run.as_of), job.table("silver"), f"lost-{frequency}", sinks.balanced)
-        load("run-2", frequency)
-        load("run-1", frequency)
-    return spark.table(f"{database}.silver").select(*_VERSION_COLUMNS)
+    with ThreadPoolExecutor(len(FREQUENCIES)) as pool:
+        databases = list(pool.map(lambda f: _interrupted(spark.newSession(), f, {run: paths[run, f] for run in RUNS}), FREQUENCIES))
+    return reduce(DataFrame.unionByName, [spark.table(f"{d}.silver") for d in databases]).select(*_VERSION_COLUMNS)
+
+
+def _interrupted(spark: SparkSession, frequency: str, paths: dict[str, str]) -> str:
+    """A database of its own in which one subject's runs go as ``resume_after_other_batch`` says."""
+    database, name = new_database(spark), f"fc_{frequency}"
+    job = Job(database, get_pipeline_metadata(spark.table(f"{database}.pipeline_metadata"), name), Run("run-1", RUNS["run-1"], "run-1"))
+    first = ("BRONZE", lambda: load_bronze(spark, job, paths["run-1"], newest_by=["changed_on"]))
+    run_steps(spark, job, paths["run-1"], {}, {}, [first])
+    incoming = silver_rows(validate_data_types(bronze_batch(spark, job), schema.TYPED_COLUMNS)[0], job, ["changed_on"])
+    write_version(open_all(incoming, job.run.as_of), job.table("silver"), "lost", sinks.balanced)
+    for run in ("run-2", "run-1"):
+        run_subject(spark, database, name, Run(run, RUNS[run], run), paths[run], newest_by=["changed_on"])
+    return database
