@@ -1,13 +1,15 @@
 """Token counts and packing against the library's own encoding of whole texts."""
 
+import random
 import zlib
+from array import array
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm.packing import SumOfSquares, pack
-from strata.llm.pretokens import _OTHER, _SPLIT, split, tokenizer
+from strata.llm.pretokens import _OTHER, _SPLIT, PieceIds, byte_ranks, split, tokenizer
 from strata.llm.token_counts import token_counts
 
 NAME = "byte_bpe_50k.json"
@@ -38,6 +40,21 @@ def test_plain_characters_split_as_the_library_does():
             assert _SPLIT.findall(text) == own, repr(c)
 
 
+def test_pieces_get_the_ids_of_the_library():
+    """Every piece of the vocabulary, and random ones of many scripts, one memo generation after the other."""
+    rnd = random.Random(8)
+    pieces = [t for t in (tokenizer(NAME).decode([i]) for i in range(tokenizer(NAME).get_vocab_size())) if t]
+    ranges = ["abcdefghijklmnopqrstuvwxyz", "ABCXYZ'0123456789", " \n\t.,;!?-_()[]{}", "éèßüñøçğşžåłœ", "日本語中文字漢", "абвгдежз", "अआइई", "🙂👩‍🚀", "\x00\x7f\u2028"]
+    pieces += ["".join(rnd.choices(rnd.choice(ranges) + rnd.choice(ranges), k=rnd.randint(1, 40))) for _ in range(20000)]
+    assert byte_ranks(NAME) is not None and byte_ranks("word_bpe_49k.json") is None
+    parts = list(dict.fromkeys(x for p in pieces for x in split(NAME, p)))
+    want = [e.ids for e in tokenizer(NAME).encode_batch_fast(parts, add_special_tokens=False)]
+    memo = PieceIds(NAME, most=100)
+    for _ in range(2):
+        assert [list(array("I", memo[p])) for p in parts] == want
+    assert len(memo) <= 100 and len(memo.old) <= 100
+
+
 def test_split_loses_nothing():
     assert all("".join(split(NAME, t)) == t for t in TEXTS if t)
 
