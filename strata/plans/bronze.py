@@ -63,7 +63,7 @@ def load_landing(spark: SparkSession, job: Job, landing: DataFrame, *, mapping:
     add_missing_columns(kept, bronze)
     owned = {"_frequency": job.frequency, "_batch_id": run.batch_id}
     replace_owned(rejected, rejects, {**owned, "_dq_fail_reason": "NULL_PK"})
-    replace_owned(kept, bronze, owned)
+    replace_owned(kept, bronze, owned, config["num_partitions"])
     if archive_root is not None:
         archive_batch(landing, archive_root, job.name, run.load_job_nr)
 

@@ -78,7 +78,7 @@ def load_gold(spark: SparkSession, job: Job, fiscal_start_month: int = 1) -> Lay
     for name in ("fact", "silver_archive"):  # columns that the source has newly added
         add_missing_columns(added, job.table(name))
     held = in_slices(spark, job, "fact", periods)
-    insert_rows(new_fact_rows(fact_candidates(spark, job, batch), held, schema.FACT_KEY), job.table("fact"))
+    insert_rows(new_fact_rows(fact_candidates(spark, job, batch), held, schema.FACT_KEY), job.table("fact"), job.subject["num_partitions"])
     archive_silver(batch, job)
 
     written = in_slices(spark, job, "fact", periods).filter(F.col("_batch_id") == job.run.batch_id)

@@ -536,6 +536,29 @@ def clustered_scan(spark, sf):
     return spark.read.parquet(path).filter((F.col("product_id") == "P7") & (F.col("location_id") == "L7"))
 
 
+@query(with_parts(f"{_SRC_SQL} WHERE location_id = 'L7'", "src"))
+def interleaved_scan(spark, sf):
+    """A filter on the second of three columns, of which files are narrow ranges."""
+    path = work_path(spark, "interleaved")
+    rows = fixture.forecast_src(spark, sf).select(*_SRC_COLUMNS)
+    sinks.write_interleaved(rows, path, ["product_id", "location_id", "forecast_date"], num_files=64)
+    return spark.read.parquet(path).filter(F.col("location_id") == "L7")
+
+
+@query(with_parts(f"{_SRC_SQL}", "src"))
+def compacted_slices(spark, sf):
+    """Small appends, then a compaction: the same rows in fewer files."""
+    table = f"{new_database(spark)}.sliced"
+    rows = fixture.forecast_src(spark, sf).select(*schema.SOURCE_COLUMNS, *SRC_IDS, "_batch_id", "_frequency")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    spark.sql(f"CREATE TABLE {table} ({types}) USING PARQUET PARTITIONED BY (`_frequency`)")
+    for part in range(5):
+        sinks.insert_rows(rows.filter(F.pmod(F.xxhash64("_src_orderkey"), F.lit(5)) == part), table)
+    if sinks.compact(spark, table) == 0:
+        raise RuntimeError("no slice was compacted")
+    return spark.table(table).select(*_SRC_COLUMNS)
+
+
 @query(with_parts(
     f"SELECT {strings(skip=('forecast_date', QTY, REV))}, CAST(forecast_date AS VARCHAR) AS forecast_date,"
     f" {real(QTY, REV)}, _frequency FROM batch1 UNION ALL SELECT"

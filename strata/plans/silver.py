@@ -24,7 +24,7 @@ from strata.plans.bronze import NewestBy
 from strata.plans.contract import require_contract
 from strata.plans.run import Job, LayerResult
 from strata.sources import logs
-from strata.sources.sinks import add_missing_columns, balanced, partition_values, replace_owned
+from strata.sources.sinks import add_missing_columns, bounded, partition_values, replace_owned
 from strata.sources.staging import fingerprint, stage_rows, staging_path
 from strata.sources.versions import merge_version
 
@@ -104,7 +104,8 @@ def merge_silver(spark: SparkSession, job: Job, incoming: DataFrame) -> dict[str
     add_missing_columns(incoming, job.table("silver"))
     periods = batch_periods(spark, job)
     mark = fingerprint(incoming, [*schema.SOURCE_COLUMNS, "_frequency"])
-    return merge_version(spark, job.table("silver"), touched, f"{run.batch_id}/{job.name}/{mark}", merged, opened, balanced, (ACTION,))
+    return merge_version(spark, job.table("silver"), touched, f"{run.batch_id}/{job.name}/{mark}", merged, opened,
+                         bounded(job.subject["num_partitions"]), (ACTION,))
 
 
 def still_open(values: Mapping[str, str | None], day: date) -> bool:

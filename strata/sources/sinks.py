@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,19 +16,26 @@ from pyspark.sql import functions as F
 
 from strata import schema
 from strata.operators.clean import conform
-from strata.sources.versions import Slices, forget, partition_columns, partition_spec, publish, table_folder, write_version
+from strata.sources.versions import (
+    Layout, Slices, forget, merge_version, partition_columns, partition_spec, publish, settle, slice_places, slice_values, table_folder,
+    write_version,
+)
 
 
 def balanced(df: DataFrame, columns: Sequence[str] = (), num_files: int | None = None) -> DataFrame:
     """Lay rows out for writing.
 
     A rebalance groups rows by partition columns, yet splits a large partition over several tasks and
-    joins small ones, so file sizes stay even when one slice holds most rows. ``num_files`` forces a
-    fixed number instead, for small outputs.
+    joins small ones, so file sizes stay even when one slice holds most rows. Sizes are measured in the shuffle and
+    aimed at ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. ``num_files`` is an upper bound on the tasks that
+    write (and so on the files of a slice) unless one of them is far larger than the others and is split.
     """
-    if num_files is not None:
-        return df.repartition(num_files)
-    return df.hint("rebalance", *columns) if columns else df.hint("rebalance")
+    return df.hint("rebalance", *([num_files] if num_files else []), *columns)
+
+
+def bounded(num_files: int | None) -> Layout:
+    """``balanced`` with a subject's ``num_partitions``."""
+    return lambda df, columns: balanced(df, columns, num_files)
 
 
 def _insert(df: DataFrame, table: str, columns: Sequence[str], overwrite: bool, layout: bool = True) -> None:
@@ -44,10 +52,10 @@ def write_overwrite(df: DataFrame, path: str) -> None:
     balanced(df).write.mode("overwrite").parquet(path)
 
 
-def _replace(df: DataFrame, table: str, owned: Slices) -> None:
+def _replace(df: DataFrame, table: str, owned: Slices, num_files: int | None = None) -> None:
     spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
     folder = table_folder(spark, table)
-    publish(spark, table, version, write_version(df, table, version, balanced, folder=folder), owned, folder=folder)
+    publish(spark, table, version, write_version(df, table, version, bounded(num_files), folder=folder), owned, folder=folder)
 
 
 def write_slice(df: DataFrame, table: str) -> None:
@@ -55,10 +63,10 @@ def write_slice(df: DataFrame, table: str) -> None:
     _replace(df, table, lambda _: False)
 
 
-def replace_owned(df: DataFrame, table: str, owned: Mapping[str, str]) -> None:
+def replace_owned(df: DataFrame, table: str, owned: Mapping[str, str], num_files: int | None = None) -> None:
     """Replace all partitions with the values ``owned``, also those that ``df`` has no row for any more. New rows are
     written before anything old goes."""
-    _replace(df, table, lambda values: all(values[c] == v for c, v in owned.items()))
+    _replace(df, table, lambda values: all(values[c] == v for c, v in owned.items()), num_files)
 
 
 def write_append(df: DataFrame, path: str) -> None:
@@ -86,9 +94,10 @@ def replace_small(df: DataFrame, table: str) -> None:
     _insert(df.coalesce(1), table, (), overwrite=True, layout=False)
 
 
-def insert_rows(df: DataFrame, table: str) -> None:
+def insert_rows(df: DataFrame, table: str, num_files: int | None = None) -> None:
     """Append rows that the caller has shown to be absent."""
-    _insert(df, table, partition_columns(df.sparkSession, table), overwrite=False)
+    rows = balanced(conform(df, df.sparkSession.table(table).schema), partition_columns(df.sparkSession, table), num_files)
+    _insert(rows, table, (), overwrite=False, layout=False)
 
 
 def write_quarantine(df: DataFrame, table: str) -> None:
@@ -141,6 +150,67 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], num_files:
     ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
+def _cuts(df: DataFrame, column: str, parts: int, sample: int = 4096) -> list:
+    """Values that divide the column's distinct values into about equal parts, from the ``sample`` with the smallest hashes."""
+    values = df.select(F.col(column).alias("v")).filter("v IS NOT NULL").distinct().orderBy(F.xxhash64("v")).limit(sample)
+    found = sorted(row.v for row in values.collect())
+    return sorted({found[len(found) * k // parts] for k in range(1, parts)}) if found else []
+
+
+def _part(column: Column, cuts: list) -> Column:
+    """The number of cuts at or below a value, by halving; NULL is 0."""
+    if not cuts:
+        return F.lit(0)
+    middle = len(cuts) // 2
+    return F.when(column >= F.lit(cuts[middle]), middle + 1 + _part(column, cuts[middle + 1:])).otherwise(_part(column, cuts[:middle]))
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """One number whose bits are those of the columns' ranks in turn, so that near numbers are near in every column."""
+    out = F.lit(0).cast("bigint")
+    for j, name in enumerate(columns):
+        rank = _part(F.col(name), _cuts(df, name, 1 << bits)).cast("bigint")
+        for i in range(bits):
+            out = out + F.shiftleft(F.shiftright(rank, i).bitwiseAND(1), i * len(columns) + j)
+    return out
+
+
+def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], num_files: int | None = None) -> None:
+    """Files that are narrow ranges of every one of ``columns``: a filter on any of them alone skips most files, where
+    ``write_clustered`` serves the leading column. A hash of the row divides equal ranks over several files."""
+    placed = df.withColumn("_z", z_value(df, columns))
+    spread = F.xxhash64(*df.columns)
+    ranged = placed.repartitionByRange(num_files, "_z", spread) if num_files else placed.repartitionByRange("_z", spread)
+    ranged.sortWithinPartitions("_z", *columns).drop("_z").write.mode("overwrite").parquet(path)
+
+
+def compact(spark: SparkSession, table: str, target_bytes: int = 128 << 20, least_files: int = 4) -> int:
+    """Rewrite slices that lie in ``least_files`` or more files of less than half of ``target_bytes`` on average; returns
+    their number.
+
+    File sizes are read from the file system. The new files are a version like any other: readers see either
+    state whole, and if another run publishes one of the slices meanwhile, they are read again.
+    """
+    folder = table_folder(spark, table)
+    settle(spark, table, folder)
+    small = {}
+    for name, place in slice_places(spark, table, len(folder.columns)).items():
+        sizes = folder.sizes(place)
+        if len(sizes) >= least_files and 2 * sum(sizes) < target_bytes * len(sizes):
+            small[name] = slice_values(name)
+    if not small:
+        return 0
+
+    def chosen() -> DataFrame:
+        keys = spark.createDataFrame([tuple(values[c] for c in folder.columns) for values in small.values()],
+                                     ", ".join(f"_s_{c} string" for c in folder.columns))
+        same = [F.col(c).cast("string").eqNullSafe(F.col(f"_s_{c}")) for c in folder.columns]
+        return spark.table(table).join(F.broadcast(keys), reduce(Column.__and__, same), "left_semi")
+
+    merge_version(spark, table, lambda values: values in small.values(), f"compact/{uuid.uuid4().hex}", chosen, lambda _: {}, balanced)
+    return len(small)
+
+
 def merge_insert_only(df: DataFrame, table: str, keys: Iterable[str]) -> None:
     """Insert the rows whose key the table does not hold; held rows never change."""
     held = df.sparkSession.table(table).select(*keys)

@@ -117,3 +117,62 @@ def test_cleaning_keeps_what_is_current(spark, table):
     assert versions.snapshot(spark, table).number == 5
     sinks.write_slice(frame(spark, (9, "x", None)), table)
     assert (9, "x", None) in held(spark, table)
+
+
+def test_compaction_joins_small_files_of_some_slices(spark, table):
+    for a in range(6):
+        sinks.insert_rows(frame(spark, (a, "it's/", None)).coalesce(1), table)
+    sinks.write_slice(frame(spark, (9, "x", "2024-01-01")), table)
+    before = held(spark, table)
+
+    def files():
+        spark.catalog.refreshTable(table)
+        return sorted(len(versions.table_folder(spark, table).sizes(p)) for p in versions.slice_places(spark, table, 2).values())
+
+    assert files() == [1, 6]
+    assert sinks.compact(spark, table) == 1 and files() == [1, 1] and held(spark, table) == before
+    assert sinks.compact(spark, table) == 0
+    sinks.insert_rows(frame(spark, (7, "it's/", None)), table)
+    assert sinks.compact(spark, table, target_bytes=10) == 0 and len(held(spark, table)) == 8
+
+
+def test_num_partitions_bounds_the_files_of_a_slice(spark, table):
+    rows = spark.range(20000).selectExpr("int(id) AS a", "'x' AS part", "date(null) AS day").repartition(16)
+    sinks.replace_owned(rows, table, {"part": "x"}, num_files=3)
+    places = versions.slice_places(spark, table, 2)
+    assert len(places) == 1 and all(1 <= len(versions.table_folder(spark, table).sizes(p)) <= 3 for p in places.values())
+
+
+def test_interleaved_files_are_skipped_by_each_column(spark, tmp_path):
+    """Files whose statistics admit a value of one column: few for every column, and not only for the first."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = spark.range(40000).selectExpr("concat('P', lpad(id % 97, 3, '0')) AS p", "concat('L', lpad((id * 31) % 89, 3, '0')) AS l",
+                                         "date_add(date('2024-01-01'), int((id * 7) % 300)) AS d", "id", "if(id % 500 = 0, null, id) AS gaps")
+    places = {}
+    for name, write in (("z", sinks.write_interleaved), ("sorted", sinks.write_clustered)):
+        places[name] = f"{tmp_path}/{name}"
+        write(rows, places[name], ["p", "l", "d"], num_files=64)
+
+    def read(name, column, value):
+        count = 0
+        for file in glob.glob(f"{places[name]}/*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            at = meta.schema.names.index(column)
+            stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+            count += any(s.min <= value <= s.max for s in stats)
+        return count
+
+    for column, value in (("p", "P040"), ("l", "L040")):
+        assert read("z", column, value) <= 32
+    assert read("sorted", "l", "L040") == 64
+    assert rows_of(spark.read.parquet(places["z"]).agg({"id": "sum", "gaps": "count"})) == rows_of(rows.agg({"id": "sum", "gaps": "count"}))
+
+
+def test_ranks_with_nulls_and_few_values(spark, tmp_path):
+    rows = spark.createDataFrame([(None, 1), ("a", None), ("a", 2), (None, None)], "p string, n int")
+    sinks.write_interleaved(rows, f"{tmp_path}/few", ["p", "n"])
+    sinks.write_interleaved(rows.limit(0), f"{tmp_path}/none", ["p", "n"])
+    assert rows_of(spark.read.parquet(f"{tmp_path}/few")) == rows_of(rows)
