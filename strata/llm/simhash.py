@@ -131,14 +131,22 @@ def _words(text: bytes) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(text.translate(LOWER).split()))
 
 
+def with_words(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """``docs`` with the hash of each text's word sequence."""
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([_words(t) for t in texts_of(batch.column(batch.schema.get_field_index(text)))], pa.binary())]
+
+    return appended(docs, f"{name} binary", compute)
+
+
 def _sketches(text: bytes, shingle: int, tables: int, least: int) -> tuple[list[int], int, bytes]:
-    """Fingerprints of ``tables`` samples of the shingle set, its size, and a hash of the word sequence."""
+    """Fingerprints of the shingle set and of ``tables`` samples of it, its size, and a hash of the word sequence."""
     found = np.unique(shingle_hashes(text, shingle))
     salts = np.arange(1, tables + 1, dtype=np.uint64)[:, None]
     order = mixed(found[None, :] ^ salts * np.uint64(0x9E3779B97F4A7C15))
     if len(found) > least:
         order = np.partition(order, least - 1, axis=1)[:, :least]
-    fps = [majority(part) for part in mixed(order + salts)]
+    fps = [majority(found), *(majority(part) for part in mixed(order + salts))]
     return fps, len(found), _words(text)
 
 
@@ -146,11 +154,12 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
                 tables: int = 5, least: int = 2) -> DataFrame:
     """(words, kept_id, kept_words): texts whose shingle sets have a Jaccard similarity of ``similarity`` or more, joined.
 
-    The fingerprint of a whole text moves by more than two bits at such similarities, so each text gets one
-    per table, the SimHash of the ``least`` smallest hashes of its shingle set under the table's own order.
-    Two texts have equal fingerprints in a table with a chance of about ``similarity ** least`` for large sets,
-    0.994 over five tables at 0.8; measured 0.990 (unions of 5 shingles) to 0.994 (200). Fingerprints are linked by the grid range join; texts that share a linked group
-    are candidates, and linked only if the exact similarity of their shingle sets holds. Each is compared with
+    Candidates are texts whose fingerprints (of the whole shingle set) the grid range join links, and so that differ in
+    few words of many. At ``similarity`` itself a whole text's fingerprint moves by about ten bits, too far for a grid to
+    tell it from others. So each text also gets a fingerprint per table, the SimHash of the ``least`` smallest hashes of
+    its shingle set under the table's own order, and texts with an equal one are candidates too: a chance of about
+    ``similarity ** least`` per table for large sets, 0.994 over five tables at 0.8; measured 0.990 (unions of 5 shingles)
+    to 0.994 (200). Candidates are linked only if the exact similarity of their shingle sets holds. Each is compared with
     the group's smallest and its three neighbours first, which is all for five texts; where a larger group is
     not one component by then, ``crossings`` compares its components exactly. Texts with the same words are one.
 
@@ -161,7 +170,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         found = [_sketches(t, shingle, tables, least) for t in texts_of(batch.column("text"))]
-        fps = np.array([f[0] for f in found], np.uint64).reshape(-1, tables).view(np.int64)
+        fps = np.array([f[0] for f in found], np.uint64).reshape(-1, tables + 1).view(np.int64)
         return [pa.array(fps.tolist(), pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.int64()),
                 pa.array([f[2] for f in found], pa.binary())]
 
@@ -170,10 +179,12 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     # One row per word sequence, numbered by 64 bits of its 128-bit hash.
     one = rows.groupBy("words").agg(F.min("id").alias("id"), F.first("fps").alias("fps"), F.first("n").alias("n"))
     one = stored(spark, one.withColumn("w", F.xxhash64("words")), "near-words")
-    each = one.where("n > 0").select("w", "n", F.explode("fps").alias("fp"))
-    links = near_links(each.select("fp").distinct())
-    member = each.join(links.withColumnRenamed("b", "fp"), "fp", "left").select(
-        "w", "n", F.explode(F.array_distinct(F.array("fp", F.coalesce("a", "fp")))).alias("g")).distinct()
+    some = one.where("n > 0")
+    whole = some.select("w", "n", F.col("fps")[0].alias("fp"))
+    links = near_links(whole.select("fp").distinct())
+    linked = whole.join(links.withColumnRenamed("b", "fp"), "fp", "left").select(
+        "w", "n", F.explode(F.array_distinct(F.array("fp", F.coalesce("a", "fp")))).alias("g"))
+    member = linked.union(some.select("w", "n", F.explode(F.slice("fps", 2, tables)).alias("g"))).distinct()
     groups = member.groupBy("g").agg(F.count("*").alias("size"), F.min(F.struct("w", "n")).alias("first")).where("size > 1")
     grouped = stored(spark, member.join(groups, "g"), "near-groups")  # used three times, and links are costly
     salt = F.pmod(F.xxhash64("w"), F.ceil(F.col("size") / 10_000))
@@ -186,16 +197,14 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     large = grouped.where("size > 5").select("g", "w", "n")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).union(large.select("w")).distinct()
     wanted = wanted.join(one.select("w", "id", "words"), "w")
-    texts = plain.select(F.col("id").alias("_id"), "text").join(wanted, F.col("_id").eqNullSafe(F.col("id"))).select("w", "words", "text")
+    # Met by key and words: rows that share a key, or have none, do not meet each other.
+    named = with_words(plain.withColumnRenamed("id", "_id"), "text", "_words")
+    texts = named.join(wanted, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_words") == F.col("words"))).select("w", "text")
 
     def sets(batch: pa.RecordBatch) -> list[pa.Array]:
-        found = []
-        for words, t in zip(batch.column("words").to_pylist(), texts_of(batch.column("text"))):  # a key may have several texts
-            found.append(np.unique(shingle_hashes(t, shingle)).tobytes() if _words(t) == words else None)
-        return [pa.array(found, pa.binary())]
+        return [pa.array([np.unique(shingle_hashes(t, shingle)).tobytes() for t in texts_of(batch.column("text"))], pa.binary())]
 
-    shingles = stored(spark, appended(texts, "set binary", sets).where("set is not null").select("w", "set")
-                      .dropDuplicates(["w"]), "near-sets")
+    shingles = stored(spark, appended(texts.dropDuplicates(["w"]), "set binary", sets).select("w", "set"), "near-sets")
 
     def alike(batches):
         for batch in frames(batches, 8 << 20):
@@ -230,10 +239,5 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     kept = near_copies(docs, key, text, **options).select(
         F.coalesce("kept_id", F.lit(NO_KEY)).alias("__k"), F.col("kept_words").alias("__words")).distinct()
     keyed = docs.withColumn("__k", F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_KEY)))
-
-    def same(batch: pa.RecordBatch) -> list[pa.Array]:
-        words = batch.column("__words").to_pylist()
-        return [pa.array([_words(t) == w for t, w in zip(texts_of(batch.column(text)), words)], pa.bool_())]
-
-    found = appended(keyed.join(kept, "__k"), "__same boolean", same).where("__same")
+    found = with_words(keyed, text, "__words").join(kept, ["__k", "__words"])
     return found.dropDuplicates(["__k", "__words"]).select([F.col(f"`{c}`") for c in docs.columns])
