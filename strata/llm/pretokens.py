@@ -92,7 +92,7 @@ class PieceIds(dict):
     are still used come back. So memory is bounded and common pre-tokens stay.
     """
 
-    def __init__(self, name: str, most: int = 150_000, longest: int = 64):
+    def __init__(self, name: str, most: int = 60_000, longest: int = 64):
         super().__init__()
         self.encode, self.most, self.longest = piece_encoder(name), most, longest
         self.old: dict[str, bytes] = {}
