@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strata import schema
 from strata.operators.clean import conform
 from strata.sources.versions import (
-    Layout, Slices, forget, merge_version, partition_columns, partition_spec, publish, settle, slice_places, slice_values, table_folder,
+    Layout, Slices, append_files, forget, merge_version, partition_columns, partition_spec, publish, settle, slice_places, slice_values, table_folder,
     write_version,
 )
 
@@ -38,15 +38,6 @@ def bounded(num_files: int | None) -> Layout:
     return lambda df, columns: balanced(df, columns, num_files)
 
 
-def _insert(df: DataFrame, table: str, columns: Sequence[str], overwrite: bool, layout: bool = True) -> None:
-    """Insert by position into a table whose last columns are its partition columns."""
-    spark = df.sparkSession
-    rows = conform(df, spark.table(table).schema)
-    if layout:
-        rows = balanced(rows, columns)
-    rows.write.mode("overwrite" if overwrite else "append").insertInto(table)
-
-
 def write_overwrite(df: DataFrame, path: str) -> None:
     """Replace everything, schema included."""
     balanced(df).write.mode("overwrite").parquet(path)
@@ -86,18 +77,17 @@ def write_partitioned(df: DataFrame, path: str, columns: Sequence[str] = ()) ->
 
 def append_rows(df: DataFrame, table: str) -> None:
     """Append a few log or configuration rows."""
-    _insert(df.coalesce(1), table, (), overwrite=False, layout=False)
+    append_files(df, table, lambda rows, _: rows.coalesce(1))
 
 
 def replace_small(df: DataFrame, table: str) -> None:
     """Replace a configuration table by rows that were built on the driver."""
-    _insert(df.coalesce(1), table, (), overwrite=True, layout=False)
+    conform(df, df.sparkSession.table(table).schema).coalesce(1).write.mode("overwrite").insertInto(table)
 
 
 def insert_rows(df: DataFrame, table: str, num_files: int | None = None) -> None:
     """Append rows that the caller has shown to be absent."""
-    rows = balanced(conform(df, df.sparkSession.table(table).schema), partition_columns(df.sparkSession, table), num_files)
-    _insert(rows, table, (), overwrite=False, layout=False)
+    append_files(df, table, bounded(num_files))
 
 
 def write_quarantine(df: DataFrame, table: str) -> None:
@@ -189,7 +179,8 @@ def compact(spark: SparkSession, table: str, target_bytes: int = 128 << 20, leas
     their number.
 
     File sizes are read from the file system. The new files are a version like any other: readers see either
-    state whole, and if another run publishes one of the slices meanwhile, they are read again.
+    state whole, and if another run publishes one of the slices meanwhile, they are read again. Appends are no
+    publications: do not compact a slice while rows are appended to it.
     """
     folder = table_folder(spark, table)
     settle(spark, table, folder)

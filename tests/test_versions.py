@@ -107,6 +107,24 @@ def test_writers_side_by_side_lose_nothing(spark, table):
     assert held(spark, table) == [(1, "p1", None), (3, "p3", None), (4, "x", None), (5, "p5", None), (7, "p7", None)]
 
 
+def test_appends_side_by_side_lose_nothing(spark, table):
+    plain = table + "_log"
+    spark.sql(f"CREATE TABLE {plain} (a INT, part STRING) USING PARQUET")
+    sinks.write_slice(frame(spark, (100, "x", None)), table)
+
+    def work(number):
+        session = spark.newSession()
+        sinks.append_rows(frame(session, (number, "x", None)), plain)
+        sinks.insert_rows(frame(session, (number, "x", None), (number, f"p{number % 2}", "2024-01-01")), table)
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(work, range(12)))
+    for name in (plain, table):
+        spark.catalog.refreshTable(name)
+    assert rows_of(spark.table(plain).selectExpr("a")) == sorted([(k,) for k in range(12)], key=repr)
+    assert spark.table(table).filter("part = 'x'").count() == 13 and spark.table(table).count() == 25
+
+
 def test_cleaning_keeps_what_is_current(spark, table):
     for a in range(4):
         sinks.write_slice(frame(spark, (a, "x", None), (a, f"y{a}", None)), table)
