@@ -4,7 +4,9 @@ Source and configuration syntax is read as pairs of a name and a literal: ``name
 ``name := x``, ``"name" => x``, ``section["name"] = x``. A value that is itself a name takes the literal
 assigned to that name (last before it, else first after it), through any chain of assignments in the same text.
 Each literal is scored by the words of its target names: sensitive words raise, harmless words lower the score, and
-placeholders score nothing. Plain words, digits alone and several words count only under strongly sensitive names. Literals at or above the threshold become spans of kind ``lexed`` unless a base span holds them.
+placeholders score nothing. An unquoted value takes the whole run of characters it begins; operators inside that run are
+read too, with values that end at the next ``=`` (but for padding), ``&`` or, after a colon, ``:``. Every character is
+read a bounded number of times, so time is linear in a text, whatever it holds. Plain words, digits alone and several words count only under strongly sensitive names. Literals at or above the threshold become spans of kind ``lexed`` unless a base span holds them.
 """
 
 from __future__ import annotations
@@ -12,7 +14,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -28,9 +32,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
 OPERATOR = re.compile(r":=|=>|=|:")
-LONGEST_NAME = 256  # code points an identifier or path of identifiers may have
-NAME = re.compile(r"""(?:(["'])([\w.\- ]{1,128})\1|([A-Za-z_][\w.\-]*)((?:\[["']?[\w.\-]+["']?\])*))[ \t]*$""")
+BACKWARDS = re.compile(r"""\n?[ \t]*(?:(["'])([\w.\- ]+)\1|((?:\]["']?[\w.\-]+["']?\[)*[\w.\-]*[A-Za-z_]))""")  # a name, last character first
 VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|["'`]?([^\s"'`,;(){}\[\]<>]+))""")
+INNER = {c: re.compile(rf"""[ \t]*([^\s"'`,;(){{}}\[\]<>&={c}]+(?:==?(?![^\s"'`,;(){{}}\[\]<>&]))?)""") for c in ("", ":")}
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 IDENTIFIER = re.compile(r"[A-Za-z_][\w.\-]*")
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|_+|change_?me.*|example.*|your[_-].*|none|null|true|false|undefined|todo.*|redacted.*|\$\{[^{}]*\}|\$\(?(?-i:[A-Z_][A-Z0-9_]*)\)?|%\(\w+\)s?|%(?-i:[A-Z_][A-Z0-9_]*)%?|<.*>|\{\{.*\}\})$")
@@ -91,21 +95,27 @@ def literal_score(value: str, strong: bool = False) -> float:
 def assignments(text: str) -> list[tuple[str, str, int, int, bool]]:
     """(name, value, start, end, is a bare name) of each pair, in order of the text."""
     pairs = []
-    after = 0
+    after = 0  # end of what the pairs so far have used up
+    begin = 0  # end of the operator before
+    run_end = 0  # end of the last run taken whole
     for op in OPERATOR.finditer(text):
+        low, begin = max(after, begin), op.end()
         if op.start() < after:
             continue
-        name = NAME.search(text, max(after, op.start() - LONGEST_NAME), op.start())
+        name = BACKWARDS.match(text[low:op.start()][::-1])  # no name holds an operator, so these slices never overlap
         if not name:
             continue
-        value = VALUE.match(text, op.end())
+        inside = op.start() < run_end
+        value = INNER[":" if op[0] == ":" else ""].match(text, op.end(), run_end) if inside else VALUE.match(text, op.end())
         if not value:
             continue
         group = value.lastindex
-        word = name[2] or (name[3] + (name[4] or ""))
-        pairs.append((word, value[group], value.start(group), value.end(group),
-                      group == 4 and bool(IDENTIFIER.fullmatch(value[4]))))
-        after = value.end() if group < 4 else op.end()
+        bare = inside or group == 4
+        pairs.append(((name[2] or name[3])[::-1], value[group], value.start(group), value.end(group),
+                      bare and bool(IDENTIFIER.fullmatch(value[group]))))
+        after = op.end() if bare else value.end()
+        if group == 4:
+            run_end = value.end()
     return pairs
 
 
@@ -145,11 +155,15 @@ def lexed_spans(text: str, threshold: float) -> list[Span]:
         return []
     pairs = assignments(text)
     best: dict[tuple[int, int], float] = {}
+    scores: dict[tuple[int, bool], float] = {}  # a literal may have any number of names
     for (name, *_), source in zip(pairs, resolved(pairs)):
         _, value, start, end, _ = pairs[source]
         weight = name_score(name)
         if weight:
-            score = weight * literal_score(value, weight >= STRONG)
+            use = source, weight >= STRONG
+            if use not in scores:
+                scores[use] = literal_score(value, use[1])
+            score = weight * scores[use]
             if PIN.fullmatch(value) and "pin" in map(str.lower, PARTS.findall(name)):
                 score = max(score, weight)
             best[start, end] = max(best.get((start, end), 0.0), score)
@@ -161,7 +175,9 @@ def scan(text: str | None, threshold: float = 0.6) -> list[Span]:
     if not text:
         return []
     base = base_spans(text)
-    own = [s for s in lexed_spans(text, threshold) if not any(b.start <= s.start and s.end <= b.end for b in base)]
+    starts = sorted((b.start, b.end) for b in base)
+    reach = [-1, *accumulate((end for _, end in starts), max)]  # how far the first n base spans go
+    own = [s for s in lexed_spans(text, threshold) if reach[bisect_right(starts, (s.start, len(text)))] < s.end]
     return sorted(base + own, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 
@@ -195,7 +211,10 @@ def secret_spans(docs: DataFrame, text: str = "text", threshold: float = 0.6) ->
 
 
 def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", threshold: float = 0.6) -> DataFrame:
-    """``docs`` with secrets in ``text`` replaced by ``mask``; columns, their order and all rows stay."""
+    """``docs`` with secrets in ``text`` replaced by ``mask``; columns, their order and all rows stay.
+
+    Null and empty texts stay as they are, repeated rows each on their own; empty tables stay empty.
+    """
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         return [pa.array([redacted(t, mask, threshold) for t in batch.column(text).to_pylist()], pa.string())]
 
@@ -207,7 +226,11 @@ def _joined(spans: list[Span]) -> str:
 
 
 def span_digest(docs: DataFrame, text: str = "text", threshold: float = 0.6) -> DataFrame:
-    """``docs`` without its text, with counts per base kind, a hash of the base spans and all spans as text."""
+    """``docs`` without its text, with counts per base kind, a hash of the base spans and all spans as text.
+
+    Null texts count as empty ones: no span, the hash of nothing. Repeated rows and null keys pass each on
+    their own, columns of the names given here are replaced, empty tables stay empty.
+    """
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         found = [scan(t, threshold) for t in batch.column(text).to_pylist()]
         counts = [pa.array([sum(s.kind == k for s in f) for f in found], pa.int64()) for k in KINDS[:3]]

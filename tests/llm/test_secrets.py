@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -90,3 +91,31 @@ def test_placeholders_circles_and_weak_names_give_nothing(text):
 def test_a_long_chain_resolves_to_its_end():
     text = "".join(f"n{i} = n{i + 1}\n" for i in range(20_000)) + "n20000 = 'Zx81kQp92LmA'\nclient_pwd = n0\n"
     assert [text[s.start:s.end] for s in scan(text)] == ["Zx81kQp92LmA"]
+
+
+@pytest.mark.parametrize("text,values", [
+    ("see https://h.example/p?auth=Zx81kQp92LmA&x=1&y=2", ["Zx81kQp92LmA"]),  # inside a run: to the next parameter
+    ("u=1;x: q=client_pwd=Zx81kQp92L==", ["Zx81kQp92L=="]), ("a:b:auth=Zx81:kQp92LmA&z", ["Zx81:kQp92LmA"]),
+    ("client_pwd=Zx81kQ=p92&LmA", ["Zx81kQ=p92&LmA"]),  # begins the run: whole
+    ("x" * 3_000 + "_pwd = 'Zx81kQp92LmA'", ["Zx81kQp92LmA"]), ("'" + "long word " * 40 + "pwd': 'Zx81kQp92LmA'", ["Zx81kQp92LmA"]),
+    ("pwd['a'][" + "b" * 400 + "] = 'Zx81kQp92LmA'", ["Zx81kQp92LmA"])])
+def test_runs_with_several_operators_and_long_names(text, values):
+    assert [text[s.start:s.end] for s in scan(text) if s.kind == "lexed"] == values
+
+
+def test_held_by_a_base_span_as_in_a_plain_comparison():
+    text = "".join(f"password{i % 7} = 'Abc{i}def12345' secret=Abc{i}def12345 client_pwd=x=token=Abc{i}def123456 " for i in range(50))
+    spans = scan(text)
+    base = [s for s in spans if s.kind != "lexed"]
+    assert not [s for s in spans if s.kind == "lexed" and any(b.start <= s.start and s.end <= b.end for b in base)]
+
+
+@pytest.mark.parametrize("text", [
+    "a=" * 500_000, "pwd:" * 250_000, "https://h.example/?" + "&".join(f"auth{i}=value{i}" for i in range(60_000)), "=" * 1_000_000,
+    "a" * 1_000_000 + "=", "".join(f"client_pwd{i} = 'Zx81kQp{i}'\npassword = 'Zx81kQp{i}'\n" for i in range(10_000)),
+    "K = '" + "Zx81kQp92LmA" * 20_000 + "'\n" + "".join(f"pwd{i} = K\n" for i in range(20_000)), "= \"\\" * 200_000],
+    ids=["assigns", "colons", "url", "operators", "name", "lines", "one literal", "open quotes"])
+def test_time_is_linear_in_a_text(text):
+    start = time.perf_counter()
+    scan(text)
+    assert time.perf_counter() - start < 10
