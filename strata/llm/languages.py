@@ -131,25 +131,43 @@ def predict(texts: list[str | None], words: Words, penalty: float) -> list[tuple
     return out
 
 
+def first_by_hash(labelled: DataFrame, per_language: int) -> DataFrame:
+    """(text, lang, n): the ``per_language`` rows of each language with the smallest hashes of their texts, ties by
+    text, equal rows folded to one with their number ``n``. Rows without text or language are left out.
+
+    A histogram of the hashes' leading 16 bits tells per language how far to read, so that only texts up to there are
+    shuffled: those wanted and a 65,536th of the rest, copies folded before. The bounds have one row per language.
+    """
+    rows = labelled.where("text is not null and lang is not null").select("text", "lang", F.xxhash64("text").alias("h"))
+    step = F.shiftright("h", 48)
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("step"))
+    bounds = rows.groupBy("lang", step.alias("step")).agg(F.count("*").alias("n")).withColumn("upto", upto).groupBy("lang").agg(
+        F.coalesce(F.min(F.when(F.col("upto") >= per_language, F.col("step"))), F.max("step")).alias("bound"))
+    near = rows.join(F.broadcast(bounds), "lang").where(step <= F.col("bound"))
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    texts = near.groupBy("lang", "h", "text").agg(F.count("*").alias("n")).select(
+        "*", F.row_number().over(order).alias("place")).where(F.col("place") <= per_language)
+    room = per_language - (F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+    return texts.select("text", "lang", F.least("n", room).alias("n")).where("n > 0")
+
+
 def learn(labelled: DataFrame, per_language: int = 1000, buckets: int = 1 << 16) -> Model:
     """A model from (text, lang), the ``per_language`` texts of each language with the smallest hashes.
 
     Rows without text or language are left out. What reaches the driver is bounded by languages times buckets.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = labelled.where("text is not null and lang is not null").select(
-        "text", "lang", F.row_number().over(order).alias("n")).where(F.col("n") <= per_language)
+    sample = first_by_hash(labelled, per_language)
 
     def count(batches):
         table: dict[str, np.ndarray] = {}
         scripts: dict[str, np.ndarray] = {}
         for batch in batches:
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+            for text, lang, n in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "n"))):
                 words = list(dict.fromkeys(WORD.findall(text)))
                 if words:
                     _, bucket = grams([b"^" + w.lower().encode() + b"$" for w in words], ORDERS, buckets)
-                    table[lang] = table.get(lang, 0) + np.bincount(bucket, minlength=buckets)
-                    scripts[lang] = scripts.get(lang, 0) + np.bincount([script(w) for w in words], minlength=len(NAMES))
+                    table[lang] = table.get(lang, 0) + n * np.bincount(bucket, minlength=buckets)
+                    scripts[lang] = scripts.get(lang, 0) + n * np.bincount([script(w) for w in words], minlength=len(NAMES))
         for lang in table:
             used = np.flatnonzero(table[lang])
             kept = np.flatnonzero(scripts[lang])
@@ -157,7 +175,7 @@ def learn(labelled: DataFrame, per_language: int = 1000, buckets: int = 1 << 16)
                 "lang": pa.array([lang] * (len(used) + len(kept))), "bucket": pa.array(np.r_[used, -1 - kept]),
                 "n": pa.array(np.r_[table[lang][used], scripts[lang][kept]].astype(np.int64))})
 
-    counts = sample.select("text", "lang").mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counts.lang.unique())
     table, scripts = np.zeros((buckets, len(languages))), np.zeros((len(NAMES), len(languages)))
     for k, lang in enumerate(languages):

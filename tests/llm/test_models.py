@@ -2,11 +2,12 @@
 
 import itertools
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from strata.llm.languages import Words, best_path, identify, labelled_language, language_spans, learn, spans
+from strata.llm.languages import Words, best_path, first_by_hash, identify, labelled_language, language_spans, learn, spans
 from strata.llm.quality import classify
 from strata.llm.quality import learn as learn_quality
 from strata.llm.quality import scored, terms, vote
@@ -109,3 +110,17 @@ def test_quality_rows(spark, sf):
     assert scored(rows.limit(0), space).count() == 0
     nothing = learn_quality(docs.limit(0), labels)
     assert {r.score for r in scored(rows, nothing).collect()} == {0.5}
+
+
+@pytest.mark.parametrize("most", [1, 3, 40, 1000])
+def test_sample_by_hash_is_the_plain_one(spark, most):
+    """One text holds a third of the rows; some languages have fewer rows than wanted; nulls are left out."""
+    rows = [(f"text {i % 90}", "abc"[i % 3]) for i in range(300)] + [("copy", "a")] * 160 + [("rare", "d"), (None, "a"), ("x", None), ("", "b")]
+    table = spark.createDataFrame(rows, "text string, lang string")
+    hashed = [(r.lang, r.h, r.text) for r in table.where("text is not null and lang is not null").selectExpr("lang", "xxhash64(text) h", "text").collect()]
+    want = Counter()
+    for lang in {r[0] for r in hashed}:
+        want.update((text, lang) for _, _, text in sorted(r for r in hashed if r[0] == lang)[:most])
+    got = {(r.text, r.lang): r.n for r in first_by_hash(table, most).collect()}
+    assert got == dict(want)
+    assert first_by_hash(table.limit(0), most).count() == 0
