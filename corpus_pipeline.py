@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages over ``documents``: each takes the table its predecessor wrote.
 
-A stage is (name, function of (spark, docs, sf_dir)). All but the last return the columns of ``documents``; the
-last returns packed pieces. ``run`` writes each stage's result to the shared folder and reads it again.
+A stage is (name, function of (spark, docs, sf_dir)). All but the last return the columns of ``documents``, and any
+others that came in, unchanged, whatever their names; the last returns packed pieces. Empty tables stay empty. ``run`` writes each stage's result to the shared folder and reads it again.
 """
 
 from __future__ import annotations
@@ -28,29 +28,37 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of documents whose five-word shingles are 0.8 alike or more."""
+    """Keeps the smallest doc_id of each group of documents whose five-word shingles are 0.8 alike or more. Repeated
+    rows and copies are such groups, null and empty texts one; a row without doc_id stays."""
     return simhash.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out passages of 50 bytes or more that a document with a smaller doc_id has too, and documents
-    of which nothing is left. ``n_chars`` follows the text."""
-    found = repeats.without_repeats(docs, names=("__bytes", "__removed", "__spans", "__kept"))
+    of which nothing is left. ``n_chars`` follows the text. Null and empty texts stay as they are, a null text with
+    its ``n_chars``; repeated rows and rows of one doc_id take nothing from each other, rows without doc_id stay whole."""
+    marked = docs.withColumn("__null", F.col("text").isNull())
+    found = repeats.without_repeats(marked, names=("__bytes", "__removed", "__spans", "__kept"))
     found = found.where("__removed = 0 or trim(__kept) <> ''")
-    changed = {"text": F.col("__kept")}
+    text = F.when(~F.col("__null"), F.col("__kept"))
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.length("__kept").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.coalesce(F.length(text).cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
     return found.select([changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets; every document stays. ``n_chars`` follows the text."""
+    """Masks secrets; every document stays, repeated rows too. ``n_chars`` follows the text; null and empty texts stay
+    as they are, a null text with its ``n_chars``."""
     masked = secret_scan.redact(docs)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all documents into windows of 1024 tokens."""
+    """Packs all documents into windows of 1024 tokens. A null text is packed as an empty one, as its closing id alone;
+    repeated rows and rows without doc_id are packed each on their own."""
     return packing.pack(docs)
 
 
