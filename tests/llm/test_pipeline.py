@@ -93,6 +93,13 @@ def test_language_id_without_labels(spark, docs):
     assert after.count() > 80
 
 
+def test_null_and_empty_texts_stay_in_the_later_stages(spark):
+    rows = [(1, None, "en", "s", 7), (2, "", "en", "s", 0), (3, None, None, None, None), (3, None, None, None, None), (None, None, "en", "s", 5)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for stage in (pipeline.repeated_passages, pipeline.secrets):
+        assert rows_of(stage(spark, docs, "")) == sorted(rows, key=repr)
+
+
 def test_every_stage_takes_nothing(spark, docs):
     for _, stage in pipeline.STAGES:  # clashing names of other columns are in docs, too
         assert stage(spark, docs.limit(0), "").count() == 0
