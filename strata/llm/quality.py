@@ -24,7 +24,7 @@ SHAPE = np.frombuffer(b"".join(
     b" " if bytes([c]).isspace() else b"a" if bytes([c]).islower() or c >= 128 else b"A" if bytes([c]).isupper()
     else b"0" if bytes([c]).isdigit() else bytes([c]) for c in range(256)), np.uint8).tobytes()
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-CHUNK = 1 << 20  # bytes hashed at once; longer texts are counted chunk by chunk
+CHUNK = 1 << 20  # bytes hashed at once
 
 
 class Space(NamedTuple):
@@ -43,16 +43,21 @@ def _collapsed(shape: bytes) -> bytes:
     return a[keep].tobytes()
 
 
+def _counts(data: bytes, orders: tuple[int, ...], buckets: int) -> np.ndarray:
+    """Counts of all n-grams per bucket, those that end in one chunk at a time: none is lost or doubled at a cut."""
+    out = np.bincount(grams([data[:CHUNK]], orders, buckets)[1], minlength=buckets)
+    for at in range(CHUNK, len(data), CHUNK):
+        for n in orders:
+            out += np.bincount(grams([data[max(at - n + 1, 0):at + CHUNK]], (n,), buckets)[1], minlength=buckets)
+    return out
+
+
 def terms(text: bytes, buckets: int) -> np.ndarray:
     """Counts per bucket: a half for words, a quarter for shapes, the rest for how words return."""
     out = np.zeros(buckets, np.int64)
     half, quarter = buckets // 2, buckets // 4
-    for at in range(0, len(text), CHUNK):
-        part = text[at:at + CHUNK]
-        _, b = grams([part.translate(LOWER)], (4,), half)
-        out[:half] += np.bincount(b, minlength=half)
-        _, b = grams([_collapsed(part.translate(SHAPE))], (3, 5), quarter)
-        out[half:half + quarter] += np.bincount(b, minlength=quarter)
+    out[:half] = _counts(text.translate(LOWER), (4,), half)
+    out[half:half + quarter] = _counts(_collapsed(text.translate(SHAPE)), (3, 5), quarter)
     words = text.split()
     seen: dict[bytes, int] = {}
     lags = np.zeros(quarter, np.int64)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from strata.llm.languages import Words, best_path, first_by_hash, identify, labelled_language, language_spans, learn, spans
+from strata.llm import quality
 from strata.llm.quality import classify
 from strata.llm.quality import learn as learn_quality
 from strata.llm.quality import scored, terms, vote
@@ -124,3 +125,11 @@ def test_sample_by_hash_is_the_plain_one(spark, most):
     got = {(r.text, r.lang): r.n for r in first_by_hash(table, most).collect()}
     assert got == dict(want)
     assert first_by_hash(table.limit(0), most).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [5, 7, 64, 1000])
+def test_a_text_is_counted_alike_in_any_chunks(monkeypatch, chunk):
+    texts = [t.encode() for t in ["", "a", "abcd", " ".join(SAMPLES.values()) + " 12,345 " * 20 + "AAA  ..." * 9]]
+    want = [terms(t, 4096) for t in texts]
+    monkeypatch.setattr(quality, "CHUNK", chunk)
+    assert all((terms(t, 4096) == w).all() for t, w in zip(texts, want))
