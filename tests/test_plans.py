@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from strata import fixture
 from strata.plans import queries as q
 from strata.plans.load_queries import new_database
 from strata.plans.registry import QUERIES
@@ -48,3 +49,11 @@ def test_merge_shuffles_each_side_once(spark, sf):
     """Joining on the match key needs one exchange per side; the deduplicated side reuses its own."""
     plan = plan_of(q.silver_history(spark, sf))
     assert plan.count("SortMergeJoin [product_id") == 1
+
+
+def test_forecast_rows_are_joined_alike_at_every_size_and_shuffled_as_numbers(spark, sf):
+    plan = plan_of(fixture.derive_forecast(spark, sf))
+    for key in ("l_partkey", "l_orderkey"):
+        assert f"SortMergeJoin [{key}" in plan
+    texts = plan[:plan.index("SortMergeJoin [l_orderkey")]
+    assert "Exchange hashpartitioning" not in texts and "r_name" not in plan[len(texts):].split("BroadcastExchange")[0]
