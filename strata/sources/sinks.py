@@ -21,6 +21,9 @@ from strata.sources.versions import (
     write_version,
 )
 
+# Rows of a file, and so of the task that writes it, where a number of files is asked for that is too small for the rows.
+ROWS_PER_FILE = 1_000_000
+
 
 def balanced(df: DataFrame, columns: Sequence[str] = (), num_files: int | None = None) -> DataFrame:
     """Lay rows out for writing.
@@ -128,14 +131,21 @@ def archive_partitions(spark: SparkSession, table: str, archive: str, predicate:
     return len(chosen)
 
 
+def enough_files(df: DataFrame, num_files: int | None) -> int | None:
+    """``num_files``, or more where its files would hold over ``ROWS_PER_FILE`` rows each."""
+    return max(num_files, -(-df.count() // ROWS_PER_FILE)) if num_files else None
+
+
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], num_files: int | None = None) -> None:
     """Sorted ranges of ``columns`` per file, so Parquet statistics let a scan skip files.
 
     A hash of the whole row is the last range column: a key with very many rows is then spread over
-    several adjacent files.
+    several adjacent files. ``num_files`` is for a small frame: one task writes a file, so a larger frame has more of
+    them, of ``ROWS_PER_FILE`` rows at most on average. Rows are counted first.
     """
     spread = F.xxhash64(*df.columns)
     ranges = [*[F.col(c) for c in columns], spread]
+    num_files = enough_files(df, num_files)
     ranged = df.repartitionByRange(num_files, *ranges) if num_files else df.repartitionByRange(*ranges)
     ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
@@ -167,9 +177,11 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
 
 def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], num_files: int | None = None) -> None:
     """Files that are narrow ranges of every one of ``columns``: a filter on any of them alone skips most files, where
-    ``write_clustered`` serves the leading column. A hash of the row divides equal ranks over several files."""
+    ``write_clustered`` serves the leading column. A hash of the row divides equal ranks over several files; a large frame
+    has more than ``num_files`` of them, as there."""
     placed = df.withColumn("_z", z_value(df, columns))
     spread = F.xxhash64(*df.columns)
+    num_files = enough_files(df, num_files)
     ranged = placed.repartitionByRange(num_files, "_z", spread) if num_files else placed.repartitionByRange("_z", spread)
     ranged.sortWithinPartitions("_z", *columns).drop("_z").write.mode("overwrite").parquet(path)
 

@@ -166,6 +166,19 @@ def test_hot_key_is_spread_over_clustered_files(spark):
     assert stored.count() == 20000 and hot.count() >= 3
 
 
+def test_a_large_frame_gets_more_files_than_asked_for(spark, monkeypatch):
+    """A task writes a file, so the rows of one are bounded; a small frame has the files that were asked for."""
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 1000)
+    df = spark.range(20000).selectExpr("if(id % 3 > 0, 'hot', concat('k', id)) AS k", "id")
+    for write in (sinks.write_clustered, sinks.write_interleaved):
+        for rows, least, most in ((df, 15, 20), (df.limit(4000), 1, 6)):
+            path = work_path(spark, "files")
+            write(rows, path, ["k"], num_files=6)
+            stored = spark.read.parquet(path)
+            files = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+            assert sum(files) == rows.count() and least <= len(files) <= most and max(files) < 2500
+
+
 def test_a_repeated_extract_keeps_what_has_landed(spark):
     from datetime import datetime, timezone
 
