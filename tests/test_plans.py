@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from strata import fixture
 from strata.plans import queries as q
-from strata.plans.load_queries import new_database
+from strata.plans.load_queries import landing_rows, new_database
 from strata.plans.registry import QUERIES
 
 BATCH = ["kpi_by_period", "bronze_standardize", "dedup_latest", "duplicates", "scd2_silver", "scd2_actions",
@@ -57,3 +57,11 @@ def test_forecast_rows_are_joined_alike_at_every_size_and_shuffled_as_numbers(sp
         assert f"SortMergeJoin [{key}" in plan
     texts = plan[:plan.index("SortMergeJoin [l_orderkey")]
     assert "Exchange hashpartitioning" not in texts and "r_name" not in plan[len(texts):].split("BroadcastExchange")[0]
+
+
+def test_landed_rows_are_read_from_the_stored_rows_and_not_copied_before(spark, sf):
+    """What a run's extract delivers is a filter on the scan of the stored rows: no shuffle, no copy of its own."""
+    stored = {f.rsplit("/", 1)[0] for f in fixture.forecast_src(spark, sf).inputFiles()}
+    for rows in landing_rows(spark, sf).values():
+        assert {f.rsplit("/", 1)[0] for f in rows.inputFiles()} == stored
+        assert "Exchange" not in plan_of(rows.filter("_frequency = 'daily'"))
