@@ -11,7 +11,7 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schema
@@ -41,9 +41,15 @@ def bounded(num_files: int | None) -> Layout:
     return lambda df, columns: balanced(df, columns, num_files)
 
 
+def unshuffled(df: DataFrame) -> DataFrameWriter:
+    """A writer without partition columns: rows are written by the tasks that hold them, as scans deal even ones and
+    adaptive execution joins small and splits skewed ones. A large task writes several files."""
+    return df.write.option("maxRecordsPerFile", ROWS_PER_FILE)
+
+
 def write_overwrite(df: DataFrame, path: str) -> None:
     """Replace everything, schema included."""
-    balanced(df).write.mode("overwrite").parquet(path)
+    unshuffled(df).mode("overwrite").parquet(path)
 
 
 def _replace(df: DataFrame, table: str, owned: Slices, num_files: int | None = None) -> None:
@@ -65,7 +71,7 @@ def replace_owned(df: DataFrame, table: str, owned: Mapping[str, str], num_files
 
 def write_append(df: DataFrame, path: str) -> None:
     """Add rows; new columns may appear, and ``read_evolved`` shows them as NULL in older rows."""
-    balanced(df).write.mode("append").parquet(path)
+    unshuffled(df).mode("append").parquet(path)
 
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:

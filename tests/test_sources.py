@@ -218,3 +218,16 @@ def test_file_names_are_not_escaped(spark):
     path = f"{work_path(spark, 'names')}/fc daily+1%_202401010600.parquet"
     spark.createDataFrame([("a",)], "x string").write.parquet(path)
     assert files.read_parquet_as_strings(spark, path).first()._file_name == "fc daily+1%_202401010600.parquet"
+
+
+def test_rows_without_partition_columns_are_written_where_they_are(spark, tmp_path, monkeypatch):
+    """A plain write does not shuffle: each task writes its own rows, a large one in several files."""
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 40)
+    frame = spark.range(300, numPartitions=3).withColumn("task", F.spark_partition_id())
+    for write in (sinks.write_overwrite, sinks.write_append):
+        path = str(tmp_path / write.__name__)
+        write(frame, path)
+        files = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(F.countDistinct("task").alias("tasks"), F.count("id").alias("n"))
+        found = files.collect()
+        assert len(found) == 9 and all(f.tasks == 1 and f.n <= 40 for f in found)
+        assert rows_of(spark.read.parquet(path)) == rows_of(frame)
