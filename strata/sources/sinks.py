@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -23,6 +24,8 @@ from strata.sources.versions import (
 
 # Rows of a file, and so of the task that writes it, where a number of files is asked for that is too small for the rows.
 ROWS_PER_FILE = 1_000_000
+# Bytes of a slice whose small files are joined by a job of their own.
+ALONE_BYTES = 16 << 20
 
 
 def balanced(df: DataFrame, columns: Sequence[str] = (), num_files: int | None = None) -> DataFrame:
@@ -196,27 +199,42 @@ def compact(spark: SparkSession, table: str, target_bytes: int = 128 << 20, leas
     """Rewrite slices that lie in ``least_files`` or more files of less than half of ``target_bytes`` on average; returns
     their number.
 
-    File sizes are read from the file system. The new files are a version like any other: readers see either
+    File sizes are read from the file system. A slice of ``ALONE_BYTES`` or more is joined by a job of its own, whose tasks
+    read whole files one after the other, without a shuffle; the smaller ones are shuffled together. The new files are a version like any other: readers see either
     state whole, and if another run publishes one of the slices meanwhile, they are read again. Appends are no
     publications: do not compact a slice while rows are appended to it.
     """
     folder = table_folder(spark, table)
     settle(spark, table, folder)
-    small = {}
+    small, alone = {}, {}
     for name, place in slice_places(spark, table, len(folder.columns)).items():
         sizes = folder.sizes(place)
         if len(sizes) >= least_files and 2 * sum(sizes) < target_bytes * len(sizes):
             small[name] = slice_values(name)
+            if sum(sizes) >= ALONE_BYTES:
+                alone[name] = -(-sum(sizes) // target_bytes)
     if not small:
         return 0
 
-    def chosen() -> DataFrame:
-        keys = spark.createDataFrame([tuple(values[c] for c in folder.columns) for values in small.values()],
+    def is_slice(values: Mapping[str, str | None]) -> Column:
+        return reduce(Column.__and__, [F.col(c).cast("string").eqNullSafe(F.lit(v)) for c, v in values.items()])
+
+    def together() -> DataFrame:
+        keys = spark.createDataFrame([tuple(values[c] for c in folder.columns) for name, values in small.items() if name not in alone],
                                      ", ".join(f"_s_{c} string" for c in folder.columns))
         same = [F.col(c).cast("string").eqNullSafe(F.col(f"_s_{c}")) for c in folder.columns]
         return spark.table(table).join(F.broadcast(keys), reduce(Column.__and__, same), "left_semi")
 
-    merge_version(spark, table, lambda values: values in small.values(), f"compact/{uuid.uuid4().hex}", chosen, lambda _: {}, balanced)
+    def join_alone(version: str) -> list[str]:
+        def join(name: str) -> None:
+            rows = spark.table(table).filter(is_slice(small[name])).drop(*folder.columns)
+            rows.coalesce(alone[name]).write.parquet(folder.path("_versions", version, name).toString())
+
+        with ThreadPoolExecutor(8) as pool:
+            list(pool.map(join, alone))
+        return list(alone)
+
+    merge_version(spark, table, lambda values: values in small.values(), f"compact/{uuid.uuid4().hex}", together, lambda _: {}, balanced, also=join_alone)
     return len(small)
 
 

@@ -194,3 +194,27 @@ def test_ranks_with_nulls_and_few_values(spark, tmp_path):
     sinks.write_interleaved(rows, f"{tmp_path}/few", ["p", "n"])
     sinks.write_interleaved(rows.limit(0), f"{tmp_path}/none", ["p", "n"])
     assert rows_of(spark.read.parquet(f"{tmp_path}/few")) == rows_of(rows)
+
+
+def test_compaction_joins_the_files_of_a_large_slice_without_a_shuffle(spark, table, monkeypatch):
+    """Slices from ALONE_BYTES on are joined by jobs of their own, smaller ones together; rows, also those written before a
+    column came, are the same."""
+    def insert(a, part, n):
+        sinks.insert_rows(spark.range(n).selectExpr(f"int(id + {a}) AS a", f"{part} AS part", "date('2024-01-01') AS day"), table)
+
+    for k in range(4):
+        insert(1000 * k, "'it''s/'", 500)
+        insert(1000 * k, "string(null)", 500)
+        insert(k, "'small'", 1)
+    spark.sql(f"ALTER TABLE {table} ADD COLUMNS (late STRING)")
+    sinks.insert_rows(spark.sql("SELECT 7 AS a, \"it's/\" AS part, DATE '2024-01-01' AS day, 'l' AS late"), table)
+    before = rows_of(spark.table(table))
+    monkeypatch.setattr(sinks, "ALONE_BYTES", 4000)
+    shuffled = []
+    real = sinks.balanced
+    monkeypatch.setattr(sinks, "balanced", lambda rows, *rest: shuffled.append(rows.count()) or real(rows, *rest))
+    assert sinks.compact(spark, table) == 3 and shuffled == [4]
+    spark.catalog.refreshTable(table)
+    folder = versions.table_folder(spark, table)
+    assert [len(folder.sizes(p)) for p in versions.slice_places(spark, table, 2).values()] == [1, 1, 1]
+    assert rows_of(spark.table(table)) == before and sinks.compact(spark, table) == 0
