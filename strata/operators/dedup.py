@@ -55,18 +55,32 @@ def dedup_first(df: DataFrame, keys: Iterable[str] = schema.MATCH_KEY,
     return one_per_key(df, keys, total_order(df, order_by, latest=False))
 
 
-def bag_difference(whole: DataFrame, part: DataFrame) -> DataFrame:
+def _many_alike(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether over ``COPIES_PER_CHUNK`` rows may agree in ``columns``: counts by a short hash, so a few rows per task are
+    shuffled. Hashes that meet by chance only make it true too often."""
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(1 << 16)).cast("int").alias("_bucket")
+    counts = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
+    return not counts.filter(F.col("_n") > COPIES_PER_CHUNK).isEmpty()
+
+
+def bag_difference(whole: DataFrame, part: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Rows of ``whole`` that are left after taking each row of ``part`` away once.
 
-    Counting per distinct row spreads a hot key over all tasks and folds exact copies together
-    before the shuffle. Counts become rows again in chunks that are shuffled apart, so a group of
-    copies is written by many tasks.
+    Counting per distinct row spreads a hot key over all tasks. Rows of ``whole`` are first counted by a hash, of ``keys``
+    and then of all columns. Where no row has many copies, rows are shuffled once, and the task that counts a row writes
+    its copies. Otherwise copies are folded together before the shuffle, and counts become rows again in chunks that
+    are shuffled apart, so a group of copies is written by many tasks.
     """
     names = whole.columns
     signed = whole.select(*names, F.lit(1).cast("bigint").alias("_n")).unionByName(
         part.select(*names, F.lit(-1).cast("bigint").alias("_n"))
     )
-    left = signed.groupBy(*names).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 0)
+    many = _many_alike(whole, list(keys) or names) and (not keys or _many_alike(whole, names))
+    # Few copies: nothing to fold, so rows are not gathered in a map task's memory before they are shuffled.
+    placed = signed if many else signed.repartition(*names)
+    left = placed.groupBy(*names).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 0)
+    if not many:
+        return left.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*names)
     chunks = left.withColumn("_chunk", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {COPIES_PER_CHUNK}"))))
     # A fixed number of partitions: adaptive execution would join the chunks again, as they are still short.
@@ -86,5 +100,6 @@ def validate_duplicates(df: DataFrame, key_columns: Iterable[str], order_by: Ite
     """
     if keep not in ("first", "latest"):
         raise ValueError("keep must be 'first' or 'latest'")
-    kept = one_per_key(df, key_columns, total_order(df, order_by, latest=keep == "latest"))
-    return kept, bag_difference(df, kept)
+    keys = list(key_columns)
+    kept = one_per_key(df, keys, total_order(df, order_by, latest=keep == "latest"))
+    return kept, bag_difference(df, kept, keys)

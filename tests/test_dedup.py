@@ -67,6 +67,23 @@ def test_rejects_are_counted_not_ranked(skewed):
     assert plan.count("- Window [") == 1 and plan.count("WindowGroupLimit") == 2
 
 
+def test_rejects_without_many_copies_are_shuffled_once(skewed, monkeypatch):
+    """Counting them is the only shuffle beside the ranking; rows that may have many copies are still shuffled apart."""
+    plan = plan_of(dedup.validate_duplicates(skewed, KEYS, ["ts"])[1])
+    assert plan.count("Exchange hashpartitioning") == 2 and "partial_sum" not in plan[plan.index("REPARTITION_BY_COL"):]
+    monkeypatch.setattr(dedup, "COPIES_PER_CHUNK", 1100)  # the hot key has more rows, but no row has as many copies
+    assert plan_of(dedup.validate_duplicates(skewed, KEYS, ["ts"])[1]).count("Exchange hashpartitioning") == 2
+    monkeypatch.setattr(dedup, "COPIES_PER_CHUNK", 100)
+    assert plan_of(dedup.validate_duplicates(skewed, KEYS, ["ts"])[1]).count("Exchange hashpartitioning") == 3
+
+
+def test_few_copies_are_written_where_they_are_counted(spark):
+    whole = spark.createDataFrame([("a", 1)] * 50 + [(None, 2)] * 8 + [("c", None)] * 2, "k string, n int")
+    part = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("c", None)], "k string, n int")
+    left = dedup.bag_difference(whole, part)
+    assert Counter(tuple(r) for r in left.collect()) == {("a", 1): 48, (None, 2): 7, ("c", None): 1}
+
+
 def test_unknown_keep(skewed):
     with pytest.raises(ValueError):
         dedup.validate_duplicates(skewed, KEYS, keep="any")
