@@ -495,8 +495,8 @@ def slice_overwrite(spark, sf):
     types = {f.name: f.dataType.simpleString() for f in versioned.schema.fields}
     columns = ", ".join(f"`{n}` {t}" for n, t in types.items())
     spark.sql(f"CREATE TABLE {table} ({columns}) USING PARQUET PARTITIONED BY (`_frequency`, `_batch_id`)")
-    sinks.write_slice(versioned, table)
-    sinks.write_slice(clean.current_batch(versioned, "b2").withColumn("version", F.lit(2)), table)
+    sinks.write_slice(versioned, table, scanned=True)
+    sinks.write_slice(clean.current_batch(versioned, "b2").withColumn("version", F.lit(2)), table, scanned=True)
     return spark.table(table)
 
 

@@ -24,6 +24,8 @@ from strata.sources.versions import (
 
 # Rows of a file, and so of the task that writes it, where a number of files is asked for that is too small for the rows.
 ROWS_PER_FILE = 1_000_000
+# Rows that a file must hold on average where rows are written to slices by the tasks that a scan deals them to.
+LEAST_ROWS_PER_FILE = 100_000
 # Bytes of a slice whose small files are joined by a job of their own.
 ALONE_BYTES = 16 << 20
 
@@ -44,6 +46,17 @@ def bounded(num_files: int | None) -> Layout:
     return lambda df, columns: balanced(df, columns, num_files)
 
 
+def as_dealt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows stay in the tasks that a scan deals them to, where these have enough rows of each slice that they hold; else
+    they are ``balanced``. For frames that are read from files and changed row by row only: the pieces are counted first, by
+    the partition columns alone, which would repeat costlier steps.
+    """
+    pieces = df.groupBy(F.spark_partition_id().alias("_task"), *columns).agg(F.count(F.lit(1)).alias("_n"))
+    found = pieces.agg(F.count(F.lit(1)).alias("files"), F.sum("_n").alias("rows")).first()
+    enough = found.files > 0 and found.rows >= found.files * LEAST_ROWS_PER_FILE
+    return df if enough else balanced(df, columns)
+
+
 def unshuffled(df: DataFrame) -> DataFrameWriter:
     """A writer without partition columns: rows are written by the tasks that hold them, as scans deal even ones and
     adaptive execution joins small and splits skewed ones. A large task writes several files."""
@@ -55,21 +68,24 @@ def write_overwrite(df: DataFrame, path: str) -> None:
     unshuffled(df).mode("overwrite").parquet(path)
 
 
-def _replace(df: DataFrame, table: str, owned: Slices, num_files: int | None = None) -> None:
+def _replace(df: DataFrame, table: str, owned: Slices, layout: Layout) -> None:
     spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
     folder = table_folder(spark, table)
-    publish(spark, table, version, write_version(df, table, version, bounded(num_files), folder=folder), owned, folder=folder)
+    publish(spark, table, version, write_version(df, table, version, layout, folder=folder), owned, folder=folder)
 
 
-def write_slice(df: DataFrame, table: str) -> None:
-    """Replace the partitions that occur in ``df`` and leave all others. Readers see each one whole, old or new."""
-    _replace(df, table, lambda _: False)
+def write_slice(df: DataFrame, table: str, *, scanned: bool = False) -> None:
+    """Replace the partitions that occur in ``df`` and leave all others. Readers see each one whole, old or new.
+
+    ``scanned`` tells that ``df`` comes straight from files: rows in a few large slices are then not shuffled (``as_dealt``).
+    """
+    _replace(df, table, lambda _: False, as_dealt if scanned else balanced)
 
 
 def replace_owned(df: DataFrame, table: str, owned: Mapping[str, str], num_files: int | None = None) -> None:
     """Replace all partitions with the values ``owned``, also those that ``df`` has no row for any more. New rows are
     written before anything old goes."""
-    _replace(df, table, lambda values: all(values[c] == v for c, v in owned.items()), num_files)
+    _replace(df, table, lambda values: all(values[c] == v for c, v in owned.items()), bounded(num_files))
 
 
 def write_append(df: DataFrame, path: str) -> None:
@@ -132,7 +148,7 @@ def archive_partitions(spark: SparkSession, table: str, archive: str, predicate:
     chosen = partition_values(source, columns)
     if not chosen:
         return 0
-    write_slice(source.withColumn("_archived_ts", F.lit(archived_ts).cast("timestamp")), archive)
+    write_slice(source.withColumn("_archived_ts", F.lit(archived_ts).cast("timestamp")), archive, scanned=True)
     specs = ", ".join(f"PARTITION ({partition_spec(values)})" for values in chosen)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     moved = [{c: None if v is None else str(v) for c, v in values.items()} for values in chosen]

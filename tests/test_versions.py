@@ -3,6 +3,7 @@
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows_of
 from strata.plans.load_queries import new_database
@@ -218,3 +219,29 @@ def test_compaction_joins_the_files_of_a_large_slice_without_a_shuffle(spark, ta
     folder = versions.table_folder(spark, table)
     assert [len(folder.sizes(p)) for p in versions.slice_places(spark, table, 2).values()] == [1, 1, 1]
     assert rows_of(spark.table(table)) == before and sinks.compact(spark, table) == 0
+
+
+def test_scanned_rows_of_large_slices_are_written_where_they_are(spark, table, tmp_path, monkeypatch):
+    """Tasks that hold enough rows of each slice write them without a shuffle; else, and for other frames, slices are balanced."""
+    spark.range(0, 600, 1, 3).selectExpr("int(id) AS a", "if(id % 2 = 0, 'it''s/', NULL) AS part", "date('2024-01-01') AS day").write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in")
+    shuffled = []
+    real = sinks.balanced
+    monkeypatch.setattr(sinks, "balanced", lambda df, *rest: shuffled.append(1) or real(df, *rest))
+    tasks = rows.select(F.spark_partition_id()).distinct().count()
+
+    def written(**how):
+        sinks.write_slice(rows, table, **how)
+        spark.catalog.refreshTable(table)
+        assert held(spark, table) == rows_of(rows.selectExpr("a", "part", "string(day)"))
+        folder = versions.table_folder(spark, table)
+        return [len(folder.sizes(p)) for p in versions.slice_places(spark, table, 2).values()]
+
+    monkeypatch.setattr(sinks, "LEAST_ROWS_PER_FILE", 300 // tasks)
+    assert written(scanned=True) == [tasks, tasks] and not shuffled
+    monkeypatch.setattr(sinks, "LEAST_ROWS_PER_FILE", 300 // tasks + 1)
+    assert written(scanned=True) == [1, 1] and shuffled == [1]
+    monkeypatch.setattr(sinks, "LEAST_ROWS_PER_FILE", 1)
+    written()
+    assert shuffled == [1, 1]
+    sinks.write_slice(rows.limit(0), table, scanned=True)
