@@ -31,6 +31,7 @@ from strata.plans.subject import run_steps, run_subject
 from strata.sources import extract, sinks
 from strata.sources.config import default_subjects, get_pipeline_metadata
 from strata.sources.files import has_source, read_delimited, read_parquet_as_strings
+from strata.sources.staging import stage_rows
 from strata.sources.versions import write_version
 from strata.streaming.ingest import create_key_table, land_new_keys, landing_files, stream_layers
 from strata.session import work_path
@@ -504,7 +505,7 @@ def slice_overwrite(spark, sf):
     f"SELECT {SRC_ID}, product_id, CAST({QTY} AS DOUBLE) AS {QTY}, period, _frequency FROM clean", "clean"))
 def partitioned_overwrite(spark, sf):
     path = work_path(spark, "partitioned")
-    rows = clean_rows(spark, sf).select(*SRC_IDS, "product_id", QTY, "period", "_frequency")
+    rows = stage_rows(clean_rows(spark, sf).select(*SRC_IDS, "product_id", QTY, "period", "_frequency"), work_path(spark, "clean"))
     sinks.write_partitioned(rows.withColumn(QTY, F.col(QTY) * 2), path, ["period", "_frequency"])
     sinks.write_partitioned(rows, path, ["period", "_frequency"])
     period = F.col("period").cast("string")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from strata import fixture
-from strata.plans import queries as q
+from strata.plans import load_queries, queries as q
 from strata.plans.load_queries import landing_rows, new_database
 from strata.plans.registry import QUERIES
 
@@ -65,3 +65,20 @@ def test_landed_rows_are_read_from_the_stored_rows_and_not_copied_before(spark,
     for rows in landing_rows(spark, sf).values():
         assert {f.rsplit("/", 1)[0] for f in rows.inputFiles()} == stored
         assert "Exchange" not in plan_of(rows.filter("_frequency = 'daily'"))
+
+
+def test_rows_that_are_written_twice_are_computed_once(spark, sf, monkeypatch):
+    """Both writes of ``partitioned_overwrite`` start from rows that were deduplicated once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    ids = [f"CAST(id AS BIGINT) AS {c}" for c in q.SRC_IDS]
+    rows = spark.range(100).selectExpr(*ids, "string(id % 7) AS product_id", "CAST(id AS DECIMAL(18,4)) AS forecast_qty",
+                                       "'2024-01-01' AS period", "'daily' AS _frequency")
+    monkeypatch.setattr(load_queries, "clean_rows", lambda spark, sf: rows.mapInArrow(counted, rows.schema))
+    assert QUERIES["partitioned_overwrite"](spark, sf).agg(F.sum("forecast_qty")).first()[0] == sum(range(100))
+    assert seen.value == 100
