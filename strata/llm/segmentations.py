@@ -12,15 +12,20 @@ order of their perturbed values. Given the (k+1)-th value ``kappa``, a segmentat
 was included with probability ``1 - exp(-exp(phi - kappa))``, the inclusion score.
 
 All uniforms are hashes of the row key and the place in the search, so a row's samples never change.
+
+Many texts are searched side by side: one step draws the next piece of every unit of all texts that is not at its
+end. Lattices are those of units, which texts share; a worker keeps the ones it has met up to a bound.
 """
 
 from __future__ import annotations
 
 import zlib
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +35,26 @@ SPACE = "▁"
 U = np.uint64
 
 
+class Beginnings(NamedTuple):
+    """Beginnings of pieces by the hash of their code points, and one that is none at the end."""
+    hashes: np.ndarray  # in order
+    piece: np.ndarray  # -1 where it is no piece itself
+    weight: np.ndarray
+    shift: np.uint64
+    slot: np.ndarray  # by the upper bits of a hash, the first with such bits or greater ones
+    single: np.ndarray  # by code point, number of a character that begins a piece, from 1
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which hashes are those of a beginning, its number)."""
+        at = self.slot[(h >> self.shift).astype(np.int64)]
+        less = np.flatnonzero(self.hashes[at] < h)
+        while len(less):
+            at[less] += 1
+            less = less[np.flatnonzero(self.hashes[at[less]] < h[less])]
+        hit = np.flatnonzero(self.hashes[at] == h)
+        return hit, at[hit]
+
+
 class Pieces:
     """Vocabulary pieces by length and hash of their code points."""
 
@@ -56,68 +81,197 @@ class Pieces:
             self.known.append((h[order], np.array([i for _, i in own], np.int64)[order],
                                np.array([-np.log(r + 1.0) - total for r, _ in own])[order]))
 
+    @cached_property
+    def index(self) -> Beginnings:
+        """All beginnings of pieces."""
+        known = {self.text[i]: (i, w) for _, ids, weights in self.known for i, w in zip(ids.tolist(), weights.tolist())}
+        starts = sorted({t[:n] for t in known for n in range(1, len(t) + 1)}, key=len)
+        size = np.array([len(t) for t in starts], np.int64)
+        codes = np.frombuffer("".join(starts).encode("utf-32-le"), np.uint32).astype(U)
+        first, h = np.cumsum(size) - size, np.zeros(len(starts), U)
+        for n in range(self.longest):
+            own = np.searchsorted(size, n, side="right")
+            h[own:] = _step(h[own:], codes[first[own:] + n])
+        order = np.argsort(h)
+        found = [known.get(starts[n], (-1, 0.0)) for n in order.tolist()]
+        shift = 63 - len(starts).bit_length()
+        single = np.zeros(0x110000, np.int32)
+        single[codes[first[size == 1]].astype(np.int64)] = np.argsort(order)[size == 1] + 1
+        return Beginnings(np.r_[h[order], U(2**64 - 1)], np.array([i for i, _ in found] + [-1], np.int64), np.array([w for _, w in found] + [0.0]),
+                          U(shift), np.searchsorted(h[order], np.arange(2 ** (64 - shift), dtype=U) << U(shift)), single)
+
+    @cached_property
+    def surface(self) -> pa.Array:
+        """Bytes of each piece inside a text and, numbered on, at its beginning; null where the model says something else."""
+        space, byte = self.model.piece_to_id(SPACE), {i: bytes([b]) for b, i in self.byte_ids.items()}
+        inside: list[bytes | None] = [None] * len(self.text)
+        begin = inside.copy()
+        if space != self.model.unk_id():
+            own = [i for i in range(len(self.text)) if i not in byte]
+            for i, x, y in zip(own, self.model.decode([[space, i] for i in own]), self.model.decode([[i] for i in own])):
+                text = self.text[i].replace(SPACE, " ")
+                if x == text and y == text.removeprefix(" ") and not (self.model.is_unknown(i) or self.model.is_control(i) or self.model.is_unused(i)):
+                    inside[i], begin[i] = x.encode(), y.encode()
+            for i, b in byte.items():
+                inside[i] = begin[i] = b
+        return pa.array(inside + begin, pa.binary())
+
 
 def _step(h: np.ndarray, code: np.ndarray) -> np.ndarray:
     return (h ^ code) * U(0x9E3779B97F4A7C15) ^ (h >> U(29))
 
 
+def _ranges(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, 0 to n - 1) of ranges one after the other."""
+    first = np.cumsum(n) - n
+    return first, np.arange(n.sum()) - np.repeat(first, n)
+
+
 class Lattice(NamedTuple):
-    """Edges of distinct units, sorted by place; ``key`` is place plus cumulative probability."""
+    """Edges of distinct units, by place, the shortest piece first; the first edge of a place stands for it."""
     start: np.ndarray  # first place of each unit
-    first: np.ndarray  # first edge of each place, and one more
-    key: np.ndarray
-    log_p: np.ndarray  # of the edge, given its place
+    cdf: np.ndarray  # cumulative probability at the place
     to: np.ndarray  # next place, -1 at the end of the unit
+    log_p: np.ndarray  # of the edge, given its place
     piece: np.ndarray  # id, or -1 - code point for byte pieces
-    at: np.ndarray  # place
+    rank: np.ndarray  # number of the edge at its place
+    width: np.ndarray  # edges of the place
 
 
 def lattice(units: list[str], pieces: Pieces) -> Lattice:
-    codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(U)
+    """Ways are summed for all places at one distance from the end of their unit at once, the longest unit first."""
+    known = pieces.index
+    codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
     sizes = np.array([len(u) for u in units], np.int64)
-    start = np.cumsum(sizes) - sizes
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
-    at, length, ids, weight = [], [], [], []
-    h = np.zeros(len(codes), U)
-    for n, (known, known_ids, known_weight) in enumerate(pieces.known, 1):
-        h = _step(h[:len(codes) - n + 1], codes[n - 1:]) if n <= len(codes) else np.zeros(0, U)
-        if not len(h) or not len(known):
-            continue
-        found = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        hit = np.flatnonzero((known[found] == h) & (left[:len(h)] >= n))
-        at.append(hit)
-        length.append(np.full(len(hit), n))
-        ids.append(known_ids[found[hit]])
-        weight.append(known_weight[found[hit]])
-    single = np.ones(len(codes), bool)
-    single[at[0] if at else []] = False
-    rest = np.flatnonzero(single)  # characters without a piece of their own
-    n_bytes = 1 + (codes[rest] > 0x7F) + (codes[rest] > 0x7FF).astype(int) + (codes[rest] > 0xFFFF)
-    at, length = np.concatenate([*at, rest]), np.concatenate([*length, np.ones(len(rest), int)]).astype(np.int64)
-    ids = np.concatenate([*ids, -1 - codes[rest].astype(np.int64)])
-    weight = np.concatenate([*weight, n_bytes * pieces.log_byte])
-    order = np.lexsort((length, at))
-    at, length, ids, weight = at[order], length[order], ids[order], weight[order]
-    first = np.searchsorted(at, np.arange(len(codes) + 1))
-    total = np.zeros(len(codes) + 1)  # log of the summed weight of all ways from a place to its unit's end
-    to = at + length
-    ends = length == left[at]
-    by_left = np.argsort(left, kind="stable")
-    cut = np.r_[np.flatnonzero(np.diff(left[by_left], prepend=0)), len(codes)]
-    width = np.diff(first)
-    for a, b in zip(cut[:-1], cut[1:]):  # places at the same distance from their end
-        places = by_left[a:b]
-        n = width[places]
-        edge = np.repeat(first[places] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        value = weight[edge] + np.where(ends[edge], 0.0, total[to[edge]])
-        begin = np.cumsum(n) - n
+    by_size = np.argsort(-sizes, kind="stable")
+    end = np.cumsum(sizes)[by_size]
+    longest = int(sizes.max(initial=0))
+    n_at = np.cumsum(np.bincount(sizes, minlength=longest + 1)[::-1])[::-1][1:]  # units that have a place at each distance
+    first_at = np.r_[0, 0, np.cumsum(n_at)]  # by distance, which is 1 at least
+    left = np.repeat(np.arange(1, longest + 1), n_at)
+    after = np.arange(len(codes)) - np.repeat(np.diff(first_at)[:-1], n_at)  # place of the next character
+    after[:n_at[0] if len(codes) else 0] = -1
+    codes = codes[end[np.arange(len(codes)) - np.repeat(first_at[1:-1], n_at)] - left].astype(U)  # in the order of places
+    found = known.single[codes.astype(np.int64)] - 1
+    q = hit = np.flatnonzero(found >= 0)
+    piece, log_p = known.piece[found], known.weight[found]  # number -1 is that of no piece
+    rest = np.flatnonzero(piece < 0)  # characters without a piece of their own have byte pieces instead
+    if len(rest):
+        n_bytes = 1 + (codes[rest] > 0x7F) + (codes[rest] > 0x7FF).astype(int) + (codes[rest] > 0xFFFF)
+        piece[rest] = -1 - codes[rest].astype(np.int64)
+        log_p[rest] = n_bytes * pieces.log_byte
+    at, to, ids, weight, width = [], [after], [piece], [log_p], np.ones(len(codes), np.int64)
+    p, h = hit, _step(np.zeros(len(hit), U), codes[hit])
+    for n in range(2, pieces.longest + 1):
+        more = np.searchsorted(p, first_at[min(n, longest + 1)])  # the others end here
+        if more == len(p):
+            break
+        p, q = p[more:], after[q[more:]]
+        h = _step(h[more:], codes[q])
+        hit, found = known.find(h)
+        p, q, h = p[hit], q[hit], h[hit]
+        own = np.flatnonzero(known.piece[found] >= 0)
+        found = found[own]
+        at.append(p[own])
+        to.append(after[q[own]])
+        ids.append(known.piece[found])
+        weight.append(known.weight[found])
+        width[at[-1]] += 1
+    first = np.r_[0, np.cumsum(width)]
+    edge, taken = first[:-1], first[:-1] + 1
+    edges = [edge]
+    for places in at:
+        edge = taken[places]
+        edges.append(edge)
+        taken[places] = edge + 1
+    edge, n_edges = np.concatenate(edges), int(first[-1])
+    piece, log_p, next_place = np.empty(n_edges, np.int64), np.empty(n_edges), np.empty(n_edges, np.int64)
+    piece[edge], log_p[edge], next_place[edge] = np.concatenate(ids), np.concatenate(weight), np.concatenate(to)
+    total = np.zeros(len(codes) + 1)  # log of the summed weight of all ways from a place to its unit's end, which is place -1
+    for a, b in zip(first_at[1:-1].tolist(), first_at[2:].tolist()):
+        e, f = first[a], first[b]
+        value = log_p[e:f]
+        value += total[next_place[e:f]]
+        begin = first[a:b] - e
         top = np.maximum.reduceat(value, begin)
-        total[places] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, n)), begin))
-    log_p = weight + np.where(ends, 0.0, total[to]) - total[at]
+        total[a:b] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, width[a:b])), begin))
+    log_p -= np.repeat(total[:-1], width)
+    # From here on unit by unit, so that a unit's edges lie side by side.
+    row = np.empty(len(units), np.int64)
+    row[by_size] = np.arange(len(units))
+    unit_first, nth = _ranges(sizes)
+    place = first_at[np.repeat(sizes, sizes) - nth] + np.repeat(row, sizes)
+    width = width[place]
+    own = np.r_[0, np.cumsum(width)]
+    rank = np.arange(n_edges) - np.repeat(own[:-1], width)
+    order = rank + np.repeat(first[place], width)
+    moved = np.empty(len(codes) + 1, np.int64)
+    moved[place], moved[-1] = own[:-1], -1
+    log_p = log_p[order]
     cdf = np.cumsum(np.exp(log_p))
-    cdf -= np.repeat(np.r_[0.0, cdf][first[:-1]], width)
-    cdf[first[1:] - 1] = 1.0
-    return Lattice(start, first, at + np.minimum(cdf, 1.0), log_p, np.where(ends, -1, to), ids, at)
+    cdf -= np.repeat(np.r_[0.0, cdf][own[:-1]], width)
+    cdf[own[1:] - 1] = 1.0
+    return Lattice(own[unit_first], np.minimum(cdf, 1.0), moved[next_place[order]], log_p, piece[order], rank, np.repeat(width, width))
+
+
+class Met:
+    """Lattices of the units met so far, side by side; units without their first mark.
+
+    Up to ``most`` edges are kept. When they are full, those of units that came in several slices stay, half at most.
+    """
+
+    def __init__(self, pieces: Pieces, most: int = 1_500_000):
+        self.pieces, self.most, self.edges = pieces, most, 0
+        self.number: dict[str, int] = {}
+        self.uses = np.zeros(most + 1, np.int32)
+        i, size = np.int32, most + 1  # memory that is not written is not taken
+        self.lat = Lattice(np.zeros(size, i), np.empty(size), np.empty(size, i), np.empty(size), np.empty(size, i), np.empty(size, np.int8), np.empty(size, np.int8))
+
+    def _drop(self) -> None:
+        n, least, lat = len(self.number), 2, self.lat
+        size, uses = np.diff(lat.start[:n + 1]).astype(np.int64), self.uses[:n]
+        while size[uses >= least].sum() > self.most // 2:
+            least *= 2
+        kept = np.flatnonzero(uses >= least)
+        first, edge = _ranges(size[kept])
+        back = np.repeat(lat.start[kept] - first, size[kept])
+        edge += back + np.repeat(first, size[kept])
+        to = lat.to[edge]
+        lat.to[:len(edge)] = np.where(to < 0, -1, to - back)
+        for own in (lat.cdf, *lat[3:]):
+            own[:len(edge)] = own[edge]
+        lat.start[:len(kept) + 1] = np.r_[first, len(edge)]
+        words = list(self.number)
+        self.number = {words[x]: n for n, x in enumerate(kept.tolist())}
+        self.uses[:len(kept)] = uses[kept] // 2
+        self.uses[len(kept):n] = 0
+        self.edges = len(edge)
+
+    def _add(self, words: list[str]) -> bool:
+        """Whether there was room for them."""
+        for x in range(0, len(words), 4096):
+            own = words[x:x + 4096]
+            more = lattice([SPACE + w for w in own], self.pieces)
+            n, e, f = len(self.number), self.edges, self.edges + len(more.to)
+            if f > self.most:
+                return False
+            self.lat.start[n:n + len(own) + 1] = np.r_[more.start, len(more.to)] + e
+            self.lat.to[e:f] = np.where(more.to < 0, -1, more.to + e)
+            for kept, new in zip((self.lat.cdf, *self.lat[3:]), (more.cdf, *more[3:])):
+                kept[e:f] = new
+            self.number.update(zip(own, range(n, n + len(own))))
+            self.edges = f
+        return True
+
+    def of(self, words: list[str]) -> tuple[Lattice, np.ndarray]:
+        """(lattice, number of each word's unit) of the distinct words of a slice."""
+        if not self._add([w for w in words if w not in self.number]):
+            self._drop()
+            if not self._add([w for w in words if w not in self.number]):  # too many for what is kept
+                return lattice([SPACE + w for w in words], self.pieces), np.arange(len(words))
+        out = np.array([self.number[w] for w in words], np.int64)
+        self.uses[out] += 1
+        return self.lat, out
 
 
 def _hashed(h: np.ndarray, *place: np.ndarray | int) -> np.ndarray:
@@ -138,14 +292,19 @@ def uniform(seed: int, *place: np.ndarray | int) -> np.ndarray:
 def truncated(phi: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel variables at ``phi`` given that they are at most ``bound``."""
     with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
-        value = phi - np.log(np.exp(phi - bound) - np.log(u))
-    return np.where(np.isneginf(phi), -np.inf, np.minimum(np.where(np.isnan(value), -np.inf, value), bound))
+        value = np.exp(phi - bound)
+        value -= np.log(u)
+        value = phi - np.log(value, out=value)
+    value[np.isnan(value)] = -np.inf
+    return np.minimum(value, bound, out=value)
 
 
 def _log1mexp(x: np.ndarray) -> np.ndarray:
     """log(1 - exp(x)) for x <= 0; -inf where nothing is left."""
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(x > -1e-12, -np.inf, np.where(x > -0.7, np.log(-np.expm1(x)), np.log1p(-np.exp(x))))
+        out, near = np.log1p(-np.exp(x)), np.flatnonzero(x > -0.7)
+        out[near] = np.where(x[near] > -1e-12, -np.inf, np.log(-np.expm1(x[near])))
+        return out
 
 
 def units_of(text: str) -> list[str]:
@@ -163,115 +322,231 @@ def units_of(text: str) -> list[str]:
     return out
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(``units_of`` all texts, each without its first mark; number of them in each text)."""
+    split = pc.split_pattern(pc.replace_substring(texts, SPACE, " "), " ")
+    words, count = split.flatten(), pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    empty = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    if empty.any():  # a space of several: its mark is held for what follows, at the end of a text those held are a unit
+        owner, keep, last = np.repeat(np.arange(len(count)), count), ~empty, np.cumsum(count)[count > 0] - 1
+        keep[last] = True
+        kept = np.flatnonzero(keep)
+        held = np.diff(kept, prepend=-1) - 1
+        own = np.flatnonzero((held > 0) | ~empty[kept] | (count[owner[kept]] > 1))  # an empty text has no unit
+        kept, held = kept[own], held[own]
+        words, count = words.take(pa.array(kept)), np.bincount(owner[kept], minlength=len(count))
+        several = np.flatnonzero(held)
+        marked = [SPACE * h + words[n].as_py() for n, h in zip(several.tolist(), held[several].tolist())]
+        words = pc.replace_with_mask(words, pa.array(held > 0), pa.array(marked, words.type))
+    return words, count
+
+
 class Sample(NamedTuple):
     edges: np.ndarray
     log_prob: float
     value: float  # perturbed log-probability
 
 
-class Path(NamedTuple):
+class Drawn(NamedTuple):
+    """One path of each of many texts, from the edge it branched off on."""
     edges: np.ndarray
-    unit: np.ndarray  # unit of the text each edge lies in
-    place: np.ndarray
+    first: np.ndarray  # first edge of each unit drawn
+    unit: np.ndarray  # place of that unit in its text
     before: np.ndarray  # log-probability up to the edge
     waiting: np.ndarray  # Gumbel values of the alternatives at each edge
+    begin: np.ndarray  # by text, its first edge here
+    end: np.ndarray
+    skipped: np.ndarray  # by text, edges of the path before those
 
 
-def draw(lat: Lattice, seed: int, tag: int, units: np.ndarray, place: int, unit: int) -> tuple[np.ndarray, np.ndarray]:
-    """(edges, unit of each) of one draw: from ``place`` in ``unit``, if not -1, then through all later units."""
-    later = np.arange(unit + (place >= 0), len(units))
-    at = np.r_[[place] if place >= 0 else [], lat.start[units[later]]].astype(np.int64)
-    own = np.r_[[unit] if place >= 0 else [], later].astype(np.int64)
-    edges, owners, step = [], [], 0
-    h = _hashed(np.array([seed], U), tag, own)
+def draw(lat: Lattice, h: np.ndarray, unit: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """(number of edges of each unit, edges by step, units they lie in) of draws from place ``at`` in each unit to its end."""
+    h, own = _hashed(h, unit), np.arange(len(at))
+    n, edges, owners = np.zeros(len(at), np.int64), [], []
     while len(at):
-        e = np.searchsorted(lat.key, at + _unit_interval(_hashed(h, step)), side="left")
-        e = np.minimum(np.maximum(e, lat.first[at]), lat.first[at + 1] - 1)
-        edges.append(e)
+        u = _unit_interval(_hashed(h, len(edges)))
+        less = np.flatnonzero(lat.cdf[at] < u)
+        while len(less):
+            at[less] += 1
+            less = less[np.flatnonzero(lat.cdf[at[less]] < u[less])]
+        edges.append(at)
         owners.append(own)
-        more = lat.to[e] >= 0
-        at, own, h, step = lat.to[e][more], own[more], h[more], step + 1
-    if not edges:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    edges, owners = np.concatenate(edges), np.concatenate(owners)
-    order = np.argsort(owners, kind="stable")
-    return edges[order], owners[order]
+        at = lat.to[at]
+        n[own] = len(edges)
+        more = np.flatnonzero(at >= 0)
+        at, own, h = at[more], own[more], h[more]
+    return n, edges, owners
 
 
-def top_k(lat: Lattice, units: np.ndarray, seed: int, k: int) -> tuple[list[Sample], float]:
-    """k distinct segmentations of a text by falling perturbed value, and the value of the next one (kappa)."""
-    if not len(units):
-        return [Sample(np.empty(0, np.int64), 0.0, 0.0)], -np.inf
-    value = float(-np.log(-np.log(uniform(seed, 0, 0)[0])))
-    paths: list[Path] = []
-    samples: list[Sample] = []
-    tried: dict[tuple[int, int], list[int]] = {}
-    edges, owner = draw(lat, seed, 1, units, -1, 0)
-    kept, n_before = None, 0
-    while True:
-        if kept is not None:
-            edges, owner = np.r_[kept.edges[:n_before], edges], np.r_[kept.unit[:n_before], owner]
+def top_k_each(lat: Lattice, units: np.ndarray, count: np.ndarray, seeds: np.ndarray, k: int) -> tuple[list[list[Sample]], np.ndarray]:
+    """Of each of many texts, k distinct segmentations by falling perturbed value; and the value of the next one (kappa).
+
+    ``units`` are those of all texts, ``count`` of them of each. An empty text has one segmentation, without edges.
+    """
+    samples: list[list[Sample]] = [[] if c else [Sample(np.empty(0, np.int64), 0.0, 0.0)] for c in count.tolist()]
+    kappa = np.full(len(count), -np.inf)
+    base, live = np.cumsum(count) - count, np.flatnonzero(count)
+    value = -np.log(-np.log(_unit_interval(_hashed(seeds[live], 0, 0))))
+    paths: list[Drawn] = []
+    best, where = [], []  # by path and text, the greatest value that waits, and its edge
+    tried: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # by branch and text: path, edge of the path, edge taken instead
+    pick = j = unit = e = before_j = np.zeros(len(live), np.int64)
+    place = np.full(len(live), -1)
+    while len(live):
+        head = int(bool(paths))  # paths but the first begin with the edge taken instead
+        h = _hashed(seeds[live], len(paths) + 1)
+        unit = unit + (place < 0) * head
+        n = count[live] - unit
+        first, own = _ranges(n)
+        own += np.repeat(unit, n)
+        at = lat.start[units[own + np.repeat(base[live], n)]]
+        at[first[place >= 0]] = place[place >= 0]
+        size, drawn, owners = draw(lat, np.repeat(h, n), own, at)
+        offset = np.cumsum(size) - size + np.repeat(np.arange(1, len(live) + 1) * head, n)
+        end = np.cumsum(np.bincount(np.repeat(np.arange(len(live)), n), size, len(live)).astype(np.int64) + head)
+        begin = np.r_[0, end[:-1]]
+        edges = np.empty(end[-1], np.int64)
+        for step, (d, o) in enumerate(zip(drawn, owners)):
+            edges[offset[o] + step] = d
+        if head:
+            edges[begin] = e
         log_p = lat.log_p[edges]
-        total = np.cumsum(log_p)
+        other = _log1mexp(log_p)
+        log_p[begin] += before_j
+        total = np.empty(len(edges))
+        spans = list(zip(begin.tolist(), end.tolist()))
+        for a, b in spans:
+            np.cumsum(log_p[a:b], out=total[a:b])
         before = np.r_[0.0, total[:-1]]
-        place = lat.at[edges]
-        u = uniform(seed, len(samples) + 1, np.arange(len(edges)), 7)
-        waiting = truncated(before + _log1mexp(log_p), np.full(len(edges), value), u)
-        waiting[:n_before] = -np.inf  # those places are waiting in the path it branched from
-        if kept is not None:
-            waiting[n_before - 1] = -np.inf
-        samples.append(Sample(edges, float(total[-1]), value))
-        paths.append(Path(edges, owner, place, before, waiting))
-        best = [(float(p.waiting.max(initial=-np.inf)), n) for n, p in enumerate(paths)]
-        value, n = max(best)
-        if len(samples) == k or value == -np.inf:
-            return samples, value
-        kept = paths[n]
-        j = int(kept.waiting.argmax())
-        gone = tried.setdefault((n, j), [int(kept.edges[j])])
-        a, b = int(lat.first[kept.place[j]]), int(lat.first[kept.place[j] + 1])
-        p = np.exp(lat.log_p[a:b])
-        p[np.array(gone) - a] = 0
-        e = a + min(int(np.searchsorted(np.cumsum(p), float(uniform(seed, len(samples) + 1, j, 3)[0]) * p.sum())), b - a - 1)
-        while e - a and not p[e - a]:
-            e -= 1
-        gone.append(e)
-        p[e - a] = 0
+        before[begin] = before_j
+        size = end - begin
+        position = np.arange(len(edges)) + np.repeat(j - begin, size)
+        u = _unit_interval(_hashed(np.repeat(h, size), position, 7))
+        waiting = truncated(before + other, np.repeat(value, size), u)
+        if head:
+            waiting[begin] = -np.inf  # those places are waiting in the path it branched from
+        by_text = np.zeros((3, len(count)), np.int64)
+        by_text[:, live] = begin, end, j
+        paths.append(Drawn(edges, offset, own, before, waiting, *by_text))
+        for t, (a, b), v, q, m in zip(live.tolist(), spans, value.tolist(), pick.tolist(), j.tolist()):
+            whole = np.concatenate((samples[t][q].edges[:m], edges[a:b])) if head else edges[a:b]
+            samples[t].append(Sample(whole, float(total[b - 1]), v))
+        best.append(np.full(len(count), -np.inf))
+        where.append(np.zeros(len(count), np.int64))
+        where[-1][live] = [a + int(waiting[a:b].argmax()) for a, b in spans]
+        best[-1][live] = waiting[where[-1][live]]
+
+        values = np.array([x[live] for x in best])
+        pick = len(paths) - 1 - values[::-1].argmax(axis=0)
+        value = values[pick, np.arange(len(live))]
+        kappa[live] = value
+        if len(paths) == k:
+            break
+        more = np.flatnonzero(value > -np.inf)
+        live, pick, value = live[more], pick[more], value[more]
+        i = np.array([x[live] for x in where])[pick, np.arange(len(live))]
+        e, unit, j, before_j = (np.zeros(len(live), kind) for kind in (np.int64, np.int64, np.int64, float))
+        chosen = [(paths[q], np.flatnonzero(pick == q)) for q in np.unique(pick).tolist()]
+        for path, m in chosen:
+            e[m], before_j[m], j[m] = path.edges[i[m]], path.before[i[m]], i[m] - path.begin[live[m]] + path.skipped[live[m]]
+            unit[m] = path.unit[np.searchsorted(path.first, i[m], side="right") - 1]
+        if not len(live):
+            break
+        a = e - lat.rank[e]
+        b = a + lat.width[e]
+        row, edge = np.arange(len(live)), a[:, None] + np.arange((b - a).max())
+        p = np.where(edge < b[:, None], np.exp(lat.log_p[np.minimum(edge, b[:, None] - 1)]), 0.0)
+        p[row, e - a] = 0
+        for path, at, gone in tried:
+            m = np.flatnonzero((path[live] == pick) & (at[live] == i))
+            p[m, gone[live[m]] - a[m]] = 0
+        h = _hashed(seeds[live], len(paths) + 1)
+        goal = _unit_interval(_hashed(h, j, 3)) * p.sum(axis=1)
+        found = np.minimum((np.cumsum(p, axis=1) < goal[:, None]).sum(axis=1), b - a - 1)
+        while len(m := np.flatnonzero((found > 0) & (p[row, found] == 0))):
+            found[m] -= 1
+        p[row, found] = 0
+        e = a + found
         # What is still untried at this place waits below the value just used.
-        phi = kept.before[j] + (np.log(p.sum()) if p.sum() > 1e-15 else -np.inf)
-        kept.waiting[j] = truncated(np.array([phi]), np.array([value]), uniform(seed, len(samples) + 1, [j], 5))[0]
-        unit = int(kept.unit[j])
-        n_before = j + 1
-        kept = Path(np.r_[kept.edges[:j], e], kept.unit[:j + 1], kept.place, kept.before, kept.waiting)
-        edges, owner = draw(lat, seed, len(samples) + 1, units, int(lat.to[e]), unit) if lat.to[e] >= 0 else draw(lat, seed, len(samples) + 1, units, -1, unit + 1)
+        left = p.sum(axis=1)
+        phi = before_j + np.where(left > 1e-15, np.log(np.maximum(left, 1e-300)), -np.inf)
+        rest = truncated(phi, value, _unit_interval(_hashed(h, j, 5)))
+        for path, m in chosen:
+            path.waiting[i[m]] = rest[m]
+        for t, q in zip(live.tolist(), pick.tolist()):
+            x = int(paths[q].begin[t])
+            where[q][t] = x + int(paths[q].waiting[x:int(paths[q].end[t])].argmax())
+            best[q][t] = paths[q].waiting[where[q][t]]
+        by_text = np.full((3, len(count)), -1)
+        by_text[:, live] = pick, i, e
+        tried.append(tuple(by_text))
+        place = lat.to[e]
+    return samples, kappa
 
 
-def ids_of(lat: Lattice, edges: np.ndarray, pieces: Pieces) -> np.ndarray:
-    ids = lat.piece[edges]
-    if not len(ids) or ids.min() >= 0:
-        return ids
-    chars, where = np.unique(ids[ids < 0], return_inverse=True)
+def top_k(lat: Lattice, units: np.ndarray, seed: int, k: int) -> tuple[list[Sample], float]:
+    """k distinct segmentations of a text by falling perturbed value, and the value of the next one (kappa)."""
+    [samples], kappa = top_k_each(lat, units, np.array([len(units)]), np.array([seed], U), k)
+    return samples, float(kappa[0])
+
+
+def spelled(ids: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``ids`` with the byte pieces of characters; where those characters were, and by how many ids each one grew."""
+    own = np.flatnonzero(ids < 0)
+    if not len(own):
+        return ids, own, own
+    chars, where = np.unique(ids[own], return_inverse=True)
     parts = [[pieces.byte_ids[b] for b in chr(-1 - c).encode()] for c in chars.tolist()]
+    more = np.array([len(p) - 1 for p in parts], np.int64)[where]
     size = np.ones(len(ids), np.int64)
-    size[ids < 0] = np.array([len(p) for p in parts], np.int64)[where]
-    out, first = np.repeat(ids, size), np.cumsum(size) - size
+    size[own] += more
+    out, first = np.repeat(ids, size), own + np.cumsum(more) - more
     for k in range(max(map(len, parts))):
-        own = np.array([p[k] if k < len(p) else -1 for p in parts], np.int64)[where]
-        out[first[ids < 0][own >= 0] + k] = own[own >= 0]
-    return out
+        one = np.array([p[k] if k < len(p) else -1 for p in parts], np.int64)[where]
+        out[first[one >= 0] + k] = one[one >= 0]
+    return out, own, more
+
+
+def ids_of(lat: Lattice, edges: np.ndarray, pieces: Pieces) -> np.ndarray:
+    return spelled(lat.piece[edges], pieces)[0]
+
+
+class Segmented(NamedTuple):
+    """Samples of texts, one after the other."""
+    n: np.ndarray  # samples of each text
+    log_prob: np.ndarray
+    value: np.ndarray
+    inclusion: np.ndarray
+    first: np.ndarray  # first id of each sample, and one more
+    ids: np.ndarray
+
+
+def segmented_flat(texts: pa.Array, seeds: np.ndarray, k: int, met: Met) -> Segmented:
+    """Samples of all texts."""
+    words, count = words_of(texts)
+    distinct = words.dictionary_encode()
+    lat, number = met.of(distinct.dictionary.to_pylist())
+    found, kappa = top_k_each(lat, number[distinct.indices.to_numpy(zero_copy_only=False)], count, seeds, k)
+    n = np.array([len(own) for own in found], np.int64)
+    every = [s for own in found for s in own]
+    log_prob, value = np.array([s.log_prob for s in every]), np.array([s.value for s in every])
+    below = np.repeat(kappa, n)
+    with np.errstate(invalid="ignore"):
+        inclusion = np.where(below > -np.inf, -np.expm1(-np.exp(np.minimum(log_prob - below, 50))), 1.0)
+    size = np.array([len(s.edges) for s in every], np.int64)
+    edges = np.concatenate([np.empty(0, np.int64), *(s.edges for s in every)])
+    first = np.r_[0, np.cumsum(size)]
+    ids, own, more = spelled(lat.piece[edges], met.pieces)
+    first += np.r_[0, np.cumsum(more)][np.searchsorted(own, first)]
+    return Segmented(n, log_prob, value, inclusion, first, ids)
 
 
 def segmented(texts: list[str | None], seeds: list[int], k: int, pieces: Pieces) -> list[list[tuple]]:
     """Per text: (rank, log_prob, perturbed, inclusion, ids) of each sample."""
-    number: dict[str, int] = {}
-    owned = [np.array([number.setdefault(u, len(number)) for u in units_of(t or "")], np.int64) for t in texts]
-    lat = lattice(list(number), pieces) if number else None
-    out = []
-    for units, seed in zip(owned, seeds):
-        samples, kappa = top_k(lat, units, seed, k)
-        out.append([(n + 1, s.log_prob, s.value, float(-np.expm1(-np.exp(min(s.log_prob - kappa, 50)))) if kappa > -np.inf else 1.0,
-                     ids_of(lat, s.edges, pieces) if len(s.edges) else s.edges) for n, s in enumerate(samples)])
-    return out
+    s = segmented_flat(pa.array(texts, pa.string()), np.array(seeds, U), k, Met(pieces))
+    last = np.cumsum(s.n)
+    return [[(r + 1, float(s.log_prob[x]), float(s.value[x]), float(s.inclusion[x]), s.ids[s.first[x]:s.first[x + 1]]) for r, x in enumerate(range(b - c, b))]
+            for b, c in zip(last.tolist(), s.n.tolist())]
 
 
 def _pieces(name: str) -> Pieces:
@@ -292,26 +567,61 @@ def sample_segmentations(
                        ("ids", pa.list_(pa.int32())), *([("n_pieces", pa.int64()), ("ids_crc32", pa.int64())] if digest else [])])
     last = "ids:array<int>" + ",n_pieces:bigint,ids_crc32:bigint" * digest
 
+    held: list[Met] = []  # of one task, whose copy of this list it is
+
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        seeds = (np.array(batch.column("__seed").to_pylist(), np.int64).view(U)).tolist()
-        out = []
-        for samples in segmented(batch.column(text).to_pylist(), seeds, k, _pieces(tokenizer_name)):
-            own = [dict(zip(("rank", "log_prob", "perturbed", "inclusion"), s[:4])) for s in samples]
-            for d, s in zip(own, samples):
-                d["ids"] = s[4].astype(np.int32)
-                if digest:
-                    d.update({"n_pieces": len(s[4]), "ids_crc32": zlib.crc32(s[4].astype("<u4").tobytes())})
-            out.append(own)
-        return [pa.array(out, pa.list_(place))]
+        if not held:
+            held.append(Met(_pieces(tokenizer_name)))
+        seeds = batch.column("__seed").to_numpy(zero_copy_only=False).astype(np.int64).view(U)
+        s = segmented_flat(batch.column(text), seeds, k, held[0])
+        last = np.cumsum(s.n)
+        ids = s.ids.astype("<i4")
+        rank = np.arange(1, len(s.log_prob) + 1) - np.repeat(last - s.n, s.n)
+        fields = [pa.array(rank.astype(np.int32)), pa.array(s.log_prob), pa.array(s.value), pa.array(s.inclusion),
+                  pa.ListArray.from_arrays(pa.array(s.first.astype(np.int32)), pa.array(ids.astype(np.int32, copy=False)))]
+        if digest:
+            spans, data = s.first.tolist(), memoryview(ids)
+            fields += [pa.array(np.diff(s.first)), pa.array([zlib.crc32(data[a:b]) for a, b in zip(spans, spans[1:])], pa.int64())]
+        return [pa.ListArray.from_arrays(pa.array(np.r_[0, last].astype(np.int32)), pa.StructArray.from_arrays(fields, fields=list(place)))]
 
     seeded = rows.withColumn("__seed", F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in key]))
-    return appended(seeded, f"samples array<struct<rank:int,log_prob:double,perturbed:double,inclusion:double,{last}>>", compute, most=1 << 20).drop("__seed")
+    return appended(seeded, f"samples array<struct<rank:int,log_prob:double,perturbed:double,inclusion:double,{last}>>", compute, most=1 << 17).drop("__seed")
+
+
+def decoded(column: pa.Array, pieces: Pieces) -> pa.Array:
+    """Texts of lists of ids. Rows of plain pieces are joined from their bytes, others decoded by the model one by one."""
+    given, n = column.is_valid(), len(pieces.text)
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    first = np.r_[0, np.cumsum(size, dtype=np.int64)]
+    ids = pc.fill_null(column.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    other = np.flatnonzero((ids < 0) | (ids >= n))
+    ids[first[:-1][size > 0]] += n  # pieces at the beginning
+    ids[other] = 0
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pieces.surface.take(pa.array(ids))), b"")
+    each = joined.is_null().to_numpy(zero_copy_only=False).copy()  # rows for the model
+    each[np.searchsorted(first, other, side="right") - 1] = True
+    try:
+        text = joined.cast(pa.string())
+    except pa.ArrowInvalid:  # byte pieces that are no characters
+        for row in np.flatnonzero(~each).tolist():
+            try:
+                joined[row].as_py().decode()
+            except UnicodeDecodeError:
+                each[row] = True
+        text = pc.if_else(pa.array(each), pa.scalar(None, pa.binary()), joined).cast(pa.string())
+    each &= given.to_numpy(zero_copy_only=False)
+    if each.any():
+        said = [pieces.model.decode(column[row].as_py()) for row in np.flatnonzero(each).tolist()]
+        text = pc.replace_with_mask(text, pa.array(each), pa.array(said, pa.string()))
+    return pc.if_else(given, text, pa.scalar(None, pa.string())) if column.null_count else text
 
 
 def decode(rows: DataFrame, ids: str = "ids", tokenizer_name: str = "piece_bpe_32k.model") -> DataFrame:
     """``rows`` with ``decoded``: the text of a column of ids; null ids give null."""
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        model = _pieces(tokenizer_name).model
-        return [pa.array([model.decode(i.as_py()) if i.is_valid else None for i in batch.column(ids)], pa.string())]
+        column = batch.column(ids)
+        block = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64) >> 17
+        cuts = np.r_[0, np.flatnonzero(np.diff(block)) + 1, len(column)]  # of about 2^17 ids, one row at least
+        return [pa.concat_arrays([decoded(column.slice(a, b - a), _pieces(tokenizer_name)) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())])]
 
     return appended(rows, "decoded string", compute)

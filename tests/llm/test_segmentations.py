@@ -1,15 +1,19 @@
 """Sampled segmentations: exact decoding, exact probabilities, and frequencies of sampling without replacement."""
 
 import itertools
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm.queries import op1_segmentations
-from strata.llm.segmentations import Pieces, decode, ids_of, lattice, sample_segmentations, segmented, top_k, units_of
+from strata.llm.segmentations import (
+    Met, Pieces, decode, decoded, ids_of, lattice, sample_segmentations, segmented, segmented_flat, top_k, units_of, words_of,
+)
 
 NAME = "piece_bpe_32k.model"
 TEXTS = [None, "", " ", "   ", "a", "the theory of other things", "  two  spaces ", "tab\tline\n", "日本語 😀 x", "x" * 700, "é" * 300, "word " * 400]
@@ -133,3 +137,45 @@ def test_a_long_run_is_one_lattice(pieces):
             ends = np.cumsum([len(p) for p in own])
             inside |= {256, 512, 768} - set(ends.tolist())
     assert inside == {256, 512, 768}
+
+
+def test_texts_are_searched_side_by_side(pieces):
+    """Many short texts at once cost a small part of what they cost one by one, and give the same samples."""
+    texts = [f"the theory of {n} other things in {n % 7} nations" for n in range(300)]
+    segmented(texts[:1], [0], 4, pieces)
+    t0 = time.process_time()
+    one = [segmented([t], [n], 4, pieces)[0] for n, t in enumerate(texts)]
+    t1 = time.process_time()
+    found = segmented(texts, list(range(300)), 4, pieces)
+    assert time.process_time() - t1 < 0.2 * (t1 - t0)
+    for a, b in zip(one, found):
+        assert [s[4].tolist() for s in a] == [s[4].tolist() for s in b] and np.allclose([s[1:4] for s in a], [s[1:4] for s in b], rtol=1e-9)
+
+
+def test_units_kept_and_dropped_give_the_same(pieces):
+    """Samples do not depend on which units a worker has met, nor on how many it keeps."""
+    texts = [" ".join(f"{w}{n % m}" for w in ("the", "nation", "日本", "theory") for m in (2, 3, 50)) for n in range(120)]
+    want = segmented(texts, list(range(120)), 3, pieces)
+    for most in (400, 2_500, 1_000_000):
+        met = Met(pieces, most)
+        for n in range(0, 120, 8):
+            s = segmented_flat(pa.array(texts[n:n + 8]), np.arange(n, n + 8, dtype=np.uint64), 3, met)
+            own = [x[4] for t in want[n:n + 8] for x in t]
+            assert np.array_equal(s.ids, np.concatenate(own)) and np.diff(s.first).tolist() == [len(x) for x in own]
+
+
+def test_words_are_units(pieces):
+    texts = [*TEXTS, "▁", "▁▁a ▁b", " a", "a ", "a  b", "  ", ""]
+    words, count = words_of(pa.array(texts, pa.string()))
+    assert ["▁" + w for w in words.to_pylist()] == [u for t in texts for u in units_of(t or "")]
+    assert count.tolist() == [len(units_of(t or "")) for t in texts]
+
+
+def test_decoding_is_that_of_the_model(pieces):
+    """Pieces joined from their bytes against the model, with bytes that are no character, controls and unknown pieces."""
+    rng = np.random.default_rng(3)
+    lists = [rng.integers(0, top, rng.integers(0, 9)).tolist() for top in (len(pieces.text), 270) for _ in range(500)] + [None, []]
+    got = decoded(pa.array(lists, pa.list_(pa.int32())), pieces)
+    assert got.to_pylist() == [None if ids is None else pieces.model.decode(ids) for ids in lists]
+    with pytest.raises(IndexError):
+        decoded(pa.array([[len(pieces.text)]], pa.list_(pa.int32())), pieces)
